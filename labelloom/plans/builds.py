@@ -61,7 +61,7 @@ ORDINAL = "_source_ordinal"
 
 @dataclass(frozen=True)
 class PublishedCorpus:
-    """A corpus mirrored to a folder: Parquet files, either pre-split or to be streamed."""
+    """A corpus mirrored to a folder: Parquet, each split a sub-folder or a file prefix."""
 
     name: str
     mirror: str
@@ -72,6 +72,9 @@ class PublishedCorpus:
     sample_rows: int | None = 60_000
     max_files_per_batch: int = 64
 
+    def stream(self) -> StreamSource:
+        return StreamSource(f"{self.mirror}/{self.split}*", self.max_files_per_batch)
+
 
 @dataclass(frozen=True)
 class LocalCorpus:
@@ -212,7 +215,7 @@ def build_multi_source(spark: SparkSession, config: BuildConfig) -> dict[str, An
 
 
 def _stream_sample(spark: SparkSession, corpus: PublishedCorpus, config: BuildConfig) -> DataFrame:
-    source = StreamSource(corpus.mirror, f"{corpus.split}*.parquet", corpus.max_files_per_batch)
+    source = corpus.stream()
     literals = {"source_dataset": corpus.name, "source_split": corpus.split}
     quota = balanced_quota(corpus.sample_rows)
     collected = collect_quota(spark, source, quota, config.seed, literals)
@@ -376,7 +379,7 @@ def build_publish(spark: SparkSession, config: PublishConfig) -> dict[str, Any]:
     generated_rows = max(0, config.human_rows - facts.label_counts[1])
 
     corpus = config.published
-    source = StreamSource(corpus.mirror, f"{corpus.split}*.parquet", corpus.max_files_per_batch)
+    source = corpus.stream()
     literals = {
         "source_dataset": corpus.name,
         "source_detail": corpus.name,

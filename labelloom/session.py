@@ -68,14 +68,16 @@ def stage_with_row_id(df: DataFrame, name: str = "rows") -> DataFrame:
     return staged.select("*", row_id.alias(ROW_ID))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _file_system(spark, path)
     return bool(fs.exists(hadoop_path))
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Drop a table this library wrote itself."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(hadoop_path, True)
+def is_directory(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _file_system(spark, path)
+    return bool(fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory())

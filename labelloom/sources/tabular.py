@@ -19,7 +19,7 @@ from labelloom.operators.normalize import (
 )
 from labelloom.operators.ranking import with_digest
 from labelloom.operators.sampling import balanced_sample
-from labelloom.session import path_exists, stage
+from labelloom.session import is_directory, path_exists, stage
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 # File names that win over others in a raw data directory.
@@ -39,18 +39,17 @@ def read_csv(spark: SparkSession, path: str, *, line_breaks: bool = True) -> Dat
     """
     options = {**CSV_OPTIONS, "multiLine": str(line_breaks).lower()}
     reader = spark.read.options(**options).option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", _name_filter(path, "csv")).csv(path)
+    return reader.option("pathGlobFilter", _name_filter(spark, path, "csv")).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", _name_filter(path, "parquet")).parquet(path)
+    return reader.option("pathGlobFilter", _name_filter(spark, path, "parquet")).parquet(path)
 
 
-def _name_filter(path: str, suffix: str) -> str:
+def _name_filter(spark: SparkSession, path: str, suffix: str) -> str:
     """A directory contributes its files of one kind; a file named outright always counts."""
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    return "*" if "." in name else f"*.{suffix}"
+    return f"*.{suffix}" if is_directory(spark, path) else "*"
 
 
 def _file_names(spark: SparkSession, path: str, pattern: str) -> bool:
@@ -69,9 +68,8 @@ def source_format(spark: SparkSession, path: str) -> str:
     """'csv' or 'parquet', by suffix for a file and by content for a directory."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"source path does not exist: {path}")
-    for kind in ("csv", "parquet"):
-        if path.endswith(f".{kind}"):
-            return kind
+    if not is_directory(spark, path):
+        return "parquet" if path.endswith(".parquet") else "csv"
     for kind in ("csv", "parquet"):
         if _file_names(spark, path, f"*.{kind}"):
             return kind
@@ -82,7 +80,7 @@ def csv_source(spark: SparkSession, path: str) -> str:
     """The CSV path to read: the path itself, or a preferred file inside the directory."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"source path does not exist: {path}")
-    if path.endswith(".csv"):
+    if not is_directory(spark, path):
         return path
     for name in PREFERRED_CSV:
         if path_exists(spark, f"{path}/{name}"):
@@ -128,12 +126,12 @@ def read_evaluation(df: DataFrame) -> DataFrame:
 def load_published_split(
     spark: SparkSession, mirror: str, split: str, order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """One split of a mirrored corpus: the files whose names start with the split's.
+    """One split of a mirrored corpus: the files or folder whose name starts with the split's.
 
     Loaded splits are staged and checked; they carry the text digest that sampling uses.
     """
-    reader = spark.read.option("pathGlobFilter", f"{split}*.parquet")
-    return _checked(reader.parquet(mirror), order_by)[0].transform(tag_split, split)
+    stored = spark.read.parquet(f"{mirror}/{split}*")
+    return _checked(stored, order_by)[0].transform(tag_split, split)
 
 
 def load_local_split(

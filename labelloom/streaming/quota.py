@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +19,22 @@ POLL_SECONDS = 0.2
 
 @dataclass(frozen=True)
 class StreamSource:
-    """A folder of Parquet files read as a stream, a bounded number of files per batch."""
+    """Parquet files read as a stream, a bounded number of files per batch.
+
+    ``path`` is a folder or a pattern. ``prepare`` may shape the raw rows, for instance
+    to derive the label column.
+    """
 
     path: str
-    name_filter: str = "*.parquet"
     max_files_per_batch: int = 64
     schema: T.StructType | None = None
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
     def open(self, spark: SparkSession) -> DataFrame:
-        files = f"{self.path}/{self.name_filter}"
-        schema = self.schema or spark.read.parquet(files).schema
+        schema = self.schema or spark.read.parquet(self.path).schema
         reader = spark.readStream.schema(schema)
-        return reader.option("maxFilesPerTrigger", self.max_files_per_batch).parquet(files)
+        rows = reader.option("maxFilesPerTrigger", self.max_files_per_batch).parquet(self.path)
+        return self.prepare(rows) if self.prepare else rows
 
 
 def balanced_quota(sample_rows: int) -> dict[int, int]:
