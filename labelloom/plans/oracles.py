@@ -32,7 +32,7 @@ LABELLED = (
     "labelled AS (SELECT doc_id, d.text, d.source, d.lang, l.toxic AS label "
     "FROM documents d JOIN labels l USING (doc_id))"
 )
-PADS = "[' ', chr(9), chr(10), chr(28), '']"
+PADS = "[chr(160), chr(9), chr(10), chr(28), '']"
 DIRTY = f"""dirty AS (SELECT doc_id,
     CASE WHEN doc_id % 17 = 0 THEN {PADS}[doc_id % 5 + 1] WHEN doc_id % 17 = 1 THEN NULL
          ELSE {PADS}[doc_id % 5 + 1] || text || {PADS}[doc_id % 5 + 1] END AS essay,
@@ -245,6 +245,20 @@ MULTI = f"""{CORPUS},
         HAVING min(label) = max(label)),
     {_three_way('clean')}"""
 
+PUBLISH = f"""{CORPUS}, wanted AS (SELECT count(*) // 2 AS human, greatest(0, count(*) // 2 -
+        (SELECT count(*) FILTER (role = 'assistant' AND length(trim(text, {WS})) > 0) FROM conversations))
+        AS generated FROM corpus),
+    streamed AS (SELECT text, label FROM (SELECT text, label,
+        row_number() OVER (PARTITION BY label ORDER BY {_key('stream')}) AS rn FROM corpus), wanted
+        WHERE rn <= CASE WHEN label = 0 THEN human ELSE generated END),
+    every AS (SELECT text, label, 'published' AS source, 'published' AS detail, 0 AS ordinal FROM streamed
+        UNION ALL SELECT trim(text, {WS}), CAST(role = 'assistant' AS INTEGER), 'turns', role, 1
+        FROM conversations WHERE length(trim(text, {WS})) > 0),
+    clean AS (SELECT text, min(label) AS label, arg_min(source, (ordinal, detail)) AS source_dataset,
+        arg_min(detail, (ordinal, detail)) AS source_detail FROM every GROUP BY text
+        HAVING min(label) = max(label)),
+    {_three_way('clean')}"""
+
 ORACLES: dict[str, str] = {
     "normalize_corpus": f"""WITH {DIRTY}, clean AS (SELECT doc_id, trim(coalesce(essay, ''), {WS}) AS text,
         {_parse('spelled')} AS label, source FROM dirty)
@@ -348,7 +362,7 @@ ORACLES: dict[str, str] = {
     "latency_p95_by_type": f"""SELECT event_type, value AS p95 FROM (SELECT event_type, value,
         row_number() OVER (PARTITION BY event_type ORDER BY value) AS rk,
         count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL) WHERE rk = {P95}""",
-    "char_encode": f"""SELECT doc_id, array_to_string(list_transform(range({CHAR_LENGTH}), i ->
+    "char_encode": f"""SELECT doc_id, array_to_string(list_transform(range({CHAR_LENGTH}), lambda i:
         CASE WHEN i >= length(text) THEN 0 ELSE coalesce({CHAR_MAP}[unicode(substr(lower(text), i + 1, 1))], 1)
         END), ',') AS ids FROM documents""",
     "char_vocab_stats": f"""WITH chars AS (SELECT unnest(string_split(lower(text), '')) AS c FROM documents)
@@ -378,6 +392,8 @@ ORACLES: dict[str, str] = {
     "prepare_two_way": f"""WITH {CORPUS}, docs AS (SELECT text, label, min(source) AS source FROM corpus
         WHERE source IN ({PERMITTED}) GROUP BY text, label), {_two_way('docs')}
         SELECT text, label, source, split FROM assigned""",
+    "publish_build": f"""WITH {PUBLISH} SELECT text, label, source_dataset, source_detail,
+        'mit' AS source_license, '' AS upstream_url, replace(split, 'val', 'validation') AS split FROM assigned""",
     "python_model_score": f"""SELECT doc_id, round({LENGTH_MODEL}, 9) AS prob_ai, 'length-v1' AS model_version
         FROM documents""",
     "python_model_report": f"""WITH {CORPUS}, scored AS (SELECT label, {LENGTH_MODEL} AS score FROM corpus),

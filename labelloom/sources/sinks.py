@@ -42,7 +42,8 @@ def read_corpus(
     """A written corpus: one split (only its directory is read), or all with ``split``."""
     reader = spark.read.schema(STANDARD_SCHEMA)
     reader = reader.options(**CSV_OPTIONS) if fmt == "csv" else reader
-    df = reader.format(fmt).load(f"{path}/{DATA}")
+    stored = reader.format(fmt).load(f"{path}/{DATA}")
+    df = standard_columns(stored, keep=["split"])  # CSV has no empty string, only NULL
     return df if split is None else df.where(F.col("split") == split).drop("split")
 
 
