@@ -620,18 +620,25 @@ def sweep(spark, sf):
     return models.sweep_leaderboard(runs)
 
 
-def load_length_model() -> models.Scorer:
-    """A stand-in for a user's Python model: longer texts score higher."""
+def length_model() -> Callable[[], models.Scorer]:
+    """A stand-in for a user's Python model: longer texts score higher.
 
-    def score(texts):
-        return [1.0 / (1.0 + math.exp(-(len(text) - 1000) / 500.0)) for text in texts]
+    The loader is a local function, so it is shipped to the executors by value and they
+    need no copy of this module.
+    """
 
-    return score
+    def load():
+        def score(texts):
+            return [1.0 / (1.0 + math.exp(-(len(text) - 1000) / 500.0)) for text in texts]
+
+        return score
+
+    return load
 
 
 def python_model_score(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    result = models.score_with_python(docs, load_length_model, "length-v1")
+    result = models.score_with_python(docs, length_model(), "length-v1")
     return rounded(result.select("doc_id", "prob_ai", "model_version"), "prob_ai")
 
 
@@ -640,7 +647,7 @@ def python_model_report(spark, sf):
     docs = corpus(spark, sf).select("text", "label")
     model = models.TrainedModel(None, 0.5, "length-v1", "python", {})
     report = models.evaluate(
-        docs, model, scorer=lambda df: models.score_with_python(df, load_length_model, "length-v1")
+        docs, model, scorer=lambda df: models.score_with_python(df, length_model(), "length-v1")
     )
     return rounded(report, *REPORT_FLOATS).drop("elapsed_seconds", "examples_per_second")
 
@@ -676,7 +683,7 @@ def stream_score(spark, sf):
     output = new_path(spark, "answers")
     query = scoring.start_scoring(
         requests,
-        lambda df: models.score_with_python(df, load_length_model, "length-v1"),
+        lambda df: models.score_with_python(df, length_model(), "length-v1"),
         output,
         f"{output}-progress",
         available_now=True,
