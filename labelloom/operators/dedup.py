@@ -12,7 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.session import stage
+
 COPIES, MIN_LABEL, MAX_LABEL, FIRST = "_copies", "_min_label", "_max_label", "_first"
+DIGEST, CONFLICT = "_sha", "_conflict"
+HOT_TEXTS = 10_000
+HOT_COPIES = 1_000
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -70,24 +75,32 @@ def drop_duplicate_texts(df: DataFrame, order_by: Sequence[str] = ()) -> DataFra
 def drop_conflicts(df: DataFrame) -> DataFrame:
     """All rows of the texts that carry one label only, copies included.
 
-    Conflicting texts are found by an aggregation over digests. Only their digests meet
-    the corpus again, in an anti join, so many copies of one text need no common task:
-    the join may split a skewed partition of the row side.
+    Labels are compared per digest, in a narrow staged table. The rows then meet the
+    conflicting digests in an anti join, except those of very frequent texts: of these
+    there can be at most ``HOT_TEXTS``, so a broadcast settles them where they lie and
+    no join task receives the copies of one text.
     """
     digest = F.sha2(F.col("text"), 256)
-    conflicting = (
-        df.groupBy(digest.alias("_digest"))
-        .agg(F.min("label").alias(MIN_LABEL), F.max("label").alias(MAX_LABEL))
-        .where(F.col(MIN_LABEL) != F.col(MAX_LABEL))
-        .select("_digest")
+    per_text = stage(
+        df.groupBy(digest.alias(DIGEST)).agg(
+            F.count(F.lit(1)).alias(COPIES), (F.min("label") != F.max("label")).alias(CONFLICT)
+        ),
+        "conflicts",
     )
-    rows = df.withColumn("_digest", digest)
-    return rows.join(conflicting, "_digest", "left_anti").drop("_digest")
+    rows = per_text.agg(F.coalesce(F.sum(COPIES), F.lit(0))).first()[0]
+    frequent = F.col(COPIES) > rows // HOT_TEXTS  # fewer than HOT_TEXTS can exceed this share
+    hot = per_text.where(frequent & (F.col(COPIES) > HOT_COPIES)).select(DIGEST, CONFLICT)
+    cold = per_text.where(CONFLICT).join(F.broadcast(hot), DIGEST, "left_anti").select(DIGEST)
+
+    tagged = df.withColumn(DIGEST, digest).join(F.broadcast(hot), DIGEST, "left")
+    of_hot = tagged.where(~F.col(CONFLICT))
+    of_cold = tagged.where(F.col(CONFLICT).isNull()).join(cold, DIGEST, "left_anti")
+    return of_hot.unionByName(of_cold).select(*df.columns)
 
 
 def split_leakage(df: DataFrame, split: str = "split") -> DataFrame:
     """How many texts, and rows of them, appear in more than one split."""
-    per_text = df.groupBy(F.sha2("text", 256).alias("_digest")).agg(
+    per_text = df.groupBy(F.sha2("text", 256).alias(DIGEST)).agg(
         F.count(F.lit(1)).alias(COPIES),
         F.min(split).alias("_low"),
         F.max(split).alias("_high"),

@@ -125,14 +125,13 @@ def source_counts(
     )
 
 
-def filter_totals(
-    df: DataFrame, licenses: LicenseList = DEFAULT_LICENSES, source_column: str = "source"
-) -> DataFrame:
-    """Rows before, after and removed, in one row."""
-    kept = F.count_if(F.col(source_column).isin(licenses.permitted_names))
-    rows = F.count(F.lit(1))
-    return df.agg(
-        rows.alias("rows_before"), kept.alias("rows_after"), (rows - kept).alias("rows_removed")
+def filter_totals(counts: DataFrame) -> DataFrame:
+    """Rows before, after and removed in one row, from a ``source_counts`` table."""
+    kept = F.when(F.col("permitted"), F.col("rows")).otherwise(0)
+    total = F.coalesce(F.sum("rows"), F.lit(0))
+    after = F.coalesce(F.sum(kept), F.lit(0))
+    return counts.agg(
+        total.alias("rows_before"), after.alias("rows_after"), (total - after).alias("rows_removed")
     )
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,12 @@ def project_map_rows(df: DataFrame, row: str, *literals: Column) -> DataFrame:
     )
 
 
+def usable_rows(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """Projected rows with a text. Unreadable labels stay, as NULL, whatever the text."""
+    rows = project(df, keep=[c for c in order_by if c not in METADATA_COLUMNS])
+    return rows.where(not_blank(F.col("text")) | F.col("label").isNull())
+
+
 def normalize(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """Project, drop blank texts, keep the first row of every (text, label).
 
@@ -54,10 +61,18 @@ def normalize(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     the result does not depend on partitioning. Rows with an unreadable label stay, with
     a NULL label, until ``validate`` or ``quarantine`` has seen them.
     """
-    rows = project(df, keep=[c for c in order_by if c not in METADATA_COLUMNS])
-    usable = rows.where(not_blank(F.col("text")) | F.col("label").isNull())
     extra = [c for c in order_by if c not in METADATA_COLUMNS]
-    return keep_first(usable, ["text", "label"], order_by).drop(*extra)
+    return keep_first(usable_rows(df, order_by), ["text", "label"], order_by).drop(*extra)
+
+
+def normalize_splits(frames: Mapping[str, DataFrame], order_by: Sequence[str] = ()) -> DataFrame:
+    """``normalize`` within each of several splits, as one table with a ``split`` column."""
+    extra = [c for c in order_by if c not in METADATA_COLUMNS]
+    tagged = [
+        usable_rows(df, order_by).withColumn("split", F.lit(split)) for split, df in frames.items()
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return keep_first(rows, ["split", "text", "label"], order_by).drop(*extra)
 
 
 @dataclass(frozen=True)
@@ -77,24 +92,40 @@ class Profile:
 PROVENANCE = ("source_dataset", "source_detail", "source_license")
 
 
-def profile(df: DataFrame) -> Profile:
-    """Row, label and provenance facts in a single pass over narrow columns."""
-    present = [c for c in PROVENANCE if c in df.columns]
-    row = df.agg(
+def _facts(df: DataFrame) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("label").isNull()).alias("invalid"),
         F.count_if(F.col("label") == 0).alias("human"),
         F.count_if(F.col("label") == 1).alias("generated"),
-        *[F.coalesce(F.bool_or(F.col(c) != ""), F.lit(False)).alias(f"has_{c}") for c in present],
-    ).first()
+        *[
+            F.coalesce(F.bool_or(F.col(c) != ""), F.lit(False)).alias(f"has_{c}")
+            for c in PROVENANCE
+            if c in df.columns
+        ],
+    ]
+
+
+def _as_profile(row) -> Profile:
     return Profile(
         rows=row["rows"],
         invalid_labels=row["invalid"],
         label_counts={0: row["human"], 1: row["generated"]},
-        has_value={c: row[f"has_{c}"] for c in present},
+        has_value={c: row[f"has_{c}"] for c in PROVENANCE if f"has_{c}" in row},
     )
 
 
+def profile(df: DataFrame) -> Profile:
+    """Row, label and provenance facts in a single pass over narrow columns."""
+    return _as_profile(df.agg(*_facts(df)).first())
+
+
+def profile_splits(df: DataFrame) -> dict[str, Profile]:
+    """``profile`` of every split in the same single pass."""
+    rows = df.groupBy("split").agg(*_facts(df)).collect()
+    return {row["split"]: _as_profile(row) for row in rows}
+
+
 def validate(facts: Profile, *, require_binary: bool = True) -> None:
     if facts.invalid_labels:
         raise ValueError(f"{facts.invalid_labels} rows have a label that is not binary")
@@ -122,6 +153,20 @@ def default_provenance(
     return filled
 
 
+def default_split_provenance(
+    df: DataFrame, facts: Mapping[str, Profile], defaults: Mapping[str, str]
+) -> DataFrame:
+    """``default_provenance`` decided for each split on its own."""
+    filled = df
+    for name, value in defaults.items():
+        current = F.coalesce(F.col(name), F.lit("")) if name in df.columns else F.lit("")
+        blank = [split for split, f in facts.items() if not f.has_value.get(name, False)]
+        filled = filled.withColumn(
+            name, F.when(F.col("split").isin(blank), F.lit(value)).otherwise(current)
+        )
+    return filled
+
+
 def tag_split(df: DataFrame, split: str) -> DataFrame:
     return df.withColumn("source_split", F.lit(split))
 

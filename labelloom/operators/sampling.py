@@ -83,40 +83,39 @@ def allocate_rows(sizes: Mapping[str, int], sample_rows: int) -> dict[str, int]:
     return rows
 
 
+Counts = dict[str, dict[int, int]]
+
+
 def presplit_sample(
     df: DataFrame,
     sample_rows: int | None,
     seed: int,
     splits: tuple[str, ...] = ("train", "val", "test"),
-) -> tuple[DataFrame, dict[str, int] | None]:
+) -> tuple[DataFrame, dict[str, int] | None, Counts]:
     """Sample a table that already has a ``split`` column, balanced inside each split.
 
     All splits are ranked together in one pass; each has its own seed. Returns the
-    sample and the allocation, which is None if the cap does not bind.
+    sample, the allocation, which is None if the cap does not bind, and the rows per
+    split and label.
     """
-    if sample_rows is None:
-        return df, None
     seeds = F.lit(seed)
     for offset, split in enumerate(splits):
         seeds = F.when(F.col("split") == split, F.lit(seed + offset)).otherwise(seeds)
     allocation: dict[str, int] = {}
+    taken: Counts = {}
 
     def targets(counts):
-        sizes = {s: sum(n for key, n in counts.items() if key[0] == s) for s in splits}
-        if sample_rows >= sum(sizes.values()):
-            return {key: [n] for key, n in counts.items()}
-        allocation.update(allocate_rows(sizes, sample_rows))
-        wanted = {}
-        for s in splits:
-            per_label = {label: counts.get((s, label), 0) for label in LABELS}
-            if allocation[s] >= sizes[s]:
-                quota = per_label
-            else:
-                quota = balanced_targets(per_label, allocation[s])
-            wanted.update({(s, label): [n] for label, n in quota.items()})
-        return wanted
+        per_split = {s: {y: counts.get((s, y), 0) for y in LABELS} for s in splits}
+        sizes = {s: sum(per_label.values()) for s, per_label in per_split.items()}
+        taken.update(per_split)
+        if sample_rows is not None and sample_rows < sum(sizes.values()):
+            allocation.update(allocate_rows(sizes, sample_rows))
+            for s, rows in allocation.items():
+                if rows < sizes[s]:
+                    taken[s] = balanced_targets(per_split[s], rows)
+        return {(s, y): [n] for s, per_label in taken.items() for y, n in per_label.items()}
 
     ranked = rank_rows(df, ["split", "label"], order_key(df, seeds, "sample"), targets)
     if not allocation:
-        return df, None
-    return ranked.take().select(*df.columns), allocation
+        return df, None, taken
+    return ranked.take().select(*df.columns), allocation, taken

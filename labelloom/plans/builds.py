@@ -41,21 +41,22 @@ from labelloom.operators.normalize import (
     validate,
 )
 from labelloom.operators.ranking import DIGEST, with_digest
-from labelloom.operators.sampling import balanced_sample, presplit_sample
+from labelloom.operators.sampling import balanced_sample, balanced_targets, presplit_sample
 from labelloom.operators.splits import split_three_way, split_two_way
-from labelloom.session import path_exists, stage
+from labelloom.session import path_exists, scratch, stage
 from labelloom.sources.sinks import METADATA, write_corpus, write_json, write_split_table
 from labelloom.sources.tabular import (
     csv_source,
-    load_local_split,
-    load_published_split,
+    ingest,
+    load_local_splits,
+    load_published_splits,
     read_columns,
-    read_csv,
     read_source,
 )
 from labelloom.streaming.quota import StreamSource, balanced_quota, collect_quota
 
 SPLITS = ("train", "val", "test")
+STORED_SPLITS = ("train", "validation", "test")
 ORDINAL = "_source_ordinal"
 
 
@@ -68,7 +69,7 @@ class PublishedCorpus:
     license: str = "other"
     pre_split: bool = True
     split: str = "train"
-    split_names: tuple[str, str, str] = ("train", "validation", "test")
+    split_names: tuple[str, str, str] = STORED_SPLITS
     sample_rows: int | None = 60_000
     max_files_per_batch: int = 64
 
@@ -118,25 +119,16 @@ def _split_metadata(by_split: dict[str, dict[int, int]]) -> dict[str, Any]:
     return facts
 
 
-def _counts_by_split(df: DataFrame) -> dict[str, dict[int, int]]:
-    table: dict[str, dict[int, int]] = {split: {} for split in SPLITS}
-    for row in df.groupBy("split", "label").count().collect():
-        table[row["split"]][row["label"]] = row["count"]
-    return table
-
-
-def write_source_counts(df: DataFrame, path: str, licenses: LicenseList) -> None:
-    """Kept and removed sources as a table: their number has no bound a report could hold."""
-    source_counts(df, licenses).write.mode("overwrite").json(path)
-
-
 def license_filter_facts(
-    df: DataFrame, enabled: bool, licenses: LicenseList = DEFAULT_LICENSES
+    df: DataFrame, enabled: bool, licenses: LicenseList, counts_path: str
 ) -> dict[str, Any]:
+    """What the licence filter did. The rows per source go to a table: their number is open."""
     if not enabled:
         reason = "no known source" if "source" in df.columns else "no source column"
         return {"enabled": False, "reason": reason}
-    return {"enabled": True, "source_column": "source", **filter_totals(df, licenses).first().asDict()}
+    source_counts(df, licenses).write.mode("overwrite").parquet(counts_path)
+    totals = filter_totals(df.sparkSession.read.parquet(counts_path)).first().asDict()
+    return {"enabled": True, "source_column": "source", "source_counts": counts_path, **totals}
 
 
 def local_rows(
@@ -149,18 +141,20 @@ def local_rows(
     validate(facts, require_binary=False)
     named = default_provenance(rows, facts, {"source_dataset": source_name})
     tagged = tag_split(named, "local")
-    sampled = balanced_sample(
-        tagged, config.local.sample_rows, config.seed, purpose=f"sample-{ordinal}"
-    )
-    used = profile(sampled) if config.local.sample_rows is not None else facts
+    cap, purpose = config.local.sample_rows, f"sample-{ordinal}"
+    sampled = balanced_sample(tagged, cap, config.seed, purpose)
+    used = facts.label_counts
+    if cap is not None and cap < facts.rows:
+        used = balanced_targets(used, cap)
+    counts_path = f"{config.output}/source_filter/{ordinal}"
     return sampled.drop(DIGEST), {
         "kind": "local_csv",
         "source_name": source_name,
         "declared_license": config.local.license,
-        "license_filter": license_filter_facts(df, enabled, config.licenses),
+        "license_filter": license_filter_facts(df, enabled, config.licenses, counts_path),
         "rows_normalized": facts.rows,
-        "rows_used": used.rows,
-        "label_counts": _named(used.label_counts),
+        "rows_used": sum(used.values()),
+        "label_counts": _named(used),
     }
 
 
@@ -195,10 +189,7 @@ def build_multi_source(spark: SparkSession, config: BuildConfig) -> dict[str, An
     for ordinal, path in enumerate(config.local.paths):
         name = config.local.source_name or path.rstrip("/").rsplit("/", 1)[-1]
         resolved = csv_source(spark, path)
-        raw = read_csv(spark, resolved)
-        rows, facts = local_rows(raw, name, config, ordinal)
-        if facts["license_filter"]["enabled"]:
-            write_source_counts(raw, f"{config.output}/source_filter/{ordinal}", config.licenses)
+        rows, facts = local_rows(ingest(spark, resolved), name, config, ordinal)
         frames.append(rows)
         sources.append({**facts, "source_csv": resolved})
     if not frames:
@@ -235,41 +226,26 @@ def _finish(spark, config: BuildConfig, sources, counters, by_split) -> dict[str
     return metadata
 
 
-def sample_presplit(
-    frames: dict[str, DataFrame], sample_rows: int | None, seed: int
-) -> tuple[DataFrame, dict[str, Any], dict[str, dict[int, int]]]:
-    """Pre-split sources as one table with a ``split`` column, capped if the cap binds.
+def _build_presplit(
+    spark, config: BuildConfig, rows: DataFrame, facts, sample_rows, source
+) -> dict[str, Any]:
+    """Cap, write and report a table of splits.
 
     These builds keep copies across splits, so the number of leaked texts is reported.
     """
-    tagged = [df.withColumn("split", F.lit(split)) for split, df in frames.items()]
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    if DIGEST not in combined.columns:
-        combined = stage(with_digest(combined), "presplit")
-    sampled, allocation = presplit_sample(combined, sample_rows, seed, tuple(frames))
-    before = _counts_by_split(combined)
-    after = before if allocation is None else _counts_by_split(sampled)
-    facts = {
-        "sampled_rows_by_split": allocation,
-        "rows_before_cross_source_deduplication": sum(sum(c.values()) for c in before.values()),
-        "split_leakage": split_leakage(sampled).first().asDict(),
-    }
-    return sampled, facts, after
-
-
-def _build_presplit(spark, config: BuildConfig, frames, sample_rows, source) -> dict[str, Any]:
-    sampled, facts, by_split = sample_presplit(frames, sample_rows, config.seed)
+    sampled, allocation, by_split = presplit_sample(rows, sample_rows, config.seed, SPLITS)
     write_corpus(sampled, config.output, config.fmt)
     source = {
         **source,
         "sample_rows": sample_rows,
         "rows_used": sum(sum(c.values()) for c in by_split.values()),
-        "sampled_rows_by_split": facts.pop("sampled_rows_by_split"),
+        "sampled_rows_by_split": allocation,
     }
     counters = {
-        **facts,
+        "rows_before_cross_source_deduplication": sum(f.rows for f in facts.values()),
         "rows_with_conflicting_labels_removed": 0,
         "duplicate_text_rows_removed": 0,
+        "split_leakage": split_leakage(sampled).first().asDict(),
     }
     return _finish(spark, config, [source], counters, by_split)
 
@@ -283,10 +259,10 @@ def build_local_presplit(spark: SparkSession, config: BuildConfig) -> dict[str,
     if missing:
         raise FileNotFoundError(f"pre-split data files are missing: {', '.join(missing)}")
     name = local.source_name or (config.published.name if config.published else "local")
-    frames = {
-        split: load_local_split(read_source(spark, path), tag, name, local.license, config.order_by)
-        for split, tag, path in zip(SPLITS, ("train", "validation", "test"), local.split_paths)
-    }
+    frames = {s: read_source(spark, path) for s, path in zip(SPLITS, local.split_paths)}
+    rows, facts = load_local_splits(
+        frames, dict(zip(SPLITS, STORED_SPLITS)), name, local.license, config.order_by
+    )
     sample_rows = local.sample_rows
     if sample_rows is None and config.published is not None:
         sample_rows = config.published.sample_rows
@@ -296,32 +272,34 @@ def build_local_presplit(spark: SparkSession, config: BuildConfig) -> dict[str,
         "declared_license": local.license,
         **{f"{s}_path": p for s, p in zip(SPLITS, local.split_paths)},
     }
-    return _build_presplit(spark, config, frames, sample_rows, source)
+    return _build_presplit(spark, config, rows, facts, sample_rows, source)
 
 
 def build_published_presplit(spark: SparkSession, config: BuildConfig) -> dict[str, Any]:
     """A mirrored corpus that already has its splits."""
     corpus = config.published
-    frames = {
-        split: load_published_split(spark, corpus.mirror, stored, config.order_by)
-        for split, stored in zip(SPLITS, corpus.split_names)
-    }
+    stored = dict(zip(SPLITS, corpus.split_names))
+    rows, facts = load_published_splits(spark, corpus.mirror, stored, config.order_by)
     source = {
         "kind": "published_presplit",
         "dataset": corpus.name,
         "declared_license": corpus.license,
-        **{f"{s}_split": stored for s, stored in zip(SPLITS, corpus.split_names)},
+        **{f"{s}_split": name for s, name in stored.items()},
     }
-    return _build_presplit(spark, config, frames, corpus.sample_rows, source)
+    return _build_presplit(spark, config, rows, facts, corpus.sample_rows, source)
 
 
 def build_corpus(spark: SparkSession, config: BuildConfig) -> dict[str, Any]:
     """Choose the build: local pre-split, then published pre-split, then multi-source."""
+    published = config.published
     if config.local.split_paths is not None:
-        return build_local_presplit(spark, config)
-    if config.published is not None and config.published.pre_split and not config.local.paths:
-        return build_published_presplit(spark, config)
-    return build_multi_source(spark, config)
+        build = build_local_presplit
+    elif published is not None and published.pre_split and not config.local.paths:
+        build = build_published_presplit
+    else:
+        build = build_multi_source
+    with scratch(spark):
+        return build(spark, config)
 
 
 def prepare_two_way(
@@ -334,21 +312,22 @@ def prepare_two_way(
     order_by: Sequence[str] = (),
 ) -> dict[str, Any]:
     """One source to train and val, with all of its normalised columns."""
-    filtered, enabled = filter_permitted(df, licenses)
-    rows = stage(with_digest(normalize(filtered, order_by)), "prepared")
-    validate(profile(rows))
-    assigned, by_split = split_two_way(rows, val_fraction, seed)
-    write_split_table(assigned.drop(DIGEST), output)
-    if enabled:
-        write_source_counts(df, f"{output}/source_filter", licenses)
-    metadata = {
-        "license_filter": license_filter_facts(df, enabled, licenses),
-        "seed": seed,
-        "val_fraction": val_fraction,
-        **_split_metadata(by_split),
-    }
-    write_json(spark, metadata, f"{output}/{METADATA}")
-    return metadata
+    with scratch(spark):
+        filtered, enabled = filter_permitted(df, licenses)
+        rows = stage(with_digest(normalize(filtered, order_by)), "prepared")
+        validate(profile(rows))
+        assigned, by_split = split_two_way(rows, val_fraction, seed)
+        write_split_table(assigned.drop(DIGEST), output)
+        metadata = {
+            "license_filter": license_filter_facts(
+                df, enabled, licenses, f"{output}/source_filter"
+            ),
+            "seed": seed,
+            "val_fraction": val_fraction,
+            **_split_metadata(by_split),
+        }
+        write_json(spark, metadata, f"{output}/{METADATA}")
+        return metadata
 
 
 @dataclass(frozen=True)
@@ -372,6 +351,11 @@ def permitted_local_rows(df: DataFrame, licenses: LicenseList = DEFAULT_LICENSES
 
 def build_publish(spark: SparkSession, config: PublishConfig) -> dict[str, Any]:
     """Permitted local rows topped up from a stream, de-duplicated, split, as Parquet."""
+    with scratch(spark):
+        return _publish(spark, config)
+
+
+def _publish(spark: SparkSession, config: PublishConfig) -> dict[str, Any]:
     raw = read_columns(spark, config.local_path, ["text", "label", "source"])
     local = stage(permitted_local_rows(raw, config.licenses), "permitted")
     facts = profile(local)

@@ -209,7 +209,7 @@ def license_counts(spark, sf):
 
 
 def license_totals(spark, sf):
-    return licenses.filter_totals(corpus(spark, sf), TEST_LICENSES)
+    return licenses.filter_totals(licenses.source_counts(corpus(spark, sf), TEST_LICENSES))
 
 
 def source_license_counts(spark, sf):
@@ -283,7 +283,7 @@ def presplit_allocation(spark, sf):
 
 def presplit_sample_query(spark, sf):
     rows = stage(ranking.with_digest(presplit(spark, sf)))
-    sampled, _ = presplit_sample(rows, rows.count() // 2, SEED)
+    sampled, _, _ = presplit_sample(rows, rows.count() // 2, SEED)
     return sampled.drop(ranking.DIGEST)
 
 
@@ -487,6 +487,12 @@ def training_scan(spark, sf):
     return tabular.read_split(rows)
 
 
+def training_scan_limited(spark, sf):
+    """The capped training input. Copies are not removed here, and still the size is exact."""
+    rows = dirty(spark, sf).withColumnRenamed("essay", "text")
+    return tabular.read_split(rows, table(spark, sf, "documents").count() // 3, SEED)
+
+
 def evaluation_scan(spark, sf):
     return tabular.read_evaluation(dirty(spark, sf).withColumnRenamed("essay", "text"))
 
@@ -517,7 +523,7 @@ def local_source(spark, sf):
     rows, _ = builds.local_rows(
         corpus(spark, sf),
         "local",
-        BuildConfig("", LocalCorpus(sample_rows=None), licenses=TEST_LICENSES, order_by=("doc_id",)),
+        BuildConfig(new_path(spark, "local"), licenses=TEST_LICENSES, order_by=("doc_id",)),
     )
     return rows
 
@@ -763,6 +769,7 @@ QUERIES: dict[str, Query] = {
     "split_parquet_one": split_parquet_one,
     "projected_scan": projected_scan,
     "training_scan": training_scan,
+    "training_scan_limited": training_scan_limited,
     "evaluation_scan": evaluation_scan,
     "ensured_table": ensured_table,
     "local_source": local_source,

@@ -15,7 +15,6 @@ from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from labelloom.operators.history import best_epoch, leaderboard
 from labelloom.operators.metrics import bce_loss, check_scored, classification_report
@@ -149,22 +148,22 @@ def score_with_python(
 ) -> DataFrame:
     """Score with a Python model: loaded once per task, called on Arrow batches.
 
-    ``load`` must be picklable and returns a function from texts to probabilities; it is
+    Only the text column travels to Python. ``load`` must be picklable and returns a function from texts to probabilities; it is
     called with at most ``batch_size`` texts.
     """
-    columns = df.columns
 
-    def score_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = load()
-        for batch in batches:
+        for texts in batches:
             probabilities: list[float] = []
-            for start in range(0, len(batch), batch_size):
-                texts = batch["text"].iloc[start : start + batch_size]
-                probabilities.extend(float(p) for p in scorer(texts))
-            yield batch[columns].assign(prob_ai=probabilities)
+            for start in range(0, len(texts), batch_size):
+                probabilities.extend(float(p) for p in scorer(texts.iloc[start : start + batch_size]))
+            yield pd.Series(probabilities, dtype="float64")
 
-    schema = T.StructType([*df.schema.fields, T.StructField("prob_ai", T.DoubleType())])
-    return df.mapInPandas(score_batches, schema).withColumn("model_version", F.lit(version))
+    probability = F.pandas_udf(score_batches, "double")
+    return df.select(
+        "*", probability(F.col("text")).alias("prob_ai"), F.lit(version).alias("model_version")
+    )
 
 
 def predict(spark: SparkSession, texts: Sequence[str], model: TrainedModel) -> list[float]:

@@ -376,6 +376,9 @@ ORACLES: dict[str, str] = {
     "projected_scan": "SELECT text, source FROM documents",
     "training_scan": f"""WITH {DIRTY}, clean AS (SELECT trim(coalesce(essay, ''), {WS}) AS text,
         {_parse('spelled')} AS label FROM dirty) SELECT text, label FROM clean WHERE length(text) > 0""",
+    "training_scan_limited": f"""WITH {DIRTY}, clean AS (SELECT trim(coalesce(essay, ''), {WS}) AS text,
+        {_parse('spelled')} AS label FROM dirty), kept AS (SELECT text, label FROM clean WHERE length(text) > 0),
+        {_balanced('kept', '(SELECT count(*) // 3 FROM documents)')} SELECT text, label FROM sampled""",
     "evaluation_scan": f"""WITH {DIRTY} SELECT coalesce(essay, '') AS text, {_parse('spelled')} AS label
         FROM dirty""",
     "ensured_table": f"WITH {CORPUS} SELECT label, count(*) AS rows FROM corpus GROUP BY label",

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,23 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Session settings for a corpus of this size: shuffle blocks near 200 MB, AQE on.
+
+    The initial partition number follows the data; AQE merges what turns out small and
+    splits what turns out skewed.
+    """
+    partitions = max(4 * executor_cores, input_bytes // (200 << 20), 200)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as named by the cluster.
 
@@ -46,8 +66,33 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_job_paths: ContextVar[list[str] | None] = ContextVar("job_paths", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are dropped at the end, also after a failure.
+
+    For jobs that write their result. A DataFrame must not leave the block if it reads a
+    staged table.
+    """
+    paths: list[str] = []
+    token = _job_paths.set(paths)
+    try:
+        yield
+    finally:
+        _job_paths.reset(token)
+        for path in paths:
+            hadoop_path, fs = _file_system(spark, path)
+            fs.delete(hadoop_path, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/labelloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder."""
+    path = f"{shared_dir(spark)}/labelloom/{name}-{uuid.uuid4().hex}"
+    if (paths := _job_paths.get()) is not None:
+        paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 from labelloom.functions.text import clean_text, not_blank, parse_label
 from labelloom.operators.columns import exact, require_columns
 from labelloom.operators.normalize import (
-    default_provenance,
-    normalize,
+    Profile,
+    default_split_provenance,
+    normalize_splits,
     profile,
-    tag_split,
+    profile_splits,
     validate,
 )
-from labelloom.operators.ranking import with_digest
+from labelloom.operators.ranking import DIGEST, with_digest
 from labelloom.operators.sampling import balanced_sample
 from labelloom.session import is_directory, path_exists, stage
 
@@ -96,6 +97,12 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     return reader(spark, path)
 
 
+def ingest(spark: SparkSession, path: str) -> DataFrame:
+    """A source ready for several passes: CSV is parsed once and staged as Parquet."""
+    df = read_source(spark, path)
+    return stage(df, "ingest") if source_format(spark, path) == "csv" else df
+
+
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """A projected read; the scan is pruned to these columns."""
     df = read_source(spark, path)
@@ -123,41 +130,73 @@ def read_evaluation(df: DataFrame) -> DataFrame:
     return df.select(text.alias("text"), label.alias("label"))
 
 
-def load_published_split(
-    spark: SparkSession, mirror: str, split: str, order_by: Sequence[str] = ()
-) -> DataFrame:
-    """One split of a mirrored corpus: the files or folder whose name starts with the split's.
+PROVENANCE_URL = "upstream_url"
 
-    Loaded splits are staged and checked; they carry the text digest that sampling uses.
+
+def load_published_splits(
+    spark: SparkSession, mirror: str, stored: Mapping[str, str], order_by: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, Profile]]:
+    """All splits of a mirrored corpus as one checked table.
+
+    ``stored`` maps a split to the start of its files' or folder's name in the mirror.
     """
-    stored = spark.read.parquet(f"{mirror}/{split}*")
-    return _checked(stored, order_by)[0].transform(tag_split, split)
+    frames = {split: spark.read.parquet(f"{mirror}/{name}*") for split, name in stored.items()}
+    rows, facts = _checked(frames, order_by)
+    return _tag_splits(rows, stored), facts
 
 
-def load_local_split(
-    df: DataFrame,
-    split: str,
+def load_local_splits(
+    frames: Mapping[str, DataFrame],
+    stored: Mapping[str, str],
     source_name: str,
     declared_license: str,
     order_by: Sequence[str] = (),
-) -> DataFrame:
-    """A local split with provenance defaults where the whole column is missing or blank."""
-    rows, facts = _checked(df, order_by)
+) -> tuple[DataFrame, dict[str, Profile]]:
+    """Local splits as one checked table; provenance columns blank in a split get defaults."""
+    rows, facts = _checked(frames, order_by)
     defaults = {
         "source_dataset": source_name,
         "source_detail": source_name,
         "source_license": declared_license,
     }
-    return default_provenance(rows, facts, defaults, url=True).transform(tag_split, split)
+    filled = default_split_provenance(rows, facts, defaults)
+    if PROVENANCE_URL not in filled.columns:
+        filled = filled.withColumn(PROVENANCE_URL, F.lit(""))
+    return _tag_splits(filled, stored), facts
+
 
+def load_published_split(
+    spark: SparkSession, mirror: str, split: str, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """One split of a mirrored corpus, checked and tagged."""
+    return load_published_splits(spark, mirror, {split: split}, order_by)[0].drop("split", DIGEST)
 
-def _checked(df: DataFrame, order_by: Sequence[str]):
-    staged = stage(with_digest(normalize(df, order_by)), "normalized")
-    facts = profile(staged)
-    validate(facts)
+
+def load_local_split(
+    df: DataFrame, split: str, source_name: str, declared_license: str, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """One local split, checked, tagged and with provenance."""
+    rows, _ = load_local_splits(
+        {split: df}, {split: split}, source_name, declared_license, order_by
+    )
+    return rows.drop("split", DIGEST)
+
+
+def _checked(frames: Mapping[str, DataFrame], order_by: Sequence[str]):
+    """Staged once with the digest that sampling needs, then checked split by split."""
+    staged = stage(with_digest(normalize_splits(frames, order_by)), "normalized")
+    facts = profile_splits(staged)
+    empty = Profile(0, 0, {0: 0, 1: 0}, {})
+    for split in frames:
+        validate(facts.get(split, empty))
     return staged, facts
 
 
+def _tag_splits(df: DataFrame, stored: Mapping[str, str]) -> DataFrame:
+    names = F.create_map(*[F.lit(x) for pair in stored.items() for x in pair])
+    return df.withColumn("source_split", names[F.col("split")])
+
+
 STANDARD_SCHEMA = T.StructType(
     [
         T.StructField("text", T.StringType()),

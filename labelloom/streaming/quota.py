@@ -60,15 +60,18 @@ def stream_rows(
 class QuotaSink:
     """Accepts micro-batches until the quota is met.
 
-    A batch is written under its own id, and what earlier batches took is read back from
+    A batch is written under its own id, and what earlier batches took is known from
     their directories. Running a batch again therefore takes the same rows and replaces
-    them, so a restart from the checkpoint loses and doubles nothing.
+    them, so a restart from the checkpoint loses and doubles nothing. The directories
+    are read at the first batch of a run, and again only if a batch repeats.
     """
 
     def __init__(self, spark: SparkSession, path: str, quota: Mapping[int, int], seed: int):
         self.spark, self.path, self.quota, self.seed = spark, path, dict(quota), seed
         self.full = not any(quota.values())
         self.error: str | None = None
+        self._last_batch: int | None = None
+        self._counts: dict[int, int] = {}
 
     def _batch_path(self, batch_id: int) -> str:
         return f"{self.path}/batch={batch_id}"
@@ -89,7 +92,9 @@ class QuotaSink:
         if self.full or self.error:
             return
         rows = stage(with_digest(batch), "batch")
-        already = self.taken(before=batch_id)
+        if self._last_batch is None or batch_id <= self._last_batch:
+            self._counts = self.taken(before=batch_id)
+        already = self._counts
         open_quota = {label: self.quota[label] - already[label] for label in self.quota}
         if not rows.where(F.col("label").isNull()).isEmpty():
             self.error = "the stream holds a label that is not binary"
@@ -103,7 +108,9 @@ class QuotaSink:
             self._batch_path(batch_id)
         )
         got = {label: min(n, ranked.counts.get((label,), 0)) for label, n in open_quota.items()}
-        self.full = got == open_quota
+        self._counts = {label: already[label] + got[label] for label in got}
+        self._last_batch = batch_id
+        self.full = self._counts == self.quota
 
 
 def collect_quota(

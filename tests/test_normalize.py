@@ -121,7 +121,7 @@ def test_license_filter_keeps_permitted_sources_only(spark):
         ("allowed one", "chat_gpt_moth", "mit"),
         ("allowed two", "radek_500", "cc0-1.0"),
     ]
-    assert filter_totals(licensed(spark)).first().asDict() == {
+    assert filter_totals(source_counts(licensed(spark))).first().asDict() == {
         "rows_before": 6,
         "rows_after": 2,
         "rows_removed": 4,
@@ -164,6 +164,17 @@ def test_conflicts_go_with_all_their_copies(spark):
     assert rows(drop_duplicate_texts(once), "text") == rows(once, "text")
 
 
+def test_copies_of_frequent_texts_need_no_common_task(spark, monkeypatch):
+    import labelloom.operators.dedup as dedup
+
+    monkeypatch.setattr(dedup, "HOT_COPIES", 1)
+    monkeypatch.setattr(dedup, "HOT_TEXTS", 4)
+    data = [("hot ok", 0)] * 30 + [("hot bad", i % 2) for i in range(30)] + [("x", 0), ("x", 1), ("y", 1)]
+    df = spark.createDataFrame(data, "text string, label int")
+    kept = [r.text for r in drop_conflicts(df).collect()]
+    assert sorted(kept) == ["hot ok"] * 30 + ["y"]
+
+
 def test_sources_win_by_order_and_missing_columns_are_null(spark):
     first = spark.createDataFrame([("b", 1, "late")], "text string, label int, source string")
     second = spark.createDataFrame([("b", 1, "aaa"), ("d", 0, "q")], "text string, label int, url string")

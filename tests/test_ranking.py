@@ -159,11 +159,12 @@ def test_presplit_sample_balances_inside_each_split(spark):
         for i in range(n)
     ]
     df = spark.createDataFrame(data, "text string, label int, split string")
-    sampled, allocation = presplit_sample(df, 80, 42)
+    sampled, allocation, taken = presplit_sample(df, 80, 42)
     assert allocation == {"train": 40, "val": 20, "test": 20}
     counts = Counter((r.split, r.label) for r in sampled.collect())
     assert counts == {(s, y): n // 2 for s, n in allocation.items() for y in (0, 1)}
-    assert presplit_sample(df, 160, 42) == (df, None)
+    assert taken == {s: {0: n // 2, 1: n // 2} for s, n in allocation.items()}
+    assert presplit_sample(df, 160, 42)[:2] == (df, None)
 
 
 def test_split_sizes():
