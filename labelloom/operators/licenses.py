@@ -69,9 +69,15 @@ class LicenseList:
         return self.permitted_names + list(self.excluded)
 
     def dimension(self, spark: SparkSession, source_column: str = "source") -> DataFrame:
-        rows = [(p.source, p.source_dataset, p.source_license, p.upstream_url) for p in self.permitted]
-        names = [source_column, *ATTRIBUTES]
-        return spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+        """The permitted sources as a table of literals."""
+        rows = [
+            F.struct(
+                F.lit(p.source).alias(source_column),
+                *[F.lit(getattr(p, name)).alias(name) for name in ATTRIBUTES],
+            )
+            for p in self.permitted
+        ]
+        return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 DEFAULT_LICENSES = LicenseList()

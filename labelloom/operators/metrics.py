@@ -54,17 +54,21 @@ def _f1(precision: Column, recall: Column) -> Column:
     return ratio_or_zero(2 * precision * recall, precision + recall)
 
 
-def _wide(count: str) -> Column:
-    """Counts multiply pairwise: exact decimals, since a product can pass 64 bits."""
-    return F.col(count).cast("decimal(19,0)")
-
-
 def _roc_auc() -> Column:
-    """Pairs ranked right, ties half, over all pairs; doubled so the sum stays whole."""
-    above = _wide("pos_running") - _wide("pos")
-    doubled = F.sum(_wide("neg") * (above + above + _wide("pos")))
-    pairs = F.max("pos_total").cast("double") * F.max("neg_total")
-    return F.when(pairs > 0, doubled.cast("double") / (2 * pairs))
+    """Pairs ranked right, ties half, over all pairs; doubled so that the sum stays whole.
+
+    The sum is at most twice the number of pairs. Where that fits, 64-bit integers are
+    used, beyond it decimals: exact in both cases.
+    """
+    pairs = F.col("pos_total").cast("double") * F.col("neg_total")
+    fits = pairs < 4e18
+    pos, neg, above = F.col("pos"), F.col("neg"), F.col("pos_running") - F.col("pos")
+    narrow = F.sum(F.when(fits, neg * (2 * above + pos)))
+    wide = F.sum(
+        F.when(~fits, neg.cast("decimal(19,0)") * (2 * above + pos).cast("decimal(19,0)"))
+    )
+    doubled = F.coalesce(narrow.cast("double"), wide.cast("double"))
+    return F.when(F.max(pairs) > 0, doubled / (2 * F.max(pairs)))
 
 
 def _pr_auc() -> Column:

@@ -26,6 +26,7 @@ DIGEST = "_digest"
 ORDER = "_order"
 DIGITS = 3
 BUCKETS = 16**DIGITS
+WHOLE = 1_000  # longer than any order key
 MAX_KEYS = 256
 
 Key = tuple
@@ -76,7 +77,8 @@ class _Search:
     key: Key
     rank: int
     prefix: str
-    before: int
+    before: int  # rows of the key below the prefix
+    rows: int  # rows of the key with the prefix
 
 
 def _key_filter(keys: Sequence[str], key: Key) -> Column:
@@ -119,8 +121,8 @@ def find_cuts(
     """Rows per key, and the cut for every (key, rank) that ``targets`` asks for.
 
     ``targets`` is called with the counts, so quotas that depend on them cost no extra
-    pass. Passes over ``df`` read only the keys and the order column: one to count, and
-    usually one or two more, each over a 1/4096 share of the rows.
+    pass. Passes over ``df`` read only the keys and the order column: one to count, one
+    that looks into the buckets found, and a third only beyond some ten million rows.
     """
     first = _counts_by_prefix(df, keys, order, DIGITS, bounds=False)
     counts = {key: sum(b[1] for b in buckets) for key, buckets in first.items()}
@@ -135,16 +137,20 @@ def find_cuts(
                 cuts[key, rank] = Cut(None, 0, 0)
             else:
                 bucket, before = _locate(first[key], rank, 0)
-                searches.append(_Search(key, rank, bucket[0], before))
+                searches.append(_Search(key, rank, bucket[0], before, bucket[1]))
 
     while searches:
-        length = max(len(s.prefix) for s in searches) + DIGITS
+        # Few rows left: tell them all apart at once rather than by another level.
+        few = sum(s.rows for s in searches) <= 16 * BUCKETS
+        length = WHOLE if few else max(len(s.prefix) for s in searches) + DIGITS
+        prefixes = defaultdict(set)
+        for s in searches:
+            prefixes[len(s.prefix)].add(s.prefix)
+        # By prefix only: one evaluation of the key per row. Other keys' rows with the
+        # same prefix are few, and their buckets are not looked at.
         wanted = reduce(
             lambda a, b: a | b,
-            {
-                (s.key, s.prefix): _key_filter(keys, s.key) & order.startswith(s.prefix)
-                for s in searches
-            }.values(),
+            (F.substring(order, 1, n).isin(*found) for n, found in prefixes.items()),
         )
         level = _counts_by_prefix(df.where(wanted), keys, order, length, bounds=True)
         unresolved = []
@@ -155,7 +161,7 @@ def find_cuts(
                 cuts[s.key, s.rank] = Cut(low, s.rank - before, n)
             else:
                 common = os.path.commonprefix([low, high])
-                unresolved.append(_Search(s.key, s.rank, common, before))
+                unresolved.append(_Search(s.key, s.rank, common, before, n))
         searches = unresolved
     return counts, cuts
 

@@ -219,10 +219,13 @@ def throughput(rows: Column, elapsed: float) -> list[Column]:
 
 def save_model(model: TrainedModel, path: str) -> None:
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    meta = [(model.model_type, model.version, float(model.threshold))]
     spark = SparkSession.active()
-    df = spark.createDataFrame(meta, "model_type string, model_version string, threshold double")
-    df.coalesce(1).write.mode("overwrite").parquet(f"{path}/model_meta")
+    meta = spark.range(1, numPartitions=1).select(
+        F.lit(model.model_type).alias("model_type"),
+        F.lit(model.version).alias("model_version"),
+        F.lit(float(model.threshold)).alias("threshold"),
+    )
+    meta.write.mode("overwrite").parquet(f"{path}/model_meta")
     write_report(_metrics_row(spark, model), f"{path}/metrics")
 
 

@@ -50,8 +50,7 @@ def read_corpus(
 def write_json(spark: SparkSession, payload: dict[str, Any], path: str) -> None:
     """A small driver-side record (counts, settings) as indented JSON with sorted keys."""
     text = json.dumps(payload, indent=2, sort_keys=True)
-    record = spark.createDataFrame([(text,)], "value string")
-    record.coalesce(1).write.mode("overwrite").text(path)
+    spark.range(1, numPartitions=1).select(F.lit(text)).write.mode("overwrite").text(path)
 
 
 def read_json(spark: SparkSession, path: str) -> dict[str, Any]:
