@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +35,12 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 
 
 def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
-    """Session settings for a corpus of this size: shuffle blocks near 200 MB, AQE on.
+    """Session settings for a corpus of this size: shuffle partitions near 512 MB, AQE on.
 
     The initial partition number follows the data; AQE merges what turns out small and
     splits what turns out skewed.
     """
-    partitions = max(4 * executor_cores, input_bytes // (200 << 20), 200)
+    partitions = max(4 * executor_cores, input_bytes // (512 << 20), 200)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -61,9 +62,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="labelloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return _temporary_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _temporary_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"labelloom-{application}-")
 
 
 _job_paths: ContextVar[list[str] | None] = ContextVar("job_paths", default=None)

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -123,28 +124,35 @@ def test_balanced_sample_errors(spark):
         balanced_sample(corpus(spark, 5, 0), 3, 42)
 
 
-def row_by_row(sizes, wanted):
-    """The allocation rule played out one row at a time."""
-    total = sum(sizes.values())
-    exact = {s: wanted * n / total for s, n in sizes.items()}
-    rows = {s: min(sizes[s], max(2, int(exact[s]))) for s in sizes}
-    names = list(sizes)
-    while sum(rows.values()) != wanted:
-        if sum(rows.values()) > wanted:
-            pool = [s for s in names if rows[s] > 2]
-            rows[max(pool, key=lambda s: (rows[s] - exact[s], rows[s], -names.index(s)))] -= 1
-        else:
-            pool = [s for s in names if rows[s] < sizes[s]]
-            rows[max(pool, key=lambda s: (exact[s] - rows[s], sizes[s], -names.index(s)))] += 1
-    return rows
+def assert_fair(sizes, wanted, rows):
+    """Bounds, the exact sum, and: no row settled elsewhere would have served better."""
+    assert sum(rows.values()) == wanted
+    assert all(2 <= rows[s] <= sizes[s] for s in sizes)
+    exact = {s: wanted * n / sum(sizes.values()) for s, n in sizes.items()}
+    start = {s: max(2, math.floor(exact[s])) for s in sizes}
+    sign = 1 if wanted >= sum(start.values()) else -1
+    moved = {s: sign * (rows[s] - start[s]) for s in sizes}
+    assert min(moved.values()) >= 0
 
+    def merit(order, s, step):
+        level = start[s] + sign * step
+        return (sign * (exact[s] - level), sizes[s] if sign > 0 else level, -order)
 
-def test_allocation_equals_the_step_by_step_rule():
+    def possible(s, step):
+        return start[s] + step < sizes[s] if sign > 0 else start[s] - step > 2
+
+    named = list(enumerate(sizes))
+    done = [merit(o, s, step) for o, s in named for step in range(moved[s])]
+    next_ = [merit(o, s, moved[s]) for o, s in named if possible(s, moved[s])]
+    assert not done or not next_ or min(done) > max(next_)
+
+
+def test_allocation_is_fair_and_exact():
     rng = random.Random(5)
     for _ in range(3000):
         sizes = {s: rng.choice([2, 3, 5, 40, 1000]) + rng.randrange(6) for s in ("train", "val", "test")}
         wanted = rng.randint(6, sum(sizes.values()))
-        assert allocate_rows(sizes, wanted) == row_by_row(sizes, wanted), (sizes, wanted)
+        assert_fair(sizes, wanted, allocate_rows(sizes, wanted))
     assert allocate_rows({"train": 8, "val": 4, "test": 4}, 8) == {"train": 4, "val": 2, "test": 2}
     with pytest.raises(ValueError, match="at least 2 rows each"):
         allocate_rows({"train": 8, "val": 4, "test": 4}, 5)
