@@ -8,6 +8,7 @@ never the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,14 +18,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKETS = 256
-ACCURACY = 10_000
+ACCURACY = 1_000
+SKETCH_GROUPS = 64
 
 
 def quantile_cuts(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
-    """At most ``buckets - 1`` strictly increasing values that cut the rows evenly."""
-    shares = [i / buckets for i in range(1, buckets)]
-    quantiles = df.agg(F.percentile_approx(F.col(value), shares, ACCURACY)).first()[0]
-    return sorted({q for q in quantiles or [] if q == q and abs(q) != float("inf")})
+    """At most ``buckets - 1`` strictly increasing values that cut the rows about evenly.
+
+    Sketches of the input tasks are merged in 64 groups, whose quantiles are then cut
+    again: no single task has to merge the sketches of all input tasks.
+    """
+    shares = [i / buckets for i in range(1, buckets)] or [0.5]
+    sketch = F.percentile_approx(F.col(value), shares, ACCURACY)
+    groups = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group"))
+    merged = groups.agg(sketch.alias("_cuts")).select(F.explode("_cuts").alias(value))
+    quantiles = merged.agg(sketch).first()[0] or []
+    return sorted({q for q in quantiles if math.isfinite(q)})
 
 
 def running_totals(

@@ -24,6 +24,7 @@ from labelloom.session import ROW_ID, stage_with_row_id
 
 DIGEST = "_digest"
 ORDER = "_order"
+FIRST_DIGITS = 2  # every task emits all buckets of every key here, so few of them
 DIGITS = 3
 BUCKETS = 16**DIGITS
 WHOLE = 1_000  # longer than any order key
@@ -122,9 +123,9 @@ def find_cuts(
 
     ``targets`` is called with the counts, so quotas that depend on them cost no extra
     pass. Passes over ``df`` read only the keys and the order column: one to count, one
-    that looks into the buckets found, and a third only beyond some ten million rows.
+    that looks into the buckets found, and a third only beyond some million rows per key.
     """
-    first = _counts_by_prefix(df, keys, order, DIGITS, bounds=False)
+    first = _counts_by_prefix(df, keys, order, FIRST_DIGITS, bounds=False)
     counts = {key: sum(b[1] for b in buckets) for key, buckets in first.items()}
     cuts: dict[tuple[Key, int], Cut] = {}
     searches: list[_Search] = []

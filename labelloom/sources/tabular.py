@@ -53,16 +53,10 @@ def _name_filter(spark: SparkSession, path: str, suffix: str) -> str:
     return f"*.{suffix}" if is_directory(spark, path) else "*"
 
 
-def _file_names(spark: SparkSession, path: str, pattern: str) -> bool:
-    """Does the directory hold a matching file at any depth? Lists files, reads none."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .inputFiles()
-    )
-    return bool(files)
+def _has_files(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Does the directory hold a matching file at any depth? No content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return not files.option("pathGlobFilter", pattern).load(path).select("path").isEmpty()
 
 
 def source_format(spark: SparkSession, path: str) -> str:
@@ -72,7 +66,7 @@ def source_format(spark: SparkSession, path: str) -> str:
     if not is_directory(spark, path):
         return "parquet" if path.endswith(".parquet") else "csv"
     for kind in ("csv", "parquet"):
-        if _file_names(spark, path, f"*.{kind}"):
+        if _has_files(spark, path, f"*.{kind}"):
             return kind
     raise FileNotFoundError(f"no CSV or Parquet files below {path}")
 
@@ -86,7 +80,7 @@ def csv_source(spark: SparkSession, path: str) -> str:
     for name in PREFERRED_CSV:
         if path_exists(spark, f"{path}/{name}"):
             return f"{path}/{name}"
-    if not _file_names(spark, path, "*.csv"):
+    if not _has_files(spark, path, "*.csv"):
         raise FileNotFoundError(f"no CSV files below {path}")
     return path
 
