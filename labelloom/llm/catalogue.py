@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import quality, sentencepieces, warc
+from labelloom.llm import mainhtml, quality, sentencepieces, warc
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -36,6 +36,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.token_digests(encoded)
 
 
+@query()
+def op7_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = mainhtml.main_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query()
 def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))

@@ -25,13 +25,14 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+COUNTS = (*BASE, "n_stuttered")
 
 #: measure, lower fence, upper fence, least distance of a fence from the median. All are counts per 10,000.
 MEASURES = (
     ("word_length", True, True, 20_000),
     ("symbol_share", False, True, 1_000),
     ("dup_line_share", False, True, 3_000),
-    ("repeat_share", False, True, 1_500),
+    ("stutter_share", False, True, 2_000),
 )
 #: A fence lies so many times the spread (upper minus lower tenth) beyond its tenth.
 REACH = 3
@@ -63,42 +64,42 @@ def repeated_words(words: list[bytes], size: int = REPEAT_WORDS) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
-def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
+def counts_of(text: bytes) -> tuple[int, ...]:
     words = text.split()
     joined = b"".join(words)
     raw = np.frombuffer(joined, np.uint8)
     chars = int(((raw & 0xC0) != 0x80).sum())
     symbols = sum(joined.count(s) for s in (SYMBOLS[i : i + 1] for i in range(len(SYMBOLS))))
+    stuttered = sum(map(bytes.__eq__, words, words[1:]))
     lines = [line for line in text.split(b"\n") if line and not line.isspace()]
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
+    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words), stuttered
 
 
 def with_base_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, n_lines, the counts of BASE) of each row. A null text has no words."""
+    """(doc_id, lang, source, COUNTS) of each row. A null text has no words. n_stuttered: words equal to the one before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(3)
-            counts = np.array([base_counts(t.as_py()) for t in texts], np.int64).reshape(-1, 5)
+            counts = np.array([counts_of(t.as_py()) for t in texts], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *(pa.array(counts[:, k]) for k in range(5))],
-                names=["doc_id", "lang", "source", *BASE],
+                [*batch.columns[:3], *(pa.array(counts[:, k]) for k in range(len(COUNTS)))],
+                names=["doc_id", "lang", "source", *COUNTS],
             )
 
     rows = docs.select("doc_id", "lang", "source", text_bytes().alias("text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3])
-    return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} long" for c in BASE))
+    return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def _measures() -> list[Column]:
-    words = F.greatest(F.col("n_words"), F.lit(1))
-    ratios = {
-        "word_length": F.expr("word_chars * 10000 div greatest(n_words, 1)"),
-        "symbol_share": F.expr("n_symbols * 10000 div greatest(n_words, 1)"),
-        "dup_line_share": F.expr("n_dup_lines * 10000 div greatest(n_words, 1)"),
-        "repeat_share": F.expr("n_repeat_words * 10000 div greatest(n_words, 1)"),
+    counts = {
+        "word_length": "word_chars",
+        "symbol_share": "n_symbols",
+        "dup_line_share": "n_dup_lines",
+        "stutter_share": "n_stuttered",
     }
-    return [ratios[name].alias(name) for name, *_ in MEASURES]
+    return [F.expr(f"{counts[m[0]]} * 10000 div greatest(n_words, 1)").alias(m[0]) for m in MEASURES]
 
 
 def bucket(value: Column) -> Column:
@@ -173,7 +174,7 @@ def _named(prefix: str) -> list[Column]:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, the counts of BASE, base_failed, failed (names of the measures beyond their
+    """One row per document: doc_id, lang, source, COUNTS, base_failed, failed (names of the measures beyond their
     fence) and kept.
 
     base_failed: under MIN_WORDS words, or more than MAX_REPEAT_PERCENT percent of the words lie in 8-word windows
@@ -196,6 +197,6 @@ def judged(docs: DataFrame) -> DataFrame:
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
     rows = both.select(
-        "doc_id", "c.lang", "c.source", *BASE, base_failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("failed")
+        "doc_id", "c.lang", "c.source", *COUNTS, base_failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("failed")
     )
     return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
