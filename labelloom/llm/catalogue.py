@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import mainhtml, quality, sentencepieces, warc
+from labelloom.llm import mainhtml, quality, repeats, sentencepieces, suffixes, warc
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -30,12 +30,26 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_array(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans")
+    )
+
+
 @query()
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
     return sentencepieces.token_digests(encoded)
 
 
+@query()
+def op5_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.seed_and_extend(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans")
+    )
+
+
 @query()
 def op7_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = mainhtml.main_text(table(spark, sf_dir, "pages"))
