@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import mainhtml, quality, repeats, sentencepieces, suffixes, warc
+from labelloom.llm import jaccard, mainhtml, quality, repeats, sentencepieces, suffixes, warc
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -50,6 +50,11 @@ def op5_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = mainhtml.main_text(table(spark, sf_dir, "pages"))
