@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import jaccard, mainhtml, quality, repeats, sentencepieces, suffixes, warc
+from labelloom.llm import jaccard, lines, mainhtml, quality, repeats, sentencepieces, suffixes, warc
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -30,6 +30,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    text = F.col("row.text")
+    return cut.select(
+        "row.doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 @query()
 def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_array(table(spark, sf_dir, "documents")).select(
