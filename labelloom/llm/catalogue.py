@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import jaccard, lines, mainhtml, quality, repeats, sentencepieces, suffixes, warc
+from labelloom.llm import jaccard, leaks, lines, mainhtml, quality, repeats, sentencepieces, suffixes, warc
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -79,3 +79,9 @@ def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(index).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query()
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
