@@ -6,8 +6,8 @@ Hamming distance. Sampling some places of the embedding gives a key that near se
 of walk and sample reach the target recall. Windows of a document that share a key with an item of their size are
 verified by the exact edit distance.
 
-Before that, a window is left out if it can't be near: an edit distance of k over n words leaves n - k of its words
-unchanged, so n - k must be words of items of that size.
+Before that, a window is left out if it can't be near: k edits of an item of n words touch 2 * k of its n - 1 pairs of
+neighbours at most, so a near window has n - 1 - 2 * k pairs of items of that size.
 """
 
 from __future__ import annotations
@@ -167,13 +167,18 @@ class SizeClass:
 
 
 class Matcher:
-    """Looks for a block of items. Vocabulary masks have a bit for each of up to 64 sizes."""
+    """Looks for a block of items. Each pair of words that are neighbours in an item has a bit for each of up to 64
+    sizes of items."""
 
     def __init__(self, items: list[tuple[int, str]]):
         by_size = defaultdict(list)
         for item_id, text in items:
             if len(words := words_of(text)) >= MIN_ITEM_WORDS:
                 by_size[len(words)].append((item_id, words))
+        self.numbers: dict[str, int] = {}
+        for _, words in (i for items in by_size.values() for i in items):
+            for w in words:
+                self.numbers.setdefault(w, len(self.numbers) + 1)
         sizes = sorted(by_size)
         self.rounds = []
         for start in range(0, len(sizes), 64):
@@ -181,37 +186,53 @@ class Matcher:
             for bit, size in enumerate(sizes[start : start + 64]):
                 classes.append(SizeClass.of(size, [(i, [code_of(w) for w in ws]) for i, ws in by_size[size]]))
                 for _, ws in by_size[size]:
-                    for w in ws:
-                        masks[w] |= 1 << bit
-            self.rounds.append((classes, dict(masks)))
+                    for pair in zip(ws, ws[1:], strict=False):
+                        masks[self.pair(*map(self.numbers.__getitem__, pair))] |= 1 << bit
+            pairs = np.array(sorted(masks), np.int64)
+            self.rounds.append((classes, pairs, np.array([masks[p] for p in pairs.tolist()], np.uint64)))
+
+    def pair(self, left, right):
+        return left * (len(self.numbers) + 1) + right
 
     def find(self, texts: list[list[str]]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, item words, start, distance) of each near window."""
-        ends = np.cumsum([len(t) for t in texts])
-        starts = ends - [len(t) for t in texts]
         flat = [w for t in texts for w in t]
-        for classes, masks in self.rounds:
-            marks = np.fromiter((masks.get(w, 0) for w in flat), np.uint64, len(flat))
+        lengths = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        number = np.fromiter((self.numbers.get(w, 0) for w in flat), np.int64, len(flat))
+        known = np.flatnonzero((number[:-1] > 0) & (number[1:] > 0))
+        known = known[~np.isin(known, ends - 1)]
+        pairs_here = self.pair(number[known], number[known + 1])
+        for classes, pairs, masks in self.rounds:
+            slot = np.minimum(np.searchsorted(pairs, pairs_here), len(pairs) - 1)
+            hit = pairs[slot] == pairs_here
+            at, mask = known[hit], masks[slot[hit]]
             for bit, kind in enumerate(classes):
-                need = kind.size - edits_allowed(kind.size)
-                inside = ((marks >> np.uint64(bit)) & np.uint64(1)).astype(np.int32)
-                total = np.concatenate(([0], np.cumsum(inside)))
-                first = np.flatnonzero(total[kind.size :] - total[: -kind.size] >= need) if len(flat) >= kind.size else np.empty(0, np.int64)
-                text = np.searchsorted(ends, first, "right")
-                within = first + kind.size <= ends[text] if len(first) else np.empty(0, bool)
-                first, text = first[within], text[within]
-                lengths = ends - starts
-                short = np.flatnonzero((lengths < kind.size) & (lengths >= need))
-                short = short[total[ends[short]] - total[starts[short]] >= need]
-                first, text = np.concatenate((first, starts[short])), np.concatenate((text, short))
-                if not len(first):
-                    continue
-                sizes = np.minimum(kind.size, ends[text] - first)
-                windows = np.zeros((len(first), kind.size), np.uint64)
-                for k, (a, n) in enumerate(zip(first.tolist(), sizes.tolist(), strict=True)):
-                    windows[k, :n] = [code_of(w) for w in flat[a : a + n]]
-                for k, item, edits in kind.matches(windows, sizes):
-                    yield int(text[k]), item, kind.size, int(first[k] - starts[text[k]]), edits
+                yield from self.near(kind, at[(mask >> np.uint64(bit)) & np.uint64(1) == 1], flat, starts, ends)
+
+    def near(self, kind: SizeClass, at: np.ndarray, flat: list[str], starts: np.ndarray, ends: np.ndarray):
+        """Of the windows with enough of the pairs at the places ``at``, those near an item."""
+        need = kind.size - 1 - 2 * edits_allowed(kind.size)
+        if len(at) < need:
+            return
+        left, right = at[: len(at) - need + 1], at[need - 1 :]
+        dense = right - left <= kind.size - 2
+        firsts = [np.arange(r - kind.size + 2, p + 1) for p, r in zip(left[dense], right[dense], strict=True)]
+        if not firsts:
+            return
+        text = np.repeat(np.searchsorted(ends, left[dense], "right"), [len(f) for f in firsts])
+        first = np.concatenate(firsts)
+        # windows end with their text; a shorter text is one window
+        first = np.maximum(np.minimum(first, ends[text] - kind.size), starts[text])
+        first, once = np.unique(first, return_index=True)
+        text = text[once]
+        sizes = np.minimum(kind.size, ends[text] - first)
+        windows = np.zeros((len(first), kind.size), np.uint64)
+        for k, (a, n) in enumerate(zip(first.tolist(), sizes.tolist(), strict=True)):
+            windows[k, :n] = [code_of(w) for w in flat[a : a + n]]
+        for k, item, edits in kind.matches(windows, sizes):
+            yield int(text[k]), item, kind.size, int(first[k] - starts[text[k]]), edits
 
 
 def leaking_windows(docs: DataFrame, matcher: Matcher) -> DataFrame:
