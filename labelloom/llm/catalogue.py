@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import jaccard, leaks, lines, mainhtml, quality, repeats, sentencepieces, suffixes, warc
+from labelloom.llm import jaccard, leaks, lines, linkgraph, mainhtml, quality, repeats, sentencepieces, sql, suffixes, warc
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
+RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
 QUERIES, ORACLES = {}, {}
 
 
@@ -85,3 +92,8 @@ def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_key")
+
+
+@query(sql.url_filter_sql())
+def op9_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judged(table(spark, sf_dir, "pages"), linkgraph.rule_table(spark, RULES))
