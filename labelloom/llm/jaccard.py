@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelloom.llm.common import WordHashes, components, mixed, signed, small, text_bytes, window_hashes
+from labelloom.llm.common import components, mixed, signed, small, text_bytes, text_key, window_hashes, word_codes
 from labelloom.llm.repeats import Once
 from labelloom.session import stage
 
@@ -36,14 +36,13 @@ PARTNERS = 4
 DRAWS = 3
 
 
-def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
+def shingles(text: bytes) -> np.ndarray:
     """Hashes of the distinct shingles of a text, sorted. Fewer than five words are one shingle, none are none."""
-    words = text.translate(LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    codes = hashes.of(words)
-    if len(words) < SHINGLE:  # marked by length, so as to differ from any longer shingle
-        return mixed(window_hashes(codes, len(words)) + np.uint64(len(words)))
+    codes = word_codes(text.translate(LOWER))
+    if not len(codes):
+        return codes
+    if len(codes) < SHINGLE:  # marked by length, so as to differ from any longer shingle
+        return mixed(window_hashes(codes, len(codes)) + np.uint64(len(codes)))
     return np.unique(window_hashes(codes, SHINGLE))
 
 
@@ -68,10 +67,10 @@ def bucket_counts(rows: DataFrame) -> np.ndarray:
     """How many (text, shingle) pairs fall into each bucket; BUCKETS numbers reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                counts += np.bincount(bucket_of(shingles(text.as_py(), hashes)), minlength=BUCKETS)
+                counts += np.bincount(bucket_of(shingles(text.as_py())), minlength=BUCKETS)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
 
@@ -83,18 +82,18 @@ def bucket_counts(rows: DataFrame) -> np.ndarray:
 
 
 def described(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """(doc_id, size, s1, s2, g, prefix) of each text: digests of its set and of its prefix with size, and the prefix.
+    """(doc_id, text_key, size, s1, s2, g, prefix) of each text: digests of its set and of its prefix with size, and the prefix.
 
     The prefix is left out (null) where the task has given it before for the same group.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, once = WordHashes(), Once()
+        once = Once()
         for batch in batches:
             numbers, prefixes = [], []
             for text in batch.column(1):
-                tokens = shingles(text.as_py(), hashes)
+                tokens = shingles(text.as_py())
                 order = np.lexsort((tokens, ranks[bucket_of(tokens)]))
                 prefix = tokens[order[: prefix_length(len(tokens))]]
                 group = digest(np.sort(prefix), len(tokens))[0]
@@ -104,14 +103,15 @@ def described(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     *(pa.array(columns[:, k]) for k in range(4)),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "size", "s1", "s2", "g", "prefix"],
+                names=["doc_id", "text_key", "size", "s1", "s2", "g", "prefix"],
             )
 
-    return rows.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, size long, s1 long, s2 long, g long, prefix array<long>"
+    return rows.select("doc_id", "text", "text_key").mapInArrow(
+        run, f"doc_id {kind}, text_key long, size long, s1 long, s2 long, g long, prefix array<long>"
     )
 
 
@@ -127,11 +127,11 @@ def packed_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     wanted = small(nodes.select(F.col("node"), F.col("first").alias("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, pack = WordHashes(), zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             found = []
             for text, node in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                tokens = shingles(text.as_py(), hashes)
+                tokens = shingles(text.as_py())
                 if digest(tokens, len(tokens))[0] == node:  # another text may have the same doc_id
                     found.append((node, pack(text.as_py())))
             node, packed = zip(*found, strict=True) if found else ((), ())
@@ -147,11 +147,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``pairs`` (x, y: numbers of sets) whose sets are near enough. Each row carries its two texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor().decompress
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             near = []
             for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                a, b = (shingles(unpack(t.as_py()), hashes) for t in (a, b))
+                a, b = (shingles(unpack(t.as_py())) for t in (a, b))
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 near.append(OF * both >= NEAR * (len(a) + len(b) - both))
             chosen = pa.array(np.flatnonzero(near), pa.int64())
@@ -258,6 +258,21 @@ def linked_sets(rows: DataFrame, classes: DataFrame, prefixes: DataFrame) -> Dat
     return labels
 
 
+def labelled_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, size, label, s1, s2, first): each document's component (null without words) and set."""
+    rows = docs.select("doc_id", text_bytes().alias("text"), text_key("text").alias("text_key"))
+    ranks = bucket_counts(rows).astype(np.int32)
+    every = stage(described(rows, ranks), "sets")
+    classes = stage(
+        every.where("size > 0").groupBy("s1", "s2", "g", "size").agg(F.min("doc_id").alias("first")), "classes"
+    )
+    labels = linked_sets(rows, classes, every.where("prefix is not null").select("g", "size", "prefix"))
+    named = labelled(classes.select(F.col("s1").alias("node"), "s2", "first"), labels)
+    least = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    of_set = named.join(least, "label").select(F.col("node").alias("s1"), "s2", "label", "component_id")
+    return every.drop("prefix", "g").join(of_set, ["s1", "s2"], "left")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -267,18 +282,32 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     equal sets and are linked. A null doc_id never names a component unless all its members are null; a row without
     words keeps its own doc_id. An empty table gives no rows. Other columns are not read.
     """
-    rows = docs.select("doc_id", text_bytes().alias("text"))
-    ranks = bucket_counts(rows).astype(np.int32)
-    every = stage(described(rows, ranks), "sets")
-    classes = stage(
-        every.where("size > 0").groupBy("s1", "s2", "g", "size").agg(F.min("doc_id").alias("first")), "classes"
+    component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return labelled_documents(docs).select(
+        "doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")
     )
-    labels = linked_sets(rows, classes, every.where("prefix is not null").select("g", "size", "prefix"))
-    named = labelled(classes.select("g", F.col("s1").alias("node"), "s2", "first"), labels)
-    least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_set = named.join(least, "label").select(F.col("node").alias("s1"), "s2", "component_id")
-    return (
-        every.select("doc_id", "size", "s1", "s2")
-        .join(of_set, ["s1", "s2"], "left")
-        .select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of the least doc_id (null last), then of the least text key. Rows
+    without words all stay. All columns are kept, whatever their names."""
+    found = labelled_documents(docs.select("doc_id", "text")).where("size > 0")
+    found = stage(found.select("doc_id", "text_key", "label"), "labelled")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
+    counted = found.groupBy("doc_id", "text_key", "label").agg(F.count(F.lit(1)).alias("rows"))
+    first = counted.groupBy("label").agg(F.min(order).alias("first"))
+    marked = stage(
+        counted.join(first, "label").select(
+            F.col("doc_id").alias("id"), F.col("text_key").alias("k"), "rows", (order == F.col("first")).alias("stays")
+        ),
+        "labelled",
     )
+    row = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (text_key("row.text") == F.col("k"))
+    gone = small(marked.where("not stays or rows > 1").select("id", "k"))
+    kept = row.join(gone, same, "left_anti")
+    repeated = marked.where("stays and rows > 1").select("id", "k")
+    if not repeated.isEmpty():
+        copies = row.join(small(repeated), same).groupBy("id", "k").agg(F.first("row").alias("row"))
+        kept = kept.unionByName(copies.select("row"))
+    return kept.select("row.*")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import mixed
+from labelloom.llm.common import mixed, small, text_key
 from labelloom.session import stage
 
 #: Edits allowed per word of an item.
@@ -264,7 +264,7 @@ def leaking_windows(docs: DataFrame, matcher: Matcher) -> DataFrame:
                     )
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key")).mapInArrow(
+    return docs.select("doc_id", text.alias("text"), text_key("text").alias("text_key")).mapInArrow(
         run, f"doc_id {kind}, {FOUND}"
     )
 
@@ -299,8 +299,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that have no benchmark item, with all their columns."""
     found = stage(leaks(docs, benchmark).select("doc_id", "text_key").distinct(), "leaks")
-    found = found.select(F.col("doc_id").alias("id"), "text_key")
+    found = small(found.select(F.col("doc_id").alias("id"), "text_key"))
     row = docs.select(F.struct("*").alias("row"))
-    key = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
-    clean = row.join(found, F.col("row.doc_id").eqNullSafe(F.col("id")) & (key == F.col("text_key")), "left_anti")
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (text_key("row.text") == F.col("text_key"))
+    clean = row.join(found, same, "left_anti")
     return clean.select("row.*")

@@ -195,6 +195,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def flat(cut: DataFrame) -> DataFrame:
-    """The columns of the documents, with the cut text."""
-    return cut.select("row.*")
+def kept_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with cut texts and all their columns, without the rows that lost all their words."""
+    emptied = (F.col("n_removed") > 0) & ~F.rlike(F.col("row.text"), F.lit(r"[^\x20\x09-\x0D]"))
+    return dedup_lines(docs).where(~emptied).select("row.*")

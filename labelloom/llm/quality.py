@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelloom.llm.common import text_bytes
+from labelloom.llm.common import small, text_bytes, text_key
 from labelloom.session import stage
 
 REPEAT_WORDS = 8
@@ -76,19 +76,19 @@ def counts_of(text: bytes) -> tuple[int, ...]:
 
 
 def with_base_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, source, COUNTS) of each row. A null text has no words. n_stuttered: words equal to the one before."""
+    """(doc_id, lang, source, text_key, COUNTS) of each row. A null text has no words. n_stuttered: words equal to the one before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3)
+            texts = batch.column(4)
             counts = np.array([counts_of(t.as_py()) for t in texts], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *(pa.array(counts[:, k]) for k in range(len(COUNTS)))],
-                names=["doc_id", "lang", "source", *COUNTS],
+                [*batch.columns[:4], *(pa.array(counts[:, k]) for k in range(len(COUNTS)))],
+                names=["doc_id", "lang", "source", "text_key", *COUNTS],
             )
 
-    rows = docs.select("doc_id", "lang", "source", text_bytes().alias("text"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3])
+    rows = docs.select("doc_id", "lang", "source", text_key("text").alias("text_key"), text_bytes().alias("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:4])
     return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
@@ -174,7 +174,7 @@ def _named(prefix: str) -> list[Column]:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, lang, source, COUNTS, base_failed, failed (names of the measures beyond their
+    """One row per document: doc_id, lang, source, text_key, COUNTS, base_failed, failed (names of the measures beyond their
     fence) and kept.
 
     base_failed: under MIN_WORDS words, or more than MAX_REPEAT_PERCENT percent of the words lie in 8-word windows
@@ -197,6 +197,20 @@ def judged(docs: DataFrame) -> DataFrame:
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
     rows = both.select(
-        "doc_id", "c.lang", "c.source", *COUNTS, base_failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("failed")
+        "doc_id", "c.lang", "c.source", "text_key", *COUNTS, base_failed.alias("base_failed"), F.array_compact(F.array(*broken)).alias("failed")
     )
     return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns. The verdict belongs to the text, language and
+    source of a row, so rows that share a doc_id are told apart."""
+    verdicts = judged(docs.select("doc_id", "text", "lang", "source"))
+    gone = verdicts.where("not kept").select("text_key", F.col("lang").alias("l"), F.col("source").alias("s")).distinct()
+    row = docs.select(F.struct("*").alias("row"))
+    same = (
+        (text_key("row.text") == F.col("text_key"))
+        & F.col("row.lang").eqNullSafe(F.col("l"))
+        & F.col("row.source").eqNullSafe(F.col("s"))
+    )
+    return row.join(small(stage(gone, "rejected")), same, "left_anti").select("row.*")

@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import WordHashes, mixed, signed, small, text_bytes, window_hashes
+from labelloom.llm.common import Runs, mixed, signed, small, text_bytes, word_codes
 from labelloom.session import stage
 
 #: Texts a task remembers so as to look at equal ones once; more only cost time.
 REMEMBERED_TEXTS = 100_000
+#: Places in a text that fit beside a hash; longer texts are taken in pieces.
+LOW_BITS = 1 << 24
 FOUND = "hash long, context long, k1 long, place long, position int"
 PARTS = "k1 long, k2 long, start int, stop int, h1 long, h2 long"
 
@@ -38,37 +40,38 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
-    """For each run of ``width`` values the place of its least value, the leftmost among equals."""
-    count = len(values) - width + 1
-    least, place, length = values, np.arange(len(values)), 1
+    """For each run of ``width`` values the place of its least value, by its first 40 bits; the leftmost among equals."""
+    places = np.arange(len(values), dtype=np.uint64)
+    if len(values) > LOW_BITS:  # a very long text, in overlapping pieces
+        step = LOW_BITS - width
+        pieces = [least_places(values[k : k + LOW_BITS], width) + k for k in range(0, len(values) - width + 1, step)]
+        ends = [min(step, len(p)) for p in pieces[:-1]]
+        return np.concatenate([p[:n] for p, n in zip(pieces, ends, strict=False)] + pieces[-1:])
+    least, length = (values & np.uint64(~(LOW_BITS - 1) & 0xFFFFFFFFFFFFFFFF)) | places, 1
     while 2 * length <= width:
-        later = least[length:] < least[:-length]
-        place = np.where(later, place[length:], place[:-length])
         least = np.minimum(least[length:], least[:-length])
         length *= 2
-    right = width - length
-    later = least[right : right + count] < least[:count]
-    return np.where(later, place[right : right + count], place[:count])
+    right, count = width - length, len(values) - width + 1
+    return (np.minimum(least[:count], least[right : right + count]) & np.uint64(LOW_BITS - 1)).astype(np.int64)
 
 
 class Anchors:
     """Anchors of a text: ``at`` their places, ``low`` and ``high`` the first and last window of each."""
 
     def __init__(self, codes: np.ndarray, size: int, gram: int):
-        grams = window_hashes(codes, gram)
-        of_window = least_places(grams, size - gram + 1)
-        ends = np.flatnonzero(np.diff(of_window))
+        self.size, self.runs = size, Runs(codes)
+        of_window = least_places(self.runs.every(gram), size - gram + 1)
+        ends = np.flatnonzero(of_window[1:] != of_window[:-1])
         self.low = np.concatenate(([0], ends + 1))
         self.high = np.concatenate((ends, [len(of_window) - 1]))
         self.at = of_window[self.low]
-        self.hashes = grams[self.at]
-        self.windows = window_hashes(codes, size)
+        self.hashes = mixed(self.runs.at(self.at, gram))
 
     def contexts(self) -> np.ndarray:
         """Hash of all words of an anchor's windows, and of where the anchor lies in them."""
         with np.errstate(over="ignore"):
             shape = (self.high - self.low).astype(np.uint64) * np.uint64(1 << 32) + (self.at - self.low).astype(np.uint64)
-            first, last = self.windows[self.low], self.windows[self.high]
+            first, last = self.runs.at(self.low, self.size), self.runs.at(self.high, self.size)
             return mixed(first + mixed(last + mixed(shape)))
 
 
@@ -96,16 +99,16 @@ def winnowed(docs: DataFrame, size: int, gram: int) -> DataFrame:
     """FOUND: each anchor of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, once = WordHashes(), Once()
+        once = Once()
         names = [c.split()[0] for c in FOUND.split(", ")]
         for batch in batches:
             rows: list[tuple] = []
             for text, k1 in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 if not once.new(k1):
                     continue
-                words = text.as_py().split()
-                if len(words) >= size:
-                    found = Anchors(hashes.of(words), size, gram)
+                codes = word_codes(text.as_py())
+                if len(codes) >= size:
+                    found = Anchors(codes, size, gram)
                     key = np.full(len(found.at), k1, np.int64)
                     rows.append((found.hashes, found.contexts(), key, places_of(k1, found.at), found.at))
             if rows:
@@ -194,69 +197,90 @@ def removed_passages(docs: DataFrame, found: DataFrame, size: int, gram: int) ->
     )
 
 
+def expanded(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All whole numbers of the ranges, ends included."""
+    counts = high - low + 1
+    offsets = np.cumsum(counts) - counts
+    return np.repeat(low - offsets, counts) + np.arange(int(counts.sum()))
+
+
+def listed(column: pa.ListArray, row: int) -> list[np.ndarray]:
+    """The fields of the structs in one list of a column of lists."""
+    start, stop = column.offsets[row].as_py(), column.offsets[row + 1].as_py()
+    return [f.slice(start, stop - start).to_numpy(zero_copy_only=False) for f in column.values.flatten()]
+
+
 def _parts(size: int, gram: int):
     """PARTS of each text: runs of windows known to be repeated, and windows to be compared."""
+    names = [c.split()[0] for c in PARTS.split(", ")]
+
+    def part(text: bytes, k1: int, k2: int, places: np.ndarray, compare: np.ndarray) -> tuple | None:
+        codes = word_codes(text)
+        if len(codes) < size:
+            return None
+        every = Anchors(codes, size, gram)
+        second = Runs(mixed(codes ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+        slot = np.minimum(np.searchsorted(every.at, places), len(every.at) - 1)
+        same = every.at[slot] == places  # another text with this k1 has anchors of its own
+        whole, single = slot[same & ~compare], slot[same & compare]
+        low, high = every.low[whole], every.high[whole]
+        starts = expanded(every.low[single], every.high[single])
+        count = len(low) + len(starts)
+        keys = np.full(count, k1, np.int64), np.full(count, k2, np.int64)
+        ends = np.concatenate((low, starts)), np.concatenate((high, starts))
+        hashes = (signed(mixed(r.at(starts, size))) for r in (every.runs, second))
+        nothing = np.zeros(len(low), np.int64)
+        is_run = np.arange(count) < len(low)
+        return *keys, *ends, *(np.concatenate((nothing, h)) for h in hashes), is_run
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        names = [c.split()[0] for c in PARTS.split(", ")]
         for batch in batches:
-            for row in range(batch.num_rows):
-                part = {n: batch.column(n)[row].as_py() for n in ("k1", "k2", "text", "anchors")}
-                codes = hashes.of(part["text"].split())
-                if len(codes) < size:
-                    continue
-                every = Anchors(codes, size, gram)
-                second = window_hashes(mixed(codes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), size)
-                known = {a["position"]: a["compare"] for a in part["anchors"]}
-                flags = np.array([known.get(p, -1) for p in every.at.tolist()], np.int64)
-                runs = flags == 0
-                low, high = every.low[runs], every.high[runs]
-                pieces = [np.arange(a, b + 1) for a, b in zip(every.low[flags == 1], every.high[flags == 1], strict=True)]
-                starts = np.concatenate(pieces) if pieces else np.empty(0, np.int64)
-                count, more = len(low), len(starts)
-                if count + more:
-                    nothing = pa.nulls(count, pa.int64())
-                    columns = [
-                        pa.array(np.full(count + more, part["k1"], np.int64)),
-                        pa.array(np.full(count + more, part["k2"], np.int64)),
-                        pa.array(np.concatenate((low, starts)).astype(np.int32)),
-                        pa.array(np.concatenate((high, starts)).astype(np.int32)),
-                        pa.concat_arrays([nothing, pa.array(signed(every.windows[starts]))]),
-                        pa.concat_arrays([nothing, pa.array(signed(second[starts]))]),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+            k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
+            for first in range(0, batch.num_rows, 64):
+                rows = range(first, min(first + 64, batch.num_rows))
+                found = [
+                    part(batch.column("text")[r].as_py(), k1[r], k2[r], *listed(batch.column("anchors"), r)) for r in rows
+                ]
+                if found := [f for f in found if f is not None]:
+                    *columns, is_run = (np.concatenate(c) for c in zip(*found, strict=True))
+                    ends = [c.astype(np.int32) for c in columns[2:4]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in (*columns[:2], *ends)] + [pa.array(c, mask=is_run) for c in columns[4:]],
+                        names=names,
+                    )
 
     return run
 
 
-def covered(count: int, runs: list[dict], size: int) -> np.ndarray:
+def covered(count: int, first: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
     """Which of ``count`` words lie in the windows that start in the runs."""
-    edges = np.zeros(count + 1, np.int64)
-    np.add.at(edges, [r["start"] for r in runs], 1)
-    np.add.at(edges, [r["stop"] + size for r in runs], -1)
-    return np.cumsum(edges[:-1]) > 0
+    edges = np.bincount(first, minlength=count + 1) - np.bincount(last + size, minlength=count + 1)
+    return np.cumsum(edges[:count]) > 0
 
 
 def _cut(size: int):
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def cut(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple[int, list[dict], str]:
+        words = text.split()
+        gone = covered(len(words), first, last, size)
+        turns = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])))).tolist()
+        ends = [0, *turns, len(words)]
+        kept = [w for a, b in zip(ends[::2], ends[1::2], strict=True) for w in words[a:b]]
+        spans = [{"start": a, "end": b} for a, b in zip(turns[::2], turns[1::2], strict=True)]
+        return len(words) - len(kept), spans, b" ".join(kept).decode("utf-8", "replace")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in range(batch.num_rows):
-                words = batch.column("text")[row].as_py().split()
-                gone = covered(len(words), batch.column("runs")[row].as_py(), size)
-                turns = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False]))))
-                spans = [{"start": a, "end": b} for a, b in turns.reshape(-1, 2).tolist()]
-                kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
-                out.append((int(gone.sum()), spans, kept.decode("utf-8", "replace")))
+            rows = range(batch.num_rows)
+            out = [cut(batch.column("text")[r].as_py(), *listed(batch.column("runs"), r)) for r in rows]
             removed, spans, kept = zip(*out, strict=True) if out else ((), (), ())
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("k1"),
                     batch.column("k2"),
                     pa.array(removed, pa.int64()),
-                    pa.array(spans, kind),
+                    pa.array(spans, span),
                     pa.array(kept, pa.string()),
                 ],
                 names=["k1", "k2", "n_removed", "spans", "kept"],

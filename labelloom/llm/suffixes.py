@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.llm.common import WordHashes, signed
+from labelloom.llm.common import signed, word_codes
 from labelloom.llm.repeats import Anchors, Once, keyed, removed_passages
 from labelloom.session import stage
 
@@ -29,16 +29,15 @@ def sparse_suffixes(docs: DataFrame, size: int, gram: int) -> DataFrame:
     """SUFFIX: the suffixes at minimiser positions of each text; equal texts that meet in a task give theirs once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, once = WordHashes(), Once()
+        once = Once()
         for batch in batches:
             rows: list[tuple] = []
             for text, k1 in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 if not once.new(k1):
                     continue
-                words = text.as_py().split()
-                if len(words) < size:
+                codes = word_codes(text.as_py())
+                if len(codes) < size:
                     continue
-                codes = hashes.of(words)
                 found = Anchors(codes, size, gram)
                 short = np.concatenate(((codes >> np.uint64(48)).astype(">u2"), np.zeros(KEY_WORDS, ">u2")))
                 keys = short[found.at[:, None] + np.arange(KEY_WORDS)]
