@@ -17,19 +17,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKETS = 256
 ACCURACY = 1_000
 SKETCH_GROUPS = 64
 
 
-def quantile_cuts(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
+def quantile_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
     """At most ``buckets - 1`` strictly increasing values that cut the rows about evenly.
 
+    Take them from the grouped table, with a row per distinct value: that is what the buckets sort. By default there is
+    a bucket for each shuffle partition.
     Sketches of the input tasks are merged in 64 groups, whose quantiles are then cut
     again: no single task has to merge the sketches of all input tasks.
     """
+    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)] or [0.5]
-    sketch = F.percentile_approx(F.col(value), shares, ACCURACY)
+    sketch = F.percentile_approx(F.col(value), shares, max(ACCURACY, 4 * buckets))
     groups = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group"))
     merged = groups.agg(sketch.alias("_cuts")).select(F.explode("_cuts").alias(value))
     quantiles = merged.agg(sketch).first()[0] or []

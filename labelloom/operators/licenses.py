@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.operators.columns import exact
+
 
 @dataclass(frozen=True)
 class PermittedSource:
@@ -83,20 +85,25 @@ class LicenseList:
 DEFAULT_LICENSES = LicenseList()
 
 
+def _name(source_column: str) -> Column:
+    """The source as a string, whatever its type."""
+    return exact(source_column).cast("string")
+
+
 def has_mapped_source(
     df: DataFrame, licenses: LicenseList = DEFAULT_LICENSES, source_column: str = "source"
 ) -> bool:
     """Does any row name a known source? Reads one column and stops at the first hit."""
     if source_column not in df.columns:
         return False
-    return not df.where(F.col(source_column).isin(licenses.mapped_names)).limit(1).isEmpty()
+    return not df.where(_name(source_column).isin(licenses.mapped_names)).limit(1).isEmpty()
 
 
 def permitted_rows(
     df: DataFrame, licenses: LicenseList = DEFAULT_LICENSES, source_column: str = "source"
 ) -> DataFrame:
     """Rows of permitted sources only; unknown and NULL sources go too."""
-    return df.where(F.col(source_column).isin(licenses.permitted_names))
+    return df.where(_name(source_column).isin(licenses.permitted_names))
 
 
 def enrich_permitted(
@@ -104,7 +111,7 @@ def enrich_permitted(
 ) -> DataFrame:
     """Filter and enrichment fused in one broadcast join with the literal dimension."""
     dimension = F.broadcast(licenses.dimension(df.sparkSession, source_column))
-    plain = df.drop(*ATTRIBUTES, "source_detail")
+    plain = df.drop(*ATTRIBUTES, "source_detail").withColumn(source_column, _name(source_column))
     joined = plain.join(dimension, source_column, "inner")
     return joined.select(
         *plain.columns, F.col(source_column).cast("string").alias("source_detail"), *ATTRIBUTES
@@ -124,7 +131,7 @@ def source_counts(
     df: DataFrame, licenses: LicenseList = DEFAULT_LICENSES, source_column: str = "source"
 ) -> DataFrame:
     """Rows per source and whether the source is kept; NULL sources count under ''."""
-    source = F.coalesce(F.col(source_column).cast("string"), F.lit(""))
+    source = F.coalesce(_name(source_column), F.lit(""))
     permitted = source.isin(licenses.permitted_names)
     return df.groupBy(source.alias(source_column), permitted.alias("permitted")).agg(
         F.count(F.lit(1)).alias("rows")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.text import ratio_or_zero
 from labelloom.operators.cumulative import quantile_cuts, running_totals
+from labelloom.session import stage
 
 DEFAULT_THRESHOLD = 0.5
 
@@ -30,9 +31,17 @@ def check_scored(df: DataFrame) -> None:
         )
 
 
+def checked(df: DataFrame) -> DataFrame:
+    """``df`` with the checks of ``check_scored`` in its label column: they run in whatever pass reads it."""
+    fine = F.coalesce(F.col("label").isin(0, 1), F.lit(False)) & F.col("score").isNotNull()
+    wrong = F.raise_error(F.lit("a row lacks its label or score, or its label is not 0 or 1"))
+    label = F.when(fine, F.col("label")).otherwise(wrong.cast(df.schema["label"].dataType))
+    return df.withColumn("label", label)
+
+
 def score_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score."""
-    return df.groupBy(*by, F.col("score").cast("double").alias("score")).agg(
+    return checked(df).groupBy(*by, F.col("score").cast("double").alias("score")).agg(
         F.count_if(F.col("label") == 1).alias("pos"),
         F.count_if(F.col("label") == 0).alias("neg"),
     )
@@ -40,10 +49,8 @@ def score_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def running_confusion(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score: its own and the running positives / negatives at or above it."""
-    cuts = quantile_cuts(df, "score")
-    return running_totals(
-        score_counts(df, by), "score", ["pos", "neg"], cuts, by, descending=True
-    )
+    counts = stage(score_counts(df, by), "score-counts")
+    return running_totals(counts, "score", ["pos", "neg"], quantile_cuts(counts, "score"), by, descending=True)
 
 
 def _precision(tp: Column, fp: Column) -> Column:
@@ -182,10 +189,9 @@ def precision_recall_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def mid_ranks(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The average ascending rank shared by the rows of each distinct score, and their number."""
-    counts = df.groupBy(*by, F.col("score").cast("double").alias("score")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    totals = running_totals(counts, "score", ["n"], quantile_cuts(df, "score"), by)
+    counts = score_counts(df, by).select(*by, "score", (F.col("pos") + F.col("neg")).alias("n"))
+    counts = stage(counts, "score-counts")
+    totals = running_totals(counts, "score", ["n"], quantile_cuts(counts, "score"), by)
     first = F.col("n_running") - F.col("n") + 1
     return totals.select(*by, "score", "n", ((first + F.col("n_running")) / 2).alias("mid_rank"))
 
@@ -197,7 +203,7 @@ def best_threshold(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def confusion_counts(df: DataFrame, threshold: float, by: Sequence[str] = ()) -> DataFrame:
     """The four counts at ``score >= threshold``, in one aggregation."""
     above, positive = F.col("score") >= threshold, F.col("label") == 1
-    return df.groupBy(*by).agg(
+    return checked(df).groupBy(*by).agg(
         F.count_if(above & positive).alias("true_positive"),
         F.count_if(above & ~positive).alias("false_positive"),
         F.count_if(~above & ~positive).alias("true_negative"),
@@ -218,7 +224,7 @@ def threshold_metrics(df: DataFrame, threshold: float, by: Sequence[str] = ()) -
 
 def brier_score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     error = F.col("score") - F.col("label")
-    return df.groupBy(*by).agg(F.avg(error * error).alias("brier_score"))
+    return checked(df).groupBy(*by).agg(F.avg(error * error).alias("brier_score"))
 
 
 def bce_loss(df: DataFrame, logit: str = "logit", by: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.operators.cumulative import quantile_cuts, running_totals
+from labelloom.session import stage
 
 
 def _running_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -15,7 +16,8 @@ def _running_counts(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     counts = present.groupBy(*by, F.col(value).cast("double").alias(value)).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return running_totals(counts, value, ["n"], quantile_cuts(present, value), by)
+    counts = stage(counts, "value-counts")
+    return running_totals(counts, value, ["n"], quantile_cuts(counts, value), by)
 
 
 def _value_at(rank: Column, value: str) -> Column:

@@ -52,6 +52,7 @@ from labelloom.sources.tabular import (
     load_published_splits,
     read_columns,
     read_source,
+    split_files,
 )
 from labelloom.streaming.quota import StreamSource, balanced_quota, collect_quota
 
@@ -62,7 +63,7 @@ ORDINAL = "_source_ordinal"
 
 @dataclass(frozen=True)
 class PublishedCorpus:
-    """A corpus mirrored to a folder: Parquet, each split a sub-folder or a file prefix."""
+    """A corpus mirrored to a folder: Parquet, each split a sub-folder, a file, or files numbered behind its name."""
 
     name: str
     mirror: str
@@ -70,11 +71,11 @@ class PublishedCorpus:
     pre_split: bool = True
     split: str = "train"
     split_names: tuple[str, str, str] = STORED_SPLITS
-    sample_rows: int | None = 60_000
+    sample_rows: int | None = None
     max_files_per_batch: int = 64
 
     def stream(self) -> StreamSource:
-        return StreamSource(f"{self.mirror}/{self.split}*", self.max_files_per_batch)
+        return StreamSource(split_files(self.mirror, self.split), self.max_files_per_batch)
 
 
 @dataclass(frozen=True)
@@ -125,7 +126,9 @@ def license_filter_facts(
     """What the licence filter did. The rows per source go to a table: their number is open."""
     if not enabled:
         reason = "no known source" if "source" in df.columns else "no source column"
-        return {"enabled": False, "reason": reason}
+        rows = df.count()
+        counts = {"rows_before": rows, "rows_after": rows, "rows_removed": 0}
+        return {"enabled": False, "reason": reason, **counts}
     source_counts(df, licenses).write.mode("overwrite").parquet(counts_path)
     totals = filter_totals(df.sparkSession.read.parquet(counts_path)).first().asDict()
     return {"enabled": True, "source_column": "source", "source_counts": counts_path, **totals}
@@ -335,8 +338,8 @@ class PublishConfig:
     output: str
     local_path: str
     published: PublishedCorpus
+    human_rows: int
     upstream_url: str = ""
-    human_rows: int = 30_000
     seed: int = 42
     licenses: LicenseList = DEFAULT_LICENSES
 

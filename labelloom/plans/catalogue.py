@@ -7,9 +7,8 @@ dirty text) are derived from them by expressions over all rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +45,6 @@ from labelloom.streaming import scoring
 from labelloom.streaming.quota import StreamSource, balanced_quota, collect_quota
 
 SEED = 42
-CHAR_LENGTH = 64
 PERCENTILE = 0.95
 
 # The test documents name their sources src0 .. src19; this list plays the licence list.
@@ -346,6 +344,12 @@ def classification_report(spark, sf):
     return rounded(metrics.classification_report(scored(spark, sf)), *REPORT_FLOATS)
 
 
+def report_saturated_scores(spark, sf):
+    """A report over scores of which nine in ten are 1."""
+    score = F.when(F.col("doc_id") % 10 == 0, F.col("score")).otherwise(1.0)
+    return rounded(metrics.classification_report(scored(spark, sf).withColumn("score", score)), *REPORT_FLOATS)
+
+
 def report_at_threshold(spark, sf):
     return rounded(metrics.classification_report(scored(spark, sf), 0.7), *REPORT_FLOATS)
 
@@ -442,7 +446,7 @@ def latency_p95_by_type(spark, sf):
 
 def char_encode(spark, sf):
     docs = table(spark, sf, "documents")
-    ids = encode_chars(F.col("text"), CHAR_LENGTH)
+    ids = encode_chars(F.col("text"))
     return docs.select("doc_id", F.concat_ws(",", F.transform(ids, lambda i: i.cast("string"))).alias("ids"))
 
 
@@ -463,6 +467,51 @@ def csv_roundtrip(spark, sf):
     )
 
 
+def csv_mixed_headers(spark, sf):
+    """Two CSV files of one folder with their columns in different orders, bound by name."""
+    path = new_path(spark, "csv")
+    rows = corpus(spark, sf)
+    for parity, columns in enumerate((["doc_id", "text", "label", "source"], ["label", "source", "doc_id", "text"])):
+        half = rows.where(F.col("label") == parity).select(*columns)
+        half.write.mode("append").options(**sinks.CSV_WRITE).csv(path)
+    back = tabular.read_source(spark, path)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("label").cast("int").alias("label"), "source")
+
+
+def parquet_mixed_schema(spark, sf):
+    """Parquet files of one folder, of which some lack a column."""
+    path = new_path(spark, "mixed")
+    rows = corpus(spark, sf)
+    rows.where("label = 0").select("doc_id", "text").write.mode("append").parquet(path)
+    rows.where("label = 1").select("doc_id", "text", "source").write.mode("append").parquet(path)
+    return tabular.read_source(spark, path).select("doc_id", "text", "source")
+
+
+def mixed_format_folder(spark, sf):
+    """A folder with CSV and Parquet files is read whole."""
+    path = new_path(spark, "mixed")
+    rows = corpus(spark, sf).select("doc_id", "text", "label")
+    rows.where("label = 0").write.mode("append").options(**sinks.CSV_WRITE).csv(path)
+    rows.where("label = 1").write.mode("append").parquet(path)
+    back = tabular.read_source(spark, path)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("label").cast("int").alias("label"))
+
+
+def published_exact_split(spark, sf):
+    """A split is read by its exact name, not from folders whose names begin like it."""
+    path = _mirror(spark, sf)
+    presplit(spark, sf).where("split = 'test'").select("text", "label").write.parquet(f"{path}/train_old")
+    return tabular.load_published_split(spark, path, "train").select("text", "label")
+
+
+def license_numeric_source(spark, sf):
+    """A licence list over sources that are numbers."""
+    permitted = tuple(licenses.PermittedSource(str(i), f"set{i}", "mit", f"u/{i}") for i in range(6))
+    rows = corpus(spark, sf).withColumn("source", F.col("doc_id") % 20)
+    kept = licenses.enrich_permitted(rows, licenses.LicenseList(permitted, ("6",)))
+    return kept.select("doc_id", "source_detail", "source_dataset", "source_license")
+
+
 def split_csv_roundtrip(spark, sf):
     path = new_path(spark, "corpus")
     assigned, _ = split_three_way(unique_corpus(spark, sf), 0.1, 0.1, SEED)
@@ -597,33 +646,44 @@ def _split_labelled(spark, sf) -> dict[str, DataFrame]:
     return {name: assigned.where(F.col("split") == name) for name in builds.SPLITS}
 
 
-QUICK_MODEL = replace(models.CHAR_MODEL, iterations=(5,), features=1 << 14)
-
-
-def _quick_model(spark, sf) -> models.TrainedModel:
+def _char_model(spark, sf) -> models.TrainedModel:
     parts = _split_labelled(spark, sf)
-    return models.train(parts["train"], parts["val"], QUICK_MODEL)[0]
+    return models.train(parts["train"], parts["val"], models.CHAR_MODEL)[0]
 
 
 def train_and_score(spark, sf):
-    return models.score(labelled(spark, sf), _quick_model(spark, sf)).select(
-        "doc_id", "label", "prob_ai", "model_version"
-    )
+    """Every labelled row with a probability by the trained model; SQL can state that it is one, not which."""
+    valid = F.col("prob_ai").between(0.0, 1.0).alias("is_probability")
+    return models.score(labelled(spark, sf), _char_model(spark, sf)).select("doc_id", "label", valid, "model_version")
 
 
 def evaluate_model(spark, sf):
     parts = _split_labelled(spark, sf)
-    model, _ = models.train(parts["train"], parts["val"], QUICK_MODEL)
+    model, _ = models.train(parts["train"], parts["val"], models.CHAR_MODEL)
     path = new_path(spark, "model")
     models.save_model(model, path)
-    return models.evaluate(parts["test"], models.load_model(spark, path))
+    loaded = models.load_model(spark, path)
+    before, after = (
+        models.score(parts["test"], m).select("text", F.col("prob_ai").alias(n))
+        for m, n in ((model, "a"), (loaded, "b"))
+    )
+    changed = before.join(after, "text").agg(F.count_if(F.abs(F.col("a") - F.col("b")) > 1e-12).alias("changed_by_saving"))
+    report = models.evaluate(parts["test"], loaded)
+    in_range = [F.col(m).between(0.0, 1.0) for m in ("roc_auc", "pr_auc", "brier_score", "threshold", "precision", "recall", "f1")]
+    return report.select(
+        "model_version",
+        "rows",
+        (F.col("true_positive") + F.col("false_negative")).alias("positives"),
+        (F.col("true_negative") + F.col("false_positive")).alias("negatives"),
+        reduce(lambda a, b: a & b, in_range).alias("metrics_in_range"),
+    ).join(F.broadcast(changed))  # one row each
 
 
 def sweep(spark, sf):
     parts = _split_labelled(spark, sf)
-    grid = [replace(c, features=1 << 14) for c in models.sweep_grid("smoke")]
-    runs = stage(models.sweep(parts["train"], parts["val"], parts["test"], grid))
-    return models.sweep_leaderboard(runs)
+    runs = stage(models.sweep(parts["train"], parts["val"], parts["test"], models.sweep_grid()))
+    board = models.sweep_leaderboard(runs)
+    return board.groupBy("family").agg(F.count(F.lit(1)).alias("metrics"), F.count_if(F.col("value").between(0.0, 1.0)).alias("in_range"))
 
 
 def length_model() -> Callable[[], models.Scorer]:
@@ -634,8 +694,10 @@ def length_model() -> Callable[[], models.Scorer]:
     """
 
     def load():
+        import numpy
+
         def score(texts):
-            return [1.0 / (1.0 + math.exp(-(len(text) - 1000) / 500.0)) for text in texts]
+            return 1.0 / (1.0 + numpy.exp(-(texts.str.len() - 1000) / 500.0))
 
         return score
 
@@ -700,14 +762,15 @@ def stream_score(spark, sf):
 
 
 def stream_score_trained(spark, sf):
-    model = _quick_model(spark, sf)
+    model = _char_model(spark, sf)
     requests = StreamSource(f"{sf}/documents*.parquet").open(spark).select("doc_id", "text")
     output = new_path(spark, "answers")
     query = scoring.start_scoring(
         requests, lambda df: models.score(df, model), output, f"{output}-progress", available_now=True
     )
     query.awaitTermination()
-    return spark.read.parquet(output).select("doc_id", "prob_ai", "model_version", "status")
+    valid = F.col("prob_ai").between(0.0, 1.0).alias("is_probability")
+    return spark.read.parquet(output).select("doc_id", valid, "model_version", "status")
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -751,6 +814,7 @@ QUERIES: dict[str, Query] = {
     "brier": brier,
     "classification_report": classification_report,
     "report_at_threshold": report_at_threshold,
+    "report_saturated_scores": report_saturated_scores,
     "report_by_source": report_by_source,
     "bce_loss": bce_loss,
     "epoch_loss": epoch_loss,
@@ -765,6 +829,11 @@ QUERIES: dict[str, Query] = {
     "char_encode": char_encode,
     "char_vocab_stats": char_vocab_stats,
     "csv_roundtrip": csv_roundtrip,
+    "csv_mixed_headers": csv_mixed_headers,
+    "parquet_mixed_schema": parquet_mixed_schema,
+    "mixed_format_folder": mixed_format_folder,
+    "published_exact_split": published_exact_split,
+    "license_numeric_source": license_numeric_source,
     "split_csv_roundtrip": split_csv_roundtrip,
     "split_parquet_one": split_parquet_one,
     "projected_scan": projected_scan,

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -144,21 +145,20 @@ Scorer = Callable[[pd.Series], Sequence[float]]
 
 
 def score_with_python(
-    df: DataFrame, load: Callable[[], Scorer], version: str, batch_size: int = 32
+    df: DataFrame, load: Callable[[], Scorer], version: str, batch_size: int | None = None
 ) -> DataFrame:
     """Score with a Python model: loaded once per task, called on Arrow batches.
 
-    Only the text column travels to Python. ``load`` must be picklable and returns a function from texts to probabilities; it is
-    called with at most ``batch_size`` texts.
+    Only the text column travels to Python. ``load`` must be picklable and returns a function from texts to
+    probabilities; it is called with an Arrow batch, or with at most ``batch_size`` texts.
     """
 
     def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = load()
         for texts in batches:
-            probabilities: list[float] = []
-            for start in range(0, len(texts), batch_size):
-                probabilities.extend(float(p) for p in scorer(texts.iloc[start : start + batch_size]))
-            yield pd.Series(probabilities, dtype="float64")
+            step = batch_size or max(1, len(texts))
+            parts = [np.asarray(scorer(texts.iloc[k : k + step]), "float64") for k in range(0, len(texts), step)]
+            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     probability = F.pandas_udf(score_batches, "double")
     return df.select(

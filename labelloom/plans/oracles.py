@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from labelloom.functions.chars import ALPHABET
-from labelloom.functions.text import WHITESPACE
-from labelloom.plans.catalogue import BAD, CHAR_LENGTH, GOOD, PERCENTILE, TEST_LICENSES
+import string
+
+from labelloom.plans.catalogue import BAD, GOOD, PERCENTILE, TEST_LICENSES
 
 
 def _quote(value: str) -> str:
@@ -15,7 +15,10 @@ def _list(values) -> str:
     return ", ".join(_quote(v) for v in values)
 
 
-WS = _quote(WHITESPACE)
+# Code points that count as white space at the ends of a text, and characters with an id, spelled out here on purpose.
+SPACE_POINTS = (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+WS = "(" + " || ".join(f"chr({c})" for c in SPACE_POINTS) + ")"
+ALPHABET = string.ascii_lowercase + string.digits + string.punctuation + " \n\t"
 PERMITTED = _list(TEST_LICENSES.permitted_names)
 MAPPED = _list(TEST_LICENSES.mapped_names)
 DIMENSION = "(VALUES {}) AS dim(source, source_dataset, source_license, upstream_url)".format(
@@ -343,6 +346,26 @@ ORACLES: dict[str, str] = {
     "brier": f"""WITH {SCORED} SELECT round(avg((score - label) * (score - label)), 9) AS brier_score
         FROM scored""",
     "classification_report": f"WITH {SCORED}, {_report()} SELECT * FROM report",
+    "report_saturated_scores": f"""WITH {SCORED}, saturated AS (SELECT doc_id, label, source, lang,
+        CASE WHEN doc_id % 10 = 0 THEN score ELSE 1.0 END AS score FROM scored),
+        {_report(rows="SELECT * FROM saturated")} SELECT * FROM report""",
+    "train_and_score": f"""WITH {LABELLED} SELECT doc_id, label, true AS is_probability,
+        'char_ngram-v1' AS model_version FROM labelled""",
+    "evaluate_model": f"""WITH {LABELLED}, uniq AS (SELECT DISTINCT text, label FROM labelled), {_three_way('uniq', 0.2)}
+        SELECT 'char_ngram-v1' AS model_version, count(*) AS rows, count(*) FILTER (label = 1) AS positives,
+        count(*) FILTER (label = 0) AS negatives, true AS metrics_in_range, 0 AS changed_by_saving
+        FROM assigned WHERE split = 'test'""",
+    "sweep": "SELECT * FROM (VALUES ('char_ngram', 6, 6), ('word_ngram', 6, 6)) AS t(family, metrics, in_range)",
+    "stream_score_trained": """SELECT doc_id, true AS is_probability, 'char_ngram-v1' AS model_version,
+        'valid' AS status FROM documents""",
+    "csv_mixed_headers": f"WITH {CORPUS} SELECT doc_id, text, label, source FROM corpus",
+    "parquet_mixed_schema": f"""WITH {CORPUS} SELECT doc_id, text, CASE WHEN label = 1 THEN source END AS source
+        FROM corpus""",
+    "mixed_format_folder": f"WITH {CORPUS} SELECT doc_id, text, label FROM corpus",
+    "published_exact_split": """SELECT DISTINCT text, CAST((doc_id // 10) % 2 AS INTEGER) AS label FROM documents
+        WHERE doc_id % 10 < 8""",
+    "license_numeric_source": """SELECT doc_id, CAST(doc_id % 20 AS VARCHAR) AS source_detail,
+        'set' || doc_id % 20 AS source_dataset, 'mit' AS source_license FROM documents WHERE doc_id % 20 < 6""",
     "report_at_threshold": f"WITH {SCORED}, {_report(threshold=0.7)} SELECT * FROM report",
     "report_by_source": f"WITH {SCORED}, {_report(('source',))} SELECT * FROM report",
     "bce_loss": f"WITH {SCORED}, {LOGITS} SELECT round({LOSS}, 9) AS bce_loss FROM logits",
@@ -362,7 +385,7 @@ ORACLES: dict[str, str] = {
     "latency_p95_by_type": f"""SELECT event_type, value AS p95 FROM (SELECT event_type, value,
         row_number() OVER (PARTITION BY event_type ORDER BY value) AS rk,
         count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL) WHERE rk = {P95}""",
-    "char_encode": f"""SELECT doc_id, array_to_string(list_transform(range({CHAR_LENGTH}), lambda i:
+    "char_encode": f"""SELECT doc_id, array_to_string(list_transform(range(2048), lambda i:
         CASE WHEN i >= length(text) THEN 0 ELSE coalesce({CHAR_MAP}[unicode(substr(lower(text), i + 1, 1))], 1)
         END), ',') AS ids FROM documents""",
     "char_vocab_stats": f"""WITH chars AS (SELECT unnest(string_split(lower(text), '')) AS c FROM documents)

@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        CHECKPOINT_CONF: tempfile.mkdtemp(prefix="labelloom-"),
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName("labelloom")
@@ -52,22 +52,11 @@ def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, as named by the cluster.
-
-    Only a local master may fall back to a temporary folder: executors of a cluster
-    cannot see the driver's disk.
-    """
+    """The shared folder for intermediate tables, as named by the cluster. There is no other place to fall back to."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    return _temporary_dir(spark.sparkContext.applicationId)
-
-
-@cache
-def _temporary_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"labelloom-{application}-")
+    return configured.rstrip("/")
 
 
 _job_paths: ContextVar[list[str] | None] = ContextVar("job_paths", default=None)
@@ -87,25 +76,32 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _job_paths.reset(token)
         for path in paths:
-            hadoop_path, fs = _file_system(spark, path)
-            fs.delete(hadoop_path, True)
+            drop(spark, path)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
+    """A fresh path in the shared folder. What is there is dropped when the job or else the session ends."""
     path = f"{shared_dir(spark)}/labelloom/{name}-{uuid.uuid4().hex}"
     if (paths := _job_paths.get()) is not None:
         paths.append(path)
+    else:
+        hadoop_path, fs = _file_system(spark, path)
+        fs.deleteOnExit(hadoop_path)
     return path
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def drop(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a scan of it.
 
     Unlike a cached frame the table survives the loss of executors, and unlike
     ``checkpoint()`` later passes read only the columns they touch.
     """
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -127,6 +123,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hadoop_path))
 
 
+def list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Files below a path, at any depth, whose name ends with ``suffix``; hidden ones (``_`` or ``.``) don't count."""
+    hadoop_path, fs = _file_system(spark, path)
+    found, listing = [], fs.listFiles(hadoop_path, True)
+    start = len(fs.getFileStatus(hadoop_path).getPath().toString()) + 1
+    while listing.hasNext():
+        name = listing.next().getPath().toString()
+        if name.endswith(suffix) and not any(part[:1] in "_." for part in name[start:].split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def read_head(spark: SparkSession, path: str, size: int) -> bytes:
+    """The first ``size`` bytes of a file."""
+    hadoop_path, fs = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _file_system(spark, path)
     return bool(fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory())

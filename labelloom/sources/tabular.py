@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelloom.functions.text import clean_text, not_blank, parse_label
-from labelloom.operators.columns import exact, require_columns
+from labelloom.operators.columns import exact, label_column, require_columns, text_column
 from labelloom.operators.normalize import (
     Profile,
     default_split_provenance,
@@ -20,10 +24,10 @@ from labelloom.operators.normalize import (
 )
 from labelloom.operators.ranking import DIGEST, with_digest
 from labelloom.operators.sampling import balanced_sample
-from labelloom.session import is_directory, path_exists, stage
+from labelloom.session import is_directory, list_files, path_exists, read_head, stage
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
-# File names that win over others in a raw data directory.
+# File names that may be preferred to others in a raw data directory (``csv_source``).
 PREFERRED_CSV = (
     "train_v2_drcat_02.csv",
     "train_v2_drcat_01.csv",
@@ -32,19 +36,49 @@ PREFERRED_CSV = (
 )
 
 
+HEADER_BYTES = 1 << 16
+
+
 def read_csv(spark: SparkSession, path: str, *, line_breaks: bool = True) -> DataFrame:
-    """A headed CSV as strings. Only an empty field is NULL; 'NA' or 'null' is text.
+    """Headed CSV files as strings. Only an empty field is NULL; 'NA' or 'null' is text.
 
-    With line breaks inside quotes a file is one task, so a large corpus should come as
-    many files, or be staged once. ``line_breaks=False`` makes files splittable.
+    Columns are bound by name: files with one header are read together, and the parts are united by column name. If
+    headers differ, each must have a text and a label column. With line breaks inside quotes a file is one task, so a
+    large corpus should come as many files, or be staged once. ``line_breaks=False`` makes files splittable.
     """
-    options = {**CSV_OPTIONS, "multiLine": str(line_breaks).lower()}
-    reader = spark.read.options(**options).option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", _name_filter(spark, path, "csv")).csv(path)
+    options = {**CSV_OPTIONS, "multiLine": str(line_breaks).lower(), "enforceSchema": "false"}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, header in _headers(spark, path):
+        by_header.setdefault(header, []).append(file)
+    if not by_header:
+        raise FileNotFoundError(f"no CSV files below {path}")
+    frames = []
+    for header, files in sorted(by_header.items()):
+        df = spark.read.options(**options).csv(files)
+        if len(by_header) > 1:
+            try:
+                text_column(df), label_column(df)
+            except ValueError as error:
+                raise ValueError(f"{files[0]}: {error}") from error
+        frames.append(df)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]]:
+    """The CSV files of a path with their column names, from the first HEADER_BYTES of each. Empty files are left out."""
+
+    def header(file: str) -> tuple[str, tuple[str, ...]]:
+        head = read_head(spark, file, HEADER_BYTES).decode("utf-8", "replace").removeprefix("\ufeff")
+        return file, tuple(next(csv.reader(io.StringIO(head, newline="")), ()))
+
+    files = list_files(spark, path, ".csv") if is_directory(spark, path) else [path]
+    with ThreadPoolExecutor(16) as pool:
+        return [(file, names) for file, names in pool.map(header, files) if names]
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", "true")
+    """Parquet files with the columns of all of them, by name."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
     return reader.option("pathGlobFilter", _name_filter(spark, path, "parquet")).parquet(path)
 
 
@@ -53,47 +87,48 @@ def _name_filter(spark: SparkSession, path: str, suffix: str) -> str:
     return f"*.{suffix}" if is_directory(spark, path) else "*"
 
 
-def _has_files(spark: SparkSession, path: str, pattern: str) -> bool:
-    """Does the directory hold a matching file at any depth? No content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return not files.option("pathGlobFilter", pattern).load(path).select("path").isEmpty()
-
-
-def source_format(spark: SparkSession, path: str) -> str:
-    """'csv' or 'parquet', by suffix for a file and by content for a directory."""
+def source_formats(spark: SparkSession, path: str) -> list[str]:
+    """'csv' and 'parquet', as far as present: by suffix for a file, by content for a directory."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"source path does not exist: {path}")
     if not is_directory(spark, path):
-        return "parquet" if path.endswith(".parquet") else "csv"
-    for kind in ("csv", "parquet"):
-        if _has_files(spark, path, f"*.{kind}"):
-            return kind
+        return ["parquet" if path.endswith(".parquet") else "csv"]
+    if kinds := [k for k in ("csv", "parquet") if list_files(spark, path, f".{k}")]:
+        return kinds
     raise FileNotFoundError(f"no CSV or Parquet files below {path}")
 
 
-def csv_source(spark: SparkSession, path: str) -> str:
-    """The CSV path to read: the path itself, or a preferred file inside the directory."""
+def source_format(spark: SparkSession, path: str) -> str:
+    """The format of a path; 'csv' if a directory holds both."""
+    return source_formats(spark, path)[0]
+
+
+def csv_source(spark: SparkSession, path: str, preferred: Sequence[str] = ()) -> str:
+    """The CSV path to read: the path itself, or the first of the ``preferred`` files inside the directory."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"source path does not exist: {path}")
     if not is_directory(spark, path):
         return path
-    for name in PREFERRED_CSV:
+    for name in preferred:
         if path_exists(spark, f"{path}/{name}"):
             return f"{path}/{name}"
-    if not _has_files(spark, path, "*.csv"):
+    if not list_files(spark, path, ".csv"):
         raise FileNotFoundError(f"no CSV files below {path}")
     return path
 
 
-def read_source(spark: SparkSession, path: str) -> DataFrame:
-    """Read all files of a path; a directory with any CSV is a CSV source."""
-    reader = read_csv if source_format(spark, path) == "csv" else read_parquet
-    return reader(spark, path)
+def read_source(spark: SparkSession, path: str, *, line_breaks: bool = True) -> DataFrame:
+    """All CSV and Parquet files of a path, united by column name."""
+    frames = [
+        read_csv(spark, path, line_breaks=line_breaks) if kind == "csv" else read_parquet(spark, path)
+        for kind in source_formats(spark, path)
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def ingest(spark: SparkSession, path: str) -> DataFrame:
+def ingest(spark: SparkSession, path: str, *, line_breaks: bool = True) -> DataFrame:
     """A source ready for several passes: CSV is parsed once and staged as Parquet."""
-    df = read_source(spark, path)
+    df = read_source(spark, path, line_breaks=line_breaks)
     return stage(df, "ingest") if source_format(spark, path) == "csv" else df
 
 
@@ -111,9 +146,9 @@ def read_split(df: DataFrame, limit_rows: int | None = None, seed: int = 42) ->
         clean_text(exact("text")).alias("text"),
         parse_label(exact("label"), df.schema["label"].dataType).alias("label"),
     ).where(not_blank(F.col("text")))
-    staged = stage(rows, "split")
+    staged = stage(with_digest(rows), "split")
     validate(profile(staged))
-    return balanced_sample(staged, limit_rows, seed)
+    return balanced_sample(staged, limit_rows, seed).drop(DIGEST)
 
 
 def read_evaluation(df: DataFrame) -> DataFrame:
@@ -127,14 +162,20 @@ def read_evaluation(df: DataFrame) -> DataFrame:
 PROVENANCE_URL = "upstream_url"
 
 
+def split_files(mirror: str, name: str) -> str:
+    """The folder ``name``, the file ``name.parquet`` and the files ``name-*.parquet`` of a mirror, and no others."""
+    return f"{mirror}/{{{name},{name}.parquet,{name}-*.parquet}}"
+
+
 def load_published_splits(
     spark: SparkSession, mirror: str, stored: Mapping[str, str], order_by: Sequence[str] = ()
 ) -> tuple[DataFrame, dict[str, Profile]]:
     """All splits of a mirrored corpus as one checked table.
 
-    ``stored`` maps a split to the start of its files' or folder's name in the mirror.
+    ``stored`` maps a split to its name in the mirror (see ``split_files``).
     """
-    frames = {split: spark.read.parquet(f"{mirror}/{name}*") for split, name in stored.items()}
+    reader = spark.read.option("mergeSchema", "true")
+    frames = {split: reader.parquet(split_files(mirror, name)) for split, name in stored.items()}
     rows, facts = _checked(frames, order_by)
     return _tag_splits(rows, stored), facts
 

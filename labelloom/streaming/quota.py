@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from labelloom.functions.text import not_blank
 from labelloom.operators.normalize import project
 from labelloom.operators.ranking import order_key, rank_rows, with_digest
-from labelloom.session import new_path, path_exists, stage
+from labelloom.session import drop, new_path, path_exists, stage
 
 POLL_SECONDS = 0.2
 
@@ -31,7 +31,7 @@ class StreamSource:
     prepare: Callable[[DataFrame], DataFrame] | None = None
 
     def open(self, spark: SparkSession) -> DataFrame:
-        schema = self.schema or spark.read.parquet(self.path).schema
+        schema = self.schema or spark.read.option("mergeSchema", "true").parquet(self.path).schema
         reader = spark.readStream.schema(schema)
         rows = reader.option("maxFilesPerTrigger", self.max_files_per_batch).parquet(self.path)
         return self.prepare(rows) if self.prepare else rows
@@ -91,7 +91,13 @@ class QuotaSink:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         if self.full or self.error:
             return
-        rows = stage(with_digest(batch), "batch")
+        staged = new_path(self.spark, "batch")
+        try:
+            self._take(stage(with_digest(batch), "batch", staged), batch.columns, batch_id)
+        finally:
+            drop(self.spark, staged)
+
+    def _take(self, rows: DataFrame, columns: list[str], batch_id: int) -> None:
         if self._last_batch is None or batch_id <= self._last_batch:
             self._counts = self.taken(before=batch_id)
         already = self._counts
@@ -104,7 +110,7 @@ class QuotaSink:
             return {(label,): [n] for label, n in open_quota.items() if (label,) in counts}
 
         ranked = rank_rows(rows, ["label"], order_key(rows, self.seed, "stream"), targets)
-        ranked.take().select(*batch.columns).write.mode("overwrite").parquet(
+        ranked.take().select(*columns).write.mode("overwrite").parquet(
             self._batch_path(batch_id)
         )
         got = {label: min(n, ranked.counts.get((label,), 0)) for label, n in open_quota.items()}

@@ -21,13 +21,11 @@ def with_status(df: DataFrame) -> DataFrame:
 
 
 def score_requests(df: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Probabilities for valid requests; rejected ones stay, without a probability."""
-    marked = with_status(df).withColumn("text", F.coalesce("text", F.lit("")))
-    scored = scorer(marked)
-    valid = F.col("status") == VALID
-    return scored.withColumn("prob_ai", F.when(valid, F.col("prob_ai"))).withColumn(
-        "model_version", F.when(valid, F.col("model_version"))
-    )
+    """Probabilities for valid requests; rejected ones stay, without a probability, and never reach the model."""
+    marked = with_status(df)
+    scored = scorer(marked.where(F.col("status") == VALID))
+    rejected = marked.where(F.col("status") == REJECTED).withColumn("text", F.coalesce("text", F.lit("")))
+    return scored.unionByName(rejected, allowMissingColumns=True)
 
 
 def start_scoring(

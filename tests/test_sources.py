@@ -25,19 +25,39 @@ def test_csv_written_by_pandas(spark, folder):
     assert [r.text for r in back] == [*NASTY, None]
 
 
-def test_directories_are_read_whole_and_csv_wins(spark, folder):
+def test_directories_are_read_whole(spark, folder):
     os.makedirs(f"{folder}/data/deep.er")
     for i, name in enumerate(("x.csv", "deep.er/y.csv")):
         pd.DataFrame({"text": [f"t{i}"], "label": [i]}).to_csv(f"{folder}/data/{name}", index=False)
-    pd.DataFrame({"text": ["p"]}).to_parquet(f"{folder}/data/z.parquet")
-    assert tabular.source_format(spark, f"{folder}/data") == "csv"
-    assert sorted(r.text for r in tabular.read_source(spark, f"{folder}/data").collect()) == ["t0", "t1"]
+    pd.DataFrame({"text": ["p"], "license": ["mit"]}).to_parquet(f"{folder}/data/z.parquet")
+    assert tabular.source_formats(spark, f"{folder}/data") == ["csv", "parquet"]
+    rows = tabular.read_source(spark, f"{folder}/data").collect()
+    assert sorted((r.text, r.label, r.license) for r in rows) == [("p", None, "mit"), ("t0", "0", None), ("t1", "1", None)]
     assert tabular.csv_source(spark, f"{folder}/data") == f"{folder}/data"
     pd.DataFrame({"text": ["best"], "label": [1]}).to_csv(f"{folder}/data/train.csv", index=False)
-    assert tabular.csv_source(spark, f"{folder}/data").endswith("/train.csv")
+    assert tabular.csv_source(spark, f"{folder}/data") == f"{folder}/data"
+    assert tabular.csv_source(spark, f"{folder}/data", tabular.PREFERRED_CSV).endswith("/train.csv")
     assert [r.text for r in tabular.read_source(spark, f"{folder}/data/z.parquet").collect()] == ["p"]
 
 
+def test_csv_columns_are_bound_by_name(spark, folder):
+    os.makedirs(f"{folder}/two")
+    pd.DataFrame({"text": ["a"], "label": [0], "source": ["s"]}).to_csv(f"{folder}/two/a.csv", index=False)
+    pd.DataFrame({"label": [1], "source": ["r"], "text": ["b"]}).to_csv(f"{folder}/two/b.csv", index=False)
+    rows = tabular.read_source(spark, f"{folder}/two").collect()
+    assert sorted((r.text, r.label, r.source) for r in rows) == [("a", "0", "s"), ("b", "1", "r")]
+    pd.DataFrame({"label": [1], "words": ["c"]}).to_csv(f"{folder}/two/c.csv", index=False)
+    with pytest.raises(ValueError, match="c.csv"):
+        tabular.read_source(spark, f"{folder}/two")
+
+
+def test_parquet_columns_of_all_files(spark, folder):
+    spark.sql("select 'a' text").write.parquet(f"{folder}/m/x")
+    spark.sql("select 'b' text, 'mit' source_license").write.parquet(f"{folder}/m/y")
+    rows = tabular.read_parquet(spark, f"{folder}/m").collect()
+    assert sorted((r.text, r.source_license) for r in rows) == [("a", None), ("b", "mit")]
+
+
 def test_missing_sources_name_the_path(spark, folder):
     with pytest.raises(FileNotFoundError, match="nowhere"):
         tabular.read_source(spark, f"{folder}/nowhere")
