@@ -5,14 +5,15 @@ a token among the first quarter of both. Lines meet on those tokens, pairs are f
 the shared token, and what is left is verified on the words themselves. Later matches are removed.
 
 Rarity comes from a sketch of fixed size: how often the hash bucket of a token occurs. A line needs one earlier match to
-go, so each line is first compared with one line per shared token, drawn by age and then by lot; only lines that are
-still there are compared with all earlier ones that share a token.
+go, so each line is first compared with the oldest line per shared token; only lines that are still there are compared
+with all earlier ones that share a token.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labelloom.llm.common import small
 from labelloom.session import stage
@@ -20,22 +21,28 @@ from labelloom.session import stage
 #: Lines with fewer distinct words are left alone: they are too short to be told from chance.
 MIN_TOKENS = 5
 NEAR, OF = 3, 4
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
 #: A line with more than this share of all lines is taken once into the join; there are fewer than so many such lines.
 HOT_SHARE = 10_000
 #: Removed lines (a number and a hash each) that are broadcast at most.
 BROADCAST_LINES = 1_000_000
-SPACES = r"[\x20\x09-\x0D]+"
+OTHER_SPACES = r"[\x09\x0B-\x0D]"
 LAST = (1 << 63) - 1
 
 
 def tokens_of(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(line, SPACES), ""))
+    """Distinct words of a line whose white space are spaces."""
+    return F.array_distinct(F.array_remove(F.split(line, " "), ""))
+
+
+def spaced(text: Column) -> Column:
+    """White space other than line feeds as spaces; most texts have none and are not rewritten."""
+    return F.when(F.rlike(text, F.lit(OTHER_SPACES)), F.regexp_replace(text, OTHER_SPACES, " ")).otherwise(text)
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, number, line, l1, l2): a null text is one empty line; l1, l2 are 128 bits of hash of the line."""
-    text = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
+    """(doc_id, number, line, l1, l2): a null text is one empty line; other white space is spaces; l1, l2 are 128 bits of hash of the line."""
+    text = F.split(spaced(F.coalesce(F.col("text"), F.lit(""))), "\n", -1)
     lines = docs.select("doc_id", F.posexplode(text).alias("number", "line"))
     return lines.select(
         "doc_id", "number", "line", F.xxhash64("line").alias("l1"), F.xxhash64("line", F.lit(1)).alias("l2")
@@ -48,40 +55,34 @@ def position() -> Column:
 
 
 def rarity(lines: DataFrame) -> Column:
-    """An array with the rank of each token bucket, rare first. BUCKETS counts reach the driver."""
-    words = lines.select(F.explode(F.split("line", SPACES)).alias("word"))
-    counted = words.groupBy(bucket("word").alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = [0] * BUCKETS
-    for row in counted:
-        counts[row.bucket] = row.n
+    """An array with the rank of each token bucket, rare first. BUCKETS counts at most reach the driver."""
+    words = lines.select(F.explode(F.split("line", " ")).alias("word"))
+    counted = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
+    found = counted.agg(F.count(F.lit(1)).alias("n")).select(F.expr(f"n * {BUCKETS} + bucket").alias("code")).collect()
     ranks = [0] * BUCKETS
-    for rank, k in enumerate(sorted(range(BUCKETS), key=lambda k: (counts[k], k))):
-        ranks[k] = rank
+    for rank, code in enumerate(sorted(r.code for r in found), 1):
+        ranks[code % BUCKETS] = rank
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
 
-def bucket(word: Column | str) -> Column:
-    return F.xxhash64(word).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-
-
 def ordered_tokens(line: Column, ranks: Column) -> Column:
     """Token numbers in the global order: rank of the bucket, then the rest of the hash (63 bits in all)."""
+    codes = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
 
-    def number(word: Column) -> Column:
-        code = F.xxhash64(word)
+    def number(code: Column) -> Column:
         rank = F.get(ranks, code.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.shiftleft(rank, 49).bitwiseOR(F.shiftrightunsigned(code, 15))
+        return F.shiftleft(rank, 44).bitwiseOR(F.shiftrightunsigned(code, 20))
 
-    return F.sort_array(F.transform(tokens_of(line), number))
+    return F.sort_array(F.transform(codes, number))
 
 
 def prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
-    """(token, l1, size, place): the first quarter of the tokens of each line that is long enough."""
-    tokens = lines.select("l1", ordered_tokens(F.col("line"), ranks).alias("tokens")).where(F.size("tokens") >= MIN_TOKENS)
+    """(token, l1, d, size, place): the first quarter of the tokens of each line that is long enough."""
+    tokens = lines.select("l1", position()["d"].alias("d"), ordered_tokens(F.col("line"), ranks).alias("tokens"))
     size = F.size("tokens")
     count = size - F.ceil(size * NEAR / OF).cast("int") + 1
-    head = tokens.select("l1", size.alias("size"), F.slice("tokens", F.lit(1), count).alias("head"))
-    return head.select("l1", "size", F.posexplode("head").alias("place", "token"))
+    head = tokens.where(size >= MIN_TOKENS).select("l1", "d", size.alias("size"), F.slice("tokens", F.lit(1), count).alias("head"))
+    return head.select("l1", "d", "size", F.posexplode("head").alias("place", "token"))
 
 
 def can_be_near(a: str, b: str) -> Column:
@@ -90,13 +91,24 @@ def can_be_near(a: str, b: str) -> Column:
     return F.expr(f"{sizes} and {OF + NEAR} * ({most}) >= {NEAR} * ({a}.size + {b}.size)")
 
 
-def near_pairs(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(early, late) of the pairs whose words are similar enough."""
-    a = words.select(F.col("l1").alias("early"), F.col("tokens").alias("a"))
-    b = words.select(F.col("l1").alias("late"), F.col("tokens").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    joined = pairs.join(a, "early").join(b, "late")
-    return joined.where((OF + NEAR) * both >= NEAR * (F.size("a") + F.size("b"))).select("early", "late")
+def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The distinct pairs (x, y) of ``met`` not in ``tried``, and (l1) of the later line of those that are near."""
+    pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    if tried is not None:
+        pairs = pairs.join(tried, ["x", "y"], "left_anti")
+    pairs = stage(pairs, "line-pairs")
+    asked = pairs.select(F.col("x").alias("l1")).union(pairs.select("y")).distinct()
+    known = firsts.join(small(stage(asked, "line-keys")), "l1", "left_semi").groupBy("l1").agg(F.min("first").alias("first"))
+    known = stage(known, "line-firsts")
+    place = F.struct(F.col("first.d").alias("d"), F.col("first.n").alias("n"))
+    texts = text_lines(docs).join(small(known), "l1").where(position() == place)
+    words = stage(texts.select("l1", "first", tokens_of(F.col("line")).alias("words")).dropDuplicates(["l1"]), "line-words")
+    sides = [words.select(F.col("l1").alias(k), F.struct("first", "words").alias(n)) for k, n in (("x", "a"), ("y", "b"))]
+    joined = pairs.join(sides[0], "x").join(sides[1], "y")
+    both = F.size(F.array_intersect("a.words", "b.words"))
+    near = joined.where((OF + NEAR) * both >= NEAR * (F.size("a.words") + F.size("b.words")))
+    later = near.where("a.first <> b.first").select(F.expr("if(a.first < b.first, y, x)").alias("l1"))
+    return pairs, later
 
 
 def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -104,46 +116,22 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     lines = text_lines(docs)
     count = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     hot = firsts.where(F.col("copies") > max(8, count // HOT_SHARE)).select("l1", "l2", "first")
-    hot = F.broadcast(hot) if count >= 8 * HOT_SHARE else small(hot)
-    once = lines.join(hot, ["l1", "l2"], "left").where(F.col("first").isNull() | (F.col("first") == position()))
-    rows = prefix_rows(once, rarity(lines)).repartition("token")
-    often = rows.groupBy("token").agg(F.min("l1").alias("a"), F.max("l1").alias("b")).where("a <> b").select("token")
-    shared = stage(rows.join(often, "token", "left_semi").dropDuplicates(["token", "l1"]), "line-tokens")
-
-    active = shared.select("l1").distinct()
-    known = stage(firsts.join(active, "l1", "left_semi").select("l1", "first"), "active-lines")
-    texts = lines.join(small(known.select("l1").distinct()), "l1", "left_semi").select("l1", "line")
-    words = stage(texts.dropDuplicates(["l1"]).select("l1", tokens_of(F.col("line")).alias("tokens")), "line-words")
-
-    rows = stage(shared.join(known, "l1"), "line-tokens")
-    beaten, tried = None, None
-    for step in ("oldest", "lot", "all"):
-        left = rows if beaten is None else rows.join(beaten, "l1", "left_anti")
-        if step == "all":
-            other = rows
-        else:
-            lot = F.col("first") if step == "oldest" else F.xxhash64("token", "l1")
-            numbered = rows.withColumn("lot", lot)
-            drawn = numbered.groupBy("token").agg(F.min("lot").alias("lot"))
-            other = numbered.join(drawn, ["token", "lot"], "left_semi")
-        met = (
-            left.alias("a")
-            .join(other.alias("b"), F.expr("a.token = b.token"))
-            .where(F.expr("a.l1 <> b.l1 and a.first <> b.first") & can_be_near("a", "b"))
-        )
-        if step == "all":
-            met = met.where("b.first < a.first")
-        pairs = met.select(
-            F.expr("if(a.first < b.first, a.l1, b.l1)").alias("early"),
-            F.expr("if(a.first < b.first, b.l1, a.l1)").alias("late"),
-        ).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["early", "late"], "left_anti")
-        pairs = stage(pairs, "line-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        late = near_pairs(pairs, words).select(F.col("late").alias("l1"))
-        beaten = stage((late if beaten is None else beaten.unionByName(late)).distinct(), "beaten")
-    return beaten
+    once = lines.join(small(hot), ["l1", "l2"], "left").where(F.col("first").isNull() | (F.col("first") == position()))
+    of_token = Window.partitionBy("token")
+    oldest = F.min(F.struct("d", "l1", "size", "place")).over(of_token)
+    alone = F.min("l1").over(of_token) == F.max("l1").over(of_token)
+    rows = prefix_rows(once, rarity(lines)).withColumns({"alone": alone, "b": oldest}).where("not alone")
+    shared = stage(rows.select("token", F.struct("d", "l1", "size", "place").alias("a"), "b"), "line-tokens")
+    met = shared.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
+    tried, beaten = matches(met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y")), docs, firsts, None)
+    beaten = stage(beaten.distinct(), "beaten")
+
+    every = shared.select("token", "a", F.col("a.l1").alias("l1"))
+    left = every.join(small(beaten), "l1", "left_anti").drop("l1")
+    met = left.join(every.select("token", F.col("a").alias("b")), "token")
+    met = met.where(F.expr("b.d <= a.d and a.l1 <> b.l1") & can_be_near("a", "b"))
+    _, more = matches(met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y")), docs, firsts, tried)
+    return stage(beaten.unionByName(more).distinct(), "beaten")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -179,8 +167,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     lines = F.split(F.col("row.text"), "\n", -1)
 
     def stays(line: Column, number: Column) -> Column:
-        found = F.array_contains("removed", F.struct(number.alias("number"), F.xxhash64(line).alias("l1")))
-        return ~(found & (F.size(tokens_of(line)) >= MIN_TOKENS))
+        words = spaced(line)
+        found = F.array_contains("removed", F.struct(number.alias("number"), F.xxhash64(words).alias("l1")))
+        return ~(found & (F.size(tokens_of(words)) >= MIN_TOKENS))
 
     kept = F.when(F.col("removed").isNull(), lines).otherwise(F.filter(lines, stays))
     cut = joined.select("row", lines.alias("lines"), kept.alias("kept"))
