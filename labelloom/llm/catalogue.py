@@ -30,14 +30,14 @@ def query(sql: str | None = None):
     return register
 
 
-@query()
+@query(sql.QUALITY)
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", *quality.BASE, "base_failed", "kept", F.array_join("failed", ",").alias("failed")
     )
 
 
-@query()
+@query(sql.LINES)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
     text = F.col("row.text")
@@ -49,7 +49,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(sql.repeats_sql(50))
 def op3_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_array(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans")
@@ -62,14 +62,14 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.token_digests(encoded)
 
 
-@query()
+@query(sql.repeats_sql(35))
 def op5_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.seed_and_extend(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans")
     )
 
 
-@query()
+@query(sql.JACCARD)
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -80,7 +80,7 @@ def op7_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-@query()
+@query(sql.WARC)
 def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(index).select(

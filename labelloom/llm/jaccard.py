@@ -31,7 +31,8 @@ NEAR, OF = 3, 4
 #: Buckets of the frequency sketch; their counts are the only thing sent to all tasks.
 BUCKETS = 1 << 16
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Partners of a group that a draw compares it with at most; the last step has no such bound.
+#: Partners of a group that a draw compares it with at most, the first or those drawn by two shingles or more. The last
+#: step has no such bound.
 PARTNERS = 4
 DRAWS = 3
 
@@ -189,7 +190,8 @@ def drawn_pairs(shared: DataFrame, groups: DataFrame, draw: int) -> DataFrame:
     )
     counted = met.groupBy(F.col("a.g").alias("g"), F.col("b.g").alias("h")).agg(F.count(F.lit(1)).alias("n"))
     best = Window.partitionBy("g").orderBy(F.desc("n"), "h")
-    return counted.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PARTNERS).select("g", "h")
+    ranked = counted.withColumn("place", F.row_number().over(best))
+    return ranked.where((F.col("place") == 1) | ((F.col("place") <= PARTNERS) & (F.col("n") > 1))).select("g", "h")
 
 
 def all_pairs_left(shared: DataFrame) -> DataFrame:

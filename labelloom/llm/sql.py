@@ -54,3 +54,140 @@ SELECT page_id, host, path, rule, coalesce(hits.verdict,
   coalesce(t.score, 0) AS trust, coalesce(d.score, 0) AS distrust
 FROM urls LEFT JOIN hits USING (page_id) LEFT JOIN trust_{rounds} t USING (host)
 LEFT JOIN distrust_{rounds} d USING (host)"""
+
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, {WORDS} AS ws FROM documents),
+lines AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM (
+    SELECT doc_id, i, list_slice(ws, i, i + 7) AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d))),
+again AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, range(8) r(k) WHERE n > 1 GROUP BY doc_id),
+base AS (
+  SELECT doc_id, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    length(regexp_replace(array_to_string(ws, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
+    len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS stuttered
+  FROM d JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)),
+measured AS (
+  SELECT doc_id, lang, source, n_words, unnest(['word_length', 'symbol_share', 'dup_line_share', 'stutter_share']) AS m,
+    unnest([word_chars, n_symbols, n_dup_lines, stuttered]) * 10000 // greatest(n_words, 1) AS v FROM base),
+buckets AS (
+  SELECT *, (v >> greatest(length(bin(v)) - 8, 0)) << greatest(length(bin(v)) - 8, 0) AS b FROM measured
+  WHERE n_words > 0),
+groups AS (
+  SELECT 1 AS level, lang, source, m, b FROM buckets UNION ALL SELECT 2, lang, NULL, m, b FROM buckets
+  UNION ALL SELECT 3, NULL, NULL, m, b FROM buckets),
+placed AS (
+  SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY level, lang, source, m) AS total FROM groups
+  WINDOW w AS (PARTITION BY level, lang, source, m ORDER BY b)),
+quant AS (
+  SELECT level, lang, source, m, max(total) AS total, min(b) FILTER (place * 10 >= total) AS low,
+    min(b) FILTER (place * 10 >= total * 5) AS mid, min(b) FILTER (place * 10 >= total * 9) AS high
+  FROM placed GROUP BY ALL),
+chosen AS (
+  SELECT o.lang, o.source, o.m, CASE WHEN o.total >= 200 THEN o WHEN l.total >= 200 THEN l ELSE a END AS q
+  FROM quant o JOIN quant l ON o.level = 1 AND l.level = 2 AND o.lang IS NOT DISTINCT FROM l.lang AND o.m = l.m
+  JOIN quant a ON a.level = 3 AND a.m = o.m),
+fences AS (
+  SELECT lang, source, m,
+    CASE WHEN m = 'word_length' THEN least(q.low - 3 * (q.high - q.low), q.mid - 20000) END AS floor,
+    greatest(q.high + 3 * (q.high - q.low), q.mid + CASE m WHEN 'word_length' THEN 20000 WHEN 'symbol_share' THEN 1000
+      WHEN 'dup_line_share' THEN 3000 ELSE 2000 END) AS ceiling FROM chosen),
+broken AS (
+  SELECT x.doc_id, string_agg(x.m, ',' ORDER BY list_position(['word_length', 'symbol_share', 'dup_line_share'], x.m)
+    NULLS LAST) AS failed
+  FROM measured x JOIN fences f ON x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source
+    AND x.m = f.m WHERE x.v < f.floor OR x.v > f.ceiling GROUP BY x.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND failed IS NULL AS kept, coalesce(failed, '') AS failed
+FROM base LEFT JOIN broken USING (doc_id)"""
+
+
+def repeats_sql(size: int) -> str:
+    """Whole texts of words are compared window by window; a document is known by its doc_id."""
+    return rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + {size - 1}), ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {size - 2})) AS i FROM d)),
+shared AS (SELECT doc_id, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)),
+steps AS (
+  SELECT doc_id, place, sum(n) AS n FROM (
+    SELECT doc_id, i AS place, 1 AS n FROM shared UNION ALL SELECT doc_id, i + {size}, -1 FROM shared) GROUP BY 1, 2),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS place FROM d),
+depth AS (
+  SELECT doc_id, word, place, coalesce(sum(s.n) OVER (PARTITION BY doc_id ORDER BY place), 0) > 0 AS gone
+  FROM words LEFT JOIN steps s USING (doc_id, place)),
+spans AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY place), false) AS opens FROM depth),
+cut AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '') AS kept FROM spans GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+  coalesce(n_spans, 0) AS n_spans FROM d LEFT JOIN cut USING (doc_id)"""
+
+
+JACCARD = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s
+  AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM met JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * common >= 75 * (a.n + b.n - common)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(min(y), d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id, n"""
+
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: right('000' || bin(
+    strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4)), '') AS b, max(page_id) OVER (PARTITION BY hex) AS last FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    list_sum(list_transform(range(5), lambda k: CAST(substr(b, i * 5 + k + 1, 1) AS INTEGER) << (4 - k))) AS INTEGER), 1)),
+    '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM bits"""
+
+
+#: Lines meet on the rarest quarter of their words, as they must to be similar, and are compared in full.
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents),
+firsts AS (
+  SELECT line, min((doc_id, k)) AS first, list_sort(list_distinct(regexp_extract_all(line, '[^ 	-
+]+'))) AS ws
+  FROM lines GROUP BY line),
+long AS (SELECT * FROM firsts WHERE len(ws) >= 5),
+tokens AS (SELECT line, first, len(ws) AS n, unnest(ws) AS w FROM long),
+ranked AS (
+  SELECT line, first, n, w, row_number() OVER (PARTITION BY line ORDER BY c, w) AS r
+  FROM (SELECT *, count(*) OVER (PARTITION BY w) AS c FROM tokens)),
+heads AS (SELECT * FROM ranked WHERE r <= n - CAST(ceil(n * 0.75) AS BIGINT) + 1),
+pairs AS (
+  SELECT DISTINCT a.line AS early, b.line AS late FROM heads a JOIN heads b ON a.w = b.w AND a.first < b.first
+  AND 4 * least(a.n, b.n) >= 3 * greatest(a.n, b.n)),
+beaten AS (
+  SELECT DISTINCT late FROM pairs JOIN long a ON a.line = early JOIN long b ON b.line = late
+  WHERE 7 * len(list_intersect(a.ws, b.ws)) >= 3 * (len(a.ws) + len(b.ws))),
+judged AS (
+  SELECT l.doc_id, l.k, l.line, f.line IS NOT NULL AND (b.late IS NOT NULL OR (l.doc_id, l.k) > f.first) AS gone
+  FROM lines l LEFT JOIN long f ON f.line = l.line LEFT JOIN beaten b ON b.late = l.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS text_sha256
+FROM judged GROUP BY doc_id"""
