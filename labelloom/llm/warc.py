@@ -81,8 +81,8 @@ def parse(data: memoryview, start: int) -> tuple[dict[str, str], memoryview, int
 class BundleWriter:
     """Writes records of one task into bundles. Each attempt of a task has files of its own, named in its index."""
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, frame_bytes: int):
+        self.folder, self.frame_bytes = folder, frame_bytes
         self.fs, self.path = pa.fs.FileSystem.from_uri(folder)
         self.sink, self.rows, self.pending, self.size = None, [], [], 0
         self.packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
@@ -95,7 +95,7 @@ class BundleWriter:
             self.sink = self.fs.open_output_stream(f"{self.path}/{name}", compression=None)
         self.pending.append((page_id, data))
         self.size += len(data)
-        if self.size >= FRAME_BYTES:
+        if self.size >= self.frame_bytes:
             self.flush()
 
     def flush(self) -> None:
@@ -177,7 +177,9 @@ def read_frame(bundle: str, frame: int) -> bytes:
         return zstandard.ZstdDecompressor().decompress(file.read(packed), max_output_size=plain)
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, date: datetime | None = None) -> DataFrame:
+def write_archives(
+    pages: DataFrame, folder: str | None = None, date: datetime | None = None, frame_bytes: int = FRAME_BYTES
+) -> DataFrame:
     """Write a record per row of ``pages`` (page_id, url, html) and return the index of the records (INDEX).
 
     The payload is the html in UTF-8, a null html is an empty payload. Of the records with equal payloads the one with
@@ -207,7 +209,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: datetime |
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = BundleWriter(folder)
+        writer = BundleWriter(folder, frame_bytes)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64).to_pydict()
