@@ -5,8 +5,9 @@ a token among the first quarter of both. Lines meet on those tokens, pairs are f
 the shared token, and what is left is verified on the words themselves. Later matches are removed.
 
 Rarity comes from a sketch of fixed size: how often the hash bucket of a token occurs. A line needs one earlier match to
-go, so each line is first compared with the oldest line per shared token; only lines that are still there are compared
-with all earlier ones that share a token.
+go. Lines that share a token with few others are compared with each of them; where there are many, each line is first
+compared with the oldest, and only lines that are still there with all earlier ones. A bitmap of 64 bits per line rules
+out most pairs before their words are read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from labelloom.session import stage
 #: Lines with fewer distinct words are left alone: they are too short to be told from chance.
 MIN_TOKENS = 5
 NEAR, OF = 3, 4
-BUCKETS = 1 << 18
+BUCKETS = 1 << 16
+#: A token of so few lines and one more is settled where it is; more lines are compared with the oldest first.
+FEW = 32
 #: A line with more than this share of all lines is taken once into the join; there are fewer than so many such lines.
 HOT_SHARE = 10_000
 #: Removed lines (a number and a hash each) that are broadcast at most.
@@ -71,24 +74,36 @@ def ordered_tokens(line: Column, ranks: Column) -> Column:
 
     def number(code: Column) -> Column:
         rank = F.get(ranks, code.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.shiftleft(rank, 44).bitwiseOR(F.shiftrightunsigned(code, 20))
+        return F.shiftleft(rank, 46).bitwiseOR(F.shiftrightunsigned(code, 18))
 
     return F.sort_array(F.transform(codes, number))
 
 
 def prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
-    """(token, l1, d, size, place): the first quarter of the tokens of each line that is long enough."""
+    """(token, l1, d, size, place, bits): the first quarter of the tokens of each line that is long enough.
+
+    Each token of the line turns over one of the 64 bits, so two lines differ in as many tokens as bits at least.
+    """
     tokens = lines.select("l1", position()["d"].alias("d"), ordered_tokens(F.col("line"), ranks).alias("tokens"))
     size = F.size("tokens")
     count = size - F.ceil(size * NEAR / OF).cast("int") + 1
-    head = tokens.where(size >= MIN_TOKENS).select("l1", "d", size.alias("size"), F.slice("tokens", F.lit(1), count).alias("head"))
-    return head.select("l1", "d", "size", F.posexplode("head").alias("place", "token"))
+    one = F.lit(1).cast("long")
+
+    def turned(bits: Column, token: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, token.bitwiseAND(F.lit(63)).cast("int")))
+
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), turned).alias("bits")
+    head = tokens.where(size >= MIN_TOKENS).select(
+        "l1", "d", size.alias("size"), bits, F.slice("tokens", F.lit(1), count).alias("head")
+    )
+    return head.select("l1", "d", "size", "bits", F.posexplode("head").alias("place", "token"))
 
 
 def can_be_near(a: str, b: str) -> Column:
     most = f"1 + least({a}.size - {a}.place - 1, {b}.size - {b}.place - 1)"
     sizes = f"{OF} * least({a}.size, {b}.size) >= {NEAR} * greatest({a}.size, {b}.size)"
-    return F.expr(f"{sizes} and {OF + NEAR} * ({most}) >= {NEAR} * ({a}.size + {b}.size)")
+    differ = f"{OF + NEAR} * bit_count({a}.bits ^ {b}.bits) <= {a}.size + {b}.size"
+    return F.expr(f"{sizes} and {differ} and {OF + NEAR} * ({most}) >= {NEAR} * ({a}.size + {b}.size)")
 
 
 def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -118,17 +133,28 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     hot = firsts.where(F.col("copies") > max(8, count // HOT_SHARE)).select("l1", "l2", "first")
     once = lines.join(small(hot), ["l1", "l2"], "left").where(F.col("first").isNull() | (F.col("first") == position()))
     of_token = Window.partitionBy("token")
-    oldest = F.min(F.struct("d", "l1", "size", "place")).over(of_token)
-    alone = F.min("l1").over(of_token) == F.max("l1").over(of_token)
-    rows = prefix_rows(once, rarity(lines)).withColumns({"alone": alone, "b": oldest}).where("not alone")
-    shared = stage(rows.select("token", F.struct("d", "l1", "size", "place").alias("a"), "b"), "line-tokens")
-    met = shared.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
-    tried, beaten = matches(met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y")), docs, firsts, None)
+    before = of_token.orderBy("size").rowsBetween(-FEW, -1)
+    side = F.struct("d", "l1", "size", "place", "bits")
+    rows = prefix_rows(once, rarity(lines)).withColumns(
+        {
+            "n": F.count(F.lit(1)).over(of_token),
+            "oldest": F.col("d") == F.min("d").over(of_token),
+            "others": F.collect_list(side).over(before),
+        }
+    )
+    rows = rows.where("n > 1").select("token", side.alias("a"), "oldest", "n", F.expr(f"explode_outer(if(n <= {FEW} + 1, others, null))").alias("b"))
+    rows = rows.where((F.col("n") > FEW + 1) | (F.expr("a.l1 <> b.l1") & can_be_near("a", "b")))
+    rows = stage(rows.select("token", "a.*", "oldest", F.col("b.l1").alias("other")), "line-tokens")
+    shared = rows.where("other is null").drop("other").dropDuplicates(["token", "l1"])
+    met = shared.select("token", side.alias("a")).join(shared.where("oldest").select("token", side.alias("b")), "token")
+    met = met.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
+    met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
+    met = met.unionByName(rows.where("other is not null").select(F.col("l1").alias("x"), F.col("other").alias("y")))
+    tried, beaten = matches(met, docs, firsts, None)
     beaten = stage(beaten.distinct(), "beaten")
 
-    every = shared.select("token", "a", F.col("a.l1").alias("l1"))
-    left = every.join(small(beaten), "l1", "left_anti").drop("l1")
-    met = left.join(every.select("token", F.col("a").alias("b")), "token")
+    left = shared.join(small(beaten), "l1", "left_anti").select("token", side.alias("a"))
+    met = left.join(shared.select("token", side.alias("b")), "token")
     met = met.where(F.expr("b.d <= a.d and a.l1 <> b.l1") & can_be_near("a", "b"))
     _, more = matches(met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y")), docs, firsts, tried)
     return stage(beaten.unionByName(more).distinct(), "beaten")
