@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +53,22 @@ def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, as named by the cluster. There is no other place to fall back to."""
+    """The shared folder for intermediate tables, as named by the cluster.
+
+    Where it is unset, a session on one machine (a local master, as in tests) gets a folder of its own; on a cluster
+    that is an error, as executors cannot see the driver's disk.
+    """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if not configured:
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    return configured.rstrip("/")
+    return _own_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"labelloom-{application}-")
 
 
 _job_paths: ContextVar[list[str] | None] = ContextVar("job_paths", default=None)

@@ -36,8 +36,9 @@ def test_the_shared_folder_is_the_configured_one(spark):
     assert session.shared_dir(StubSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     local = StubSession("local[4]", None)
     assert session.shared_dir(local) == session.shared_dir(local)
-    with pytest.raises(RuntimeError, match="checkpoint.dir"):
-        session.shared_dir(StubSession("yarn", None))
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            session.shared_dir(StubSession(master, None))
     configured = spark.conf.get(session.CHECKPOINT_CONF, None)
     if configured:
         assert session.new_path(spark, "x").startswith(f"{configured.rstrip('/')}/labelloom/x-")
