@@ -7,7 +7,8 @@ of walk and sample reach the target recall. Windows of a document that share a k
 verified by the exact edit distance.
 
 Before that, a window is left out if it can't be near: k edits of an item of n words touch 2 * k of its n - 1 pairs of
-neighbours at most, so a near window has n - 1 - 2 * k pairs of items of that size.
+neighbours at most, so a near window has n - 1 - 2 * k pairs of items of that size. Pairs of equal words are not counted
+on either side, as a stuttering text has any number of them.
 """
 
 from __future__ import annotations
@@ -140,6 +141,7 @@ class SizeClass:
     walks: Walks
     keys: np.ndarray
     owners: np.ndarray
+    doubled: int  # pairs of equal words in an item at most; they are not counted
 
     @classmethod
     def of(cls, size: int, items: list[tuple[int, list[int]]]) -> SizeClass:
@@ -148,7 +150,9 @@ class SizeClass:
         keys = walks.keys(codes)
         flat = keys.ravel()
         order = np.argsort(flat, kind="stable")
-        return cls(size, items, walks, flat[order], np.repeat(np.arange(len(items)), walks.repeats)[order])
+        doubled = int((codes[:, 1:] == codes[:, :-1]).sum(axis=1).max())
+        owners = np.repeat(np.arange(len(items)), walks.repeats)[order]
+        return cls(size, items, walks, flat[order], owners, doubled)
 
     def matches(self, windows: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, distance) of the windows near an item."""
@@ -186,8 +190,9 @@ class Matcher:
             for bit, size in enumerate(sizes[start : start + 64]):
                 classes.append(SizeClass.of(size, [(i, [code_of(w) for w in ws]) for i, ws in by_size[size]]))
                 for _, ws in by_size[size]:
-                    for pair in zip(ws, ws[1:], strict=False):
-                        masks[self.pair(*map(self.numbers.__getitem__, pair))] |= 1 << bit
+                    for a, b in zip(ws, ws[1:], strict=False):
+                        if a != b:
+                            masks[self.pair(self.numbers[a], self.numbers[b])] |= 1 << bit
             pairs = np.array(sorted(masks), np.int64)
             self.rounds.append((classes, pairs, np.array([masks[p] for p in pairs.tolist()], np.uint64)))
 
@@ -213,7 +218,7 @@ class Matcher:
 
     def near(self, kind: SizeClass, at: np.ndarray, flat: list[str], starts: np.ndarray, ends: np.ndarray):
         """Of the windows with enough of the pairs at the places ``at``, those near an item."""
-        need = kind.size - 1 - 2 * edits_allowed(kind.size)
+        need = max(1, kind.size - 1 - kind.doubled - 2 * edits_allowed(kind.size))
         if len(at) < need:
             return
         left, right = at[: len(at) - need + 1], at[need - 1 :]
