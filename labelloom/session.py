@@ -93,13 +93,25 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder. What is there is dropped when the job or else the session ends."""
-    path = f"{shared_dir(spark)}/labelloom/{name}-{uuid.uuid4().hex}"
+    path = f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if (paths := _job_paths.get()) is not None:
         paths.append(path)
-    else:
+    return path
+
+
+_session_dirs: dict[str, str] = {}
+
+
+def _session_dir(spark: SparkSession) -> str:
+    """This session's part of the shared folder; the file system deletes it when the driver ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _session_dirs:
+        path = f"{shared_dir(spark)}/labelloom/{application}"
         hadoop_path, fs = _file_system(spark, path)
+        fs.mkdirs(hadoop_path)
         fs.deleteOnExit(hadoop_path)
-    return path
+        _session_dirs[application] = path
+    return _session_dirs[application]
 
 
 def drop(spark: SparkSession, path: str) -> None:

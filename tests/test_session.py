@@ -41,7 +41,8 @@ def test_the_shared_folder_is_the_configured_one(spark):
             session.shared_dir(StubSession(master, None))
     configured = spark.conf.get(session.CHECKPOINT_CONF, None)
     if configured:
-        assert session.new_path(spark, "x").startswith(f"{configured.rstrip('/')}/labelloom/x-")
+        path = session.new_path(spark, "x")
+        assert path.startswith(f"{configured.rstrip('/')}/labelloom/{spark.sparkContext.applicationId}/x-")
 
 
 def test_settings_grow_with_the_data():
