@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.operators.ranking import DIGEST as STAGED_DIGEST
 from labelloom.session import stage
 
 COPIES, MIN_LABEL, MAX_LABEL, FIRST = "_copies", "_min_label", "_max_label", "_first"
@@ -99,11 +100,15 @@ def drop_conflicts(df: DataFrame) -> DataFrame:
 
 
 def split_leakage(df: DataFrame, split: str = "split") -> DataFrame:
-    """How many texts, and rows of them, appear in more than one split."""
-    per_text = df.groupBy(F.sha2("text", 256).alias(DIGEST)).agg(
-        F.count(F.lit(1)).alias(COPIES),
-        F.min(split).alias("_low"),
-        F.max(split).alias("_high"),
+    """How many texts, and rows of them, appear in more than one split.
+
+    The staged digest of a text is used where there is one, and splits are compared as numbers, so that the grouping
+    stays a hash aggregation over narrow rows.
+    """
+    text = F.col(STAGED_DIGEST) if STAGED_DIGEST in df.columns else F.sha2("text", 256)
+    name = F.xxhash64(split)
+    per_text = df.groupBy(text.alias(DIGEST)).agg(
+        F.count(F.lit(1)).alias(COPIES), F.min(name).alias("_low"), F.max(name).alias("_high")
     )
     leaked = per_text.where(F.col("_low") != F.col("_high"))
     return leaked.agg(
