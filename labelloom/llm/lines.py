@@ -144,19 +144,27 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     )
     rows = rows.where("n > 1").select("token", side.alias("a"), "oldest", "n", F.expr(f"explode_outer(if(n <= {FEW} + 1, others, null))").alias("b"))
     rows = rows.where((F.col("n") > FEW + 1) | (F.expr("a.l1 <> b.l1") & can_be_near("a", "b")))
-    rows = stage(rows.select("token", "a.*", "oldest", F.col("b.l1").alias("other")), "line-tokens")
-    shared = rows.where("other is null").drop("other").dropDuplicates(["token", "l1"])
+    other = [F.col("b.l1").alias("other"), F.col("b.d").alias("other_d")]
+    rows = stage(rows.select("token", "a.*", "oldest", *other), "line-tokens")
+    shared = rows.where("other is null").drop("other", "other_d").dropDuplicates(["token", "l1"])
     met = shared.select("token", side.alias("a")).join(shared.where("oldest").select("token", side.alias("b")), "token")
     met = met.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
     met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
-    met = met.unionByName(rows.where("other is not null").select(F.col("l1").alias("x"), F.col("other").alias("y")))
+    # of the pairs settled in place, each line is compared with the oldest first; lines of one text go both ways
+    pairs = rows.where("other is not null").select("l1", "d", "other", "other_d")
+    turned = pairs.select(F.col("other").alias("l1"), F.col("other_d").alias("d"), F.col("l1").alias("other"), F.col("d").alias("other_d"))
+    pairs = stage(pairs.unionByName(turned).where("d >= other_d").distinct(), "line-pairs")
+    oldest = pairs.groupBy("l1").agg(F.min(F.struct("other_d", "other")).alias("o"))
+    met = met.unionByName(oldest.select(F.col("l1").alias("x"), F.col("o.other").alias("y")))
     tried, beaten = matches(met, docs, firsts, None)
     beaten = stage(beaten.distinct(), "beaten")
 
     left = shared.join(small(beaten), "l1", "left_anti").select("token", side.alias("a"))
     met = left.join(shared.select("token", side.alias("b")), "token")
     met = met.where(F.expr("b.d <= a.d and a.l1 <> b.l1") & can_be_near("a", "b"))
-    _, more = matches(met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y")), docs, firsts, tried)
+    met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
+    rest = pairs.join(small(beaten), "l1", "left_anti").select(F.col("l1").alias("x"), F.col("other").alias("y"))
+    _, more = matches(met.unionByName(rest), docs, firsts, tried)
     return stage(beaten.unionByName(more).distinct(), "beaten")
 
 
