@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -176,6 +177,35 @@ def test_links_between_families(spark):
     same(got, [(i, *w) for (i, _), w in zip(rows, wanted)])
 
 
+def test_links_inside_a_group(spark, monkeypatch):
+    """Near texts with equal prefixes, in one partition and without a shingle of other groups. Ranks are flat, as on large data."""
+    monkeypatch.setattr(jaccard, "bucket_counts", lambda rows: np.zeros(jaccard.BUCKETS, np.int64))
+    rng = random.Random(11)
+
+    def prefix(text):
+        found = jaccard.shingles(text.encode())
+        return len(found), tuple(found[: jaccard.prefix_length(len(found))])
+
+    def family(*places):
+        """A text and others, each with one word more changed, all with the same prefix."""
+        while True:
+            texts = [[f"u{rng.randrange(10**9)}" for _ in range(64)]]
+            for at in places:
+                texts.append([*texts[-1][:at], f"v{rng.randrange(10**9)}", *texts[-1][at + 1 :]])
+            texts = [" ".join(t) for t in texts]
+            if len({prefix(t) for t in texts}) == 1:
+                return texts
+
+    others = [" ".join(f"o{rng.randrange(10**9)}" for _ in range(50)) for _ in range(100)]
+    rows = list(enumerate(family(63) + family(20, 40) + others))  # the ends of the second are not near
+    frame = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    got = jaccard.jaccard_components(frame).select("doc_id", "n_shingles", "component_id").collect()
+    wanted = brute.component_ids([{"doc_id": i, "text": t} for i, t in rows])
+    assert [w[1] for w in wanted[:5]] == [0, 0, 2, 2, 2]
+    same(got, [(i, *w) for (i, _), w in zip(rows, wanted)])
+    assert jaccard.one_of_each(frame).count() == 102
+
+
 def made_benchmark(docs):
     rng = random.Random(2)
     items = [(k, " ".join(f"q{rng.randrange(10**6)}" for _ in range(n))) for k, n in enumerate((8, 15, 21, 40, 59, 3))]
