@@ -3,7 +3,7 @@
 Where no rule fits an address, its host decides. Hosts most of whose pages rules allow are trusted seeds, hosts most of
 whose pages rules block are blocked seeds. Trust is a personalised PageRank from the trusted seeds along the links;
 distrust is one from the blocked seeds against the links, to the hosts that link to them. Scores are whole numbers
-(parts of SCALE), so they don't depend on the order of sums.
+(parts of SCALE), so they don't depend on the order of sums. Products are taken at full width before they are divided.
 """
 
 from __future__ import annotations
@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from labelloom.session import stage
 
 SCALE = 10**12
+#: Shares of totals up to this are rounded down to parts of it, each of which has one at least; shares of larger totals
+#: are exact.
 SHARES = 10**6
 DAMPING = 85
+#: Rounds at least, unless nothing moves any more.
 ITERATIONS = 12
 #: A host is blocked if its distrust is at least this, and more than so many times its trust.
 LEAST_DISTRUST, TIMES_TRUST = 1_000, 2
@@ -74,28 +77,39 @@ def host_links(pages: DataFrame) -> DataFrame:
 def propagated(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """(host, score): personalised PageRank. ``links`` (source, target, pages), ``seeds`` (host, weight).
 
-    Each round is two narrow shuffles over the host graph and is written to the shared folder. A host with very many
-    links is reduced before the shuffle, and its join side can be split.
+    Scores begin with what each round gives back to the seeds, so they only grow, and rounds go on until all that is
+    still to come is less than LEAST_DISTRUST. Each round is two narrow shuffles over the host graph and is written to
+    the shared folder. A host with very many links is reduced before the shuffle, and its join side can be split.
     """
     out = links.groupBy(F.col("source").alias("from")).agg(F.sum("pages").alias("out"))
     steps = links.join(out, links.source == out["from"]).select(
-        "source", "target", F.expr(f"pages * {SHARES} div out").alias("share")
+        "source",
+        "target",
+        F.expr(f"cast(if(out <= {SHARES}, pages * {SHARES} div out, pages) as decimal(18,0))").alias("part"),
+        F.expr(f"if(out <= {SHARES}, {SHARES}, out)").alias("whole"),
     )
     steps = stage(steps, "links")
     total = seeds.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     if not total:
         return seeds.select("host", F.lit(0).cast("long").alias("score"))
-    start = stage(seeds.select("host", F.expr(f"weight * {SCALE // 10**6} div {total} * {10**6}").alias("mass")), "seeds")
+    exact = f"cast(weight as decimal(18,0)) * cast({SCALE} as decimal(18,0)) div {total}"
+    mass = exact if total > SHARES else f"weight * {SHARES} div {total} * {SCALE // SHARES}"
+    start = stage(seeds.select("host", F.expr(mass).alias("mass")), "seeds")
     back = start.select("host", F.expr(f"mass * {100 - DAMPING} div 100").alias("score"))
-    scores = start.select("host", F.col("mass").alias("score"))
     if steps.isEmpty():
         return back
-    for _ in range(ITERATIONS):
+    scores, held, rounds = back, back.agg(F.sum("score")).first()[0], 0
+    while True:
         moved = steps.join(scores, steps.source == scores.host).select(
-            F.col("target").alias("host"), F.expr(f"score * share div {SHARES} * {DAMPING} div 100").alias("score")
+            F.col("target").alias("host"),
+            F.expr(f"cast(score as decimal(18,0)) * part div whole * {DAMPING} div 100").alias("score"),
         )
         scores = stage(back.unionByName(moved).groupBy("host").agg(F.sum("score").alias("score")), "scores")
-    return scores
+        now = scores.agg(F.sum("score")).first()[0]
+        grown, held, rounds = now - held, now, rounds + 1
+        to_come = grown * DAMPING // (100 - DAMPING)
+        if not grown or rounds >= ITERATIONS and to_come < LEAST_DISTRUST:
+            return scores
 
 
 def judged(pages: DataFrame, rules: DataFrame) -> DataFrame:

@@ -160,6 +160,28 @@ def test_propagation(spark):
     assert blocked == {"bad.net", "farm.org", "far.org"}
 
 
+def test_small_hosts_in_a_large_graph(spark):
+    """Seeds of over a million pages in all, a host with over a million page-links, and a ring that settles slowly."""
+    n = 3_000_000
+    links = [("small.org", "hub.org", 1), ("hub.org", "rare.org", 1), ("hub.org", "big.org", n)]
+    links += [(f"r{k}", f"r{(k + 1) % 30}", 1) for k in range(30)]
+    seeds = {"small.org": 1, "hub.org": n, "r0": n}
+    frames = (
+        spark.createDataFrame(links, "source string, target string, pages long"),
+        spark.createDataFrame(list(seeds.items()), "host string, weight long"),
+    )
+    got = {r.host: r.score for r in linkgraph.propagated(*frames).collect()}
+    total = sum(seeds.values())
+    share = {h: linkgraph.SCALE * w / total for h, w in seeds.items()}
+    small = share["small.org"] * 0.15
+    hub = share["hub.org"] * 0.15 + small * 0.85
+    wanted = {"small.org": small, "hub.org": hub, "rare.org": hub * 0.85 / (n + 1), "big.org": hub * 0.85 * n / (n + 1)}
+    wanted |= {f"r{k}": share["r0"] * 0.15 * 0.85**k / (1 - 0.85**30) for k in range(30)}
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[h] - v) < linkgraph.LEAST_DISTRUST for h, v in wanted.items())
+    assert abs(got["small.org"] - small) < 2 and abs(got["rare.org"] - wanted["rare.org"]) < 2
+
+
 def test_digest_is_sha1_in_base32():
     import base64
 
