@@ -146,7 +146,10 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     rows = rows.where((F.col("n") > FEW + 1) | (F.expr("a.l1 <> b.l1") & can_be_near("a", "b")))
     other = [F.col("b.l1").alias("other"), F.col("b.d").alias("other_d")]
     rows = stage(rows.select("token", "a.*", "oldest", *other), "line-tokens")
-    shared = rows.where("other is null").drop("other", "other_d").dropDuplicates(["token", "l1"])
+    # of the copies of a line, the first counts: it may be earlier than a line that all others are later than
+    shared = rows.where("other is null").groupBy("token", "l1").agg(
+        F.min("d").alias("d"), *[F.first(c).alias(c) for c in ("size", "place", "bits")], F.max("oldest").alias("oldest")
+    )
     met = shared.select("token", side.alias("a")).join(shared.where("oldest").select("token", side.alias("b")), "token")
     met = met.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
     met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))

@@ -110,6 +110,24 @@ def test_line_similarity_at_the_limit(spark):
     assert {r.doc_id: r.text for r in got.collect()} == {1: "a b c\n" + ten, 2: "a b c", 3: "a b c d e f"}
 
 
+def test_lines_near_a_removed_line_with_copies(spark):
+    """Line a is near b only, whose first place is before a and whose copies are behind it; b is near c. All their rare words
+    are in many lines."""
+    rng = random.Random(3)
+    rare, usual = [f"t{k}" for k in range(5)], [f"y{k}" for k in range(200)]
+    z = [f"z{k}" for k in range(15)]
+    c, b, a = z[:11], z[:9] + z[11:13], z[:7] + z[11:15]
+    own = [(1, c), (5, b), (50, a), *[(100 + k, b) for k in range(6)]]
+    own += [(200 + k, rng.sample(usual, 11)) for k in range(60)]
+    docs = [{"doc_id": i, "text": " ".join(rare + ws)} for i, ws in own]
+    docs += [{"doc_id": 1000 + k, "text": "\n".join(usual + z)} for k in range(150)]
+    rows = [(d["doc_id"], d["text"]) for d in reversed(docs)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame).select("row.*").collect()}
+    assert got == {d["doc_id"]: t for d, t in zip(docs, brute.deduped_lines(docs))}
+    assert got[1] and not got[5] and not got[50]
+
+
 @pytest.mark.parametrize("operator, size", [(repeats.seed_and_extend, 35), (suffixes.suffix_array, 50)])
 def test_repeats(frame, empty, docs, operator, size):
     got = operator(frame).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
