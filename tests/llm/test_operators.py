@@ -128,6 +128,15 @@ def test_lines_near_a_removed_line_with_copies(spark):
     assert got[1] and not got[5] and not got[50]
 
 
+def test_short_lines_on_request(spark):
+    texts = ["menu\n\nread more\na b c d", "more read\nmenu\nread\n \na b c", None, "a b c e\n\nd c b a\nmenu\nmenu"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame, min_tokens=1).select("row.*").collect()}
+    # three of four words are near enough, two of three not
+    assert got == {0: texts[0], 1: "read\n ", 2: None, 3: ""}
+    assert {r.doc_id: r.text for r in lines.kept_texts(frame).collect()} == dict(enumerate(texts))
+
+
 @pytest.mark.parametrize("operator, size", [(repeats.seed_and_extend, 35), (suffixes.suffix_array, 50)])
 def test_repeats(frame, empty, docs, operator, size):
     got = operator(frame).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
