@@ -8,14 +8,16 @@ verified by the exact edit distance.
 
 Before that, a window is left out if it can't be near: k edits of an item of n words touch 2 * k of its n - 1 pairs of
 neighbours at most, so a near window has n - 1 - 2 * k pairs of items of that size. Pairs of equal words are not counted
-on either side, as a stuttering text has any number of them.
+on either side, as a stuttering text has any number of them. Where no pair is left to ask for, a window needs n - k words
+of items of that size instead. Sizes for which the repetitions don't reach the target recall do without keys: all windows
+that are left are verified.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +32,6 @@ from labelloom.session import stage
 
 #: Edits allowed per word of an item.
 EDITS = 0.2
-#: Items with fewer words are too short to be told from chance and are not looked for.
-MIN_ITEM_WORDS = 8
 #: Items that one pass over the documents looks for.
 BLOCK_ITEMS = 5_000
 #: Places of an embedding that make a key; share of near windows that some key must find; bound of the repetitions.
@@ -103,15 +103,18 @@ def edited(codes: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
     return np.array(words, np.uint64)
 
 
-def repeats_needed(size: int, items: np.ndarray) -> int:
-    """Twice the repetitions with which RECALL of TRIALS items of a size, edited up to the limit, share a key."""
+def repeats_needed(size: int, items: np.ndarray) -> int | None:
+    """Twice the repetitions with which RECALL of TRIALS items of a size, edited up to the limit, share a key; None if
+    MOST_REPEATS are not enough."""
     rng, most = np.random.default_rng((SEED, size, 1)), edits_allowed(size)
     pairs = [(c, edited(c, most, rng)) for c in (items[k % len(items)] for k in range(TRIALS))]
     pairs = [(a, b) for a, b in pairs if distance(a.tolist(), b.tolist(), most) is not None]
+    if not pairs:
+        return None
     walks = Walks(size, MOST_REPEATS)
     same = walks.keys(np.array([a for a, _ in pairs])) == walks.keys(np.array([b for _, b in pairs]))
     enough = np.flatnonzero(np.maximum.accumulate(same, axis=1).mean(axis=0) >= RECALL)
-    return 2 * (int(enough[0]) + 1 if len(enough) else MOST_REPEATS)
+    return 2 * (int(enough[0]) + 1) if len(enough) else None
 
 
 def distance(a: list, b: list, most: int) -> int | None:
@@ -138,31 +141,50 @@ def distance(a: list, b: list, most: int) -> int | None:
 class SizeClass:
     size: int
     items: list[tuple[int, list[int]]]
-    walks: Walks
-    keys: np.ndarray
-    owners: np.ndarray
+    walks: Walks | None  # None: all windows are verified
+    keys: np.ndarray | None
+    owners: np.ndarray | None
     doubled: int  # pairs of equal words in an item at most; they are not counted
+    bags: list[Counter]
+    numbers: np.ndarray  # of the words of the items
 
     @classmethod
-    def of(cls, size: int, items: list[tuple[int, list[int]]]) -> SizeClass:
+    def of(cls, size: int, items: list[tuple[int, list[int]]], numbers: np.ndarray) -> SizeClass:
         codes = np.array([c for _, c in items], np.uint64)
-        walks = Walks(size, repeats_needed(size, codes))
-        keys = walks.keys(codes)
-        flat = keys.ravel()
-        order = np.argsort(flat, kind="stable")
         doubled = int((codes[:, 1:] == codes[:, :-1]).sum(axis=1).max())
+        repeats = repeats_needed(size, codes)
+        if repeats is None:
+            return cls(size, items, None, None, None, doubled, [Counter(c) for _, c in items], numbers)
+        walks = Walks(size, repeats)
+        flat = walks.keys(codes).ravel()
+        order = np.argsort(flat, kind="stable")
         owners = np.repeat(np.arange(len(items)), walks.repeats)[order]
-        return cls(size, items, walks, flat[order], owners, doubled)
+        return cls(size, items, walks, flat[order], owners, doubled, [], numbers)
+
+    def pairs_needed(self) -> int:
+        """Pairs of neighbours that a near window has at least; with none, words are asked for instead."""
+        return self.size - 1 - self.doubled - 2 * edits_allowed(self.size)
+
+    def sharing_words(self, windows: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int]]:
+        """(window, place of item) of all that have enough words in common to be near."""
+        least, found = self.size - edits_allowed(self.size), []
+        for row, (window, length) in enumerate(zip(windows.tolist(), lengths.tolist(), strict=True)):
+            bag = Counter(window[:length])
+            found.extend((row, k) for k, other in enumerate(self.bags) if (bag & other).total() >= least)
+        return found
 
     def matches(self, windows: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, distance) of the windows near an item."""
         most = edits_allowed(self.size)
         for start in range(0, len(windows), 512):
-            keys = self.walks.keys(windows[start : start + 512])
-            low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-            pairs = set()
-            for row, col in zip(*np.nonzero(high > low), strict=True):
-                pairs.update((int(row), int(o)) for o in self.owners[low[row, col] : high[row, col]])
+            if self.walks is None:
+                pairs = self.sharing_words(windows[start : start + 512], lengths[start : start + 512])
+            else:
+                keys = self.walks.keys(windows[start : start + 512])
+                low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+                pairs = set()
+                for row, col in zip(*np.nonzero(high > low), strict=True):
+                    pairs.update((int(row), int(o)) for o in self.owners[low[row, col] : high[row, col]])
             for row, owner in sorted(pairs):
                 item, codes = self.items[owner]
                 window = windows[start + row, : lengths[start + row]].tolist()
@@ -177,7 +199,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]]):
         by_size = defaultdict(list)
         for item_id, text in items:
-            if len(words := words_of(text)) >= MIN_ITEM_WORDS:
+            if words := words_of(text):
                 by_size[len(words)].append((item_id, words))
         self.numbers: dict[str, int] = {}
         for _, words in (i for items in by_size.values() for i in items):
@@ -188,7 +210,8 @@ class Matcher:
         for start in range(0, len(sizes), 64):
             classes, masks = [], defaultdict(int)
             for bit, size in enumerate(sizes[start : start + 64]):
-                classes.append(SizeClass.of(size, [(i, [code_of(w) for w in ws]) for i, ws in by_size[size]]))
+                own = np.array(sorted({self.numbers[w] for _, ws in by_size[size] for w in ws}), np.int64)
+                classes.append(SizeClass.of(size, [(i, [code_of(w) for w in ws]) for i, ws in by_size[size]], own))
                 for _, ws in by_size[size]:
                     for a, b in zip(ws, ws[1:], strict=False):
                         if a != b:
@@ -210,20 +233,29 @@ class Matcher:
         known = known[~np.isin(known, ends - 1)]
         pairs_here = self.pair(number[known], number[known + 1])
         for classes, pairs, masks in self.rounds:
-            slot = np.minimum(np.searchsorted(pairs, pairs_here), len(pairs) - 1)
-            hit = pairs[slot] == pairs_here
-            at, mask = known[hit], masks[slot[hit]]
+            at, mask = known[:0], masks[:0]
+            if len(pairs):
+                slot = np.minimum(np.searchsorted(pairs, pairs_here), len(pairs) - 1)
+                hit = pairs[slot] == pairs_here
+                at, mask = known[hit], masks[slot[hit]]
             for bit, kind in enumerate(classes):
-                yield from self.near(kind, at[(mask >> np.uint64(bit)) & np.uint64(1) == 1], flat, starts, ends)
-
-    def near(self, kind: SizeClass, at: np.ndarray, flat: list[str], starts: np.ndarray, ends: np.ndarray):
-        """Of the windows with enough of the pairs at the places ``at``, those near an item."""
-        need = max(1, kind.size - 1 - kind.doubled - 2 * edits_allowed(kind.size))
+                if (need := kind.pairs_needed()) > 0:
+                    own = at[(mask >> np.uint64(bit)) & np.uint64(1) == 1]
+                    yield from self.near(kind, own, 2, need, flat, starts, ends)
+                else:
+                    own, need = np.flatnonzero(np.isin(number, kind.numbers)), kind.size - edits_allowed(kind.size)
+                    yield from self.near(kind, own, 1, need, flat, starts, ends)
+
+    def near(
+        self, kind: SizeClass, at: np.ndarray, wide: int, need: int, flat: list[str], starts: np.ndarray, ends: np.ndarray
+    ):
+        """Of the windows with ``need`` or more of the pairs or words (``wide`` 2 or 1) at the places ``at``, those near
+        an item."""
         if len(at) < need:
             return
         left, right = at[: len(at) - need + 1], at[need - 1 :]
-        dense = right - left <= kind.size - 2
-        firsts = [np.arange(r - kind.size + 2, p + 1) for p, r in zip(left[dense], right[dense], strict=True)]
+        dense = right - left <= kind.size - wide
+        firsts = [np.arange(r - kind.size + wide, p + 1) for p, r in zip(left[dense], right[dense], strict=True)]
         if not firsts:
             return
         text = np.repeat(np.searchsorted(ends, left[dense], "right"), [len(f) for f in firsts])
@@ -280,8 +312,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document has an item of n words if the edit distance, in words, between the item and some window of n of its
     words (or all of its words, if it has fewer) is n * EDITS or less. Words are lower-cased runs of letters, digits and
-    underscores. Found with a recall of RECALL at the limit, and surely if equal. Items of under MIN_ITEM_WORDS words,
-    null ones among them, are not looked for. Null and empty texts have nothing; equal rows are one document, rows with
+    underscores. Found with a recall of RECALL at the limit, and surely if equal or where all windows are verified.
+    Items of under five words have to be equal; null ones and others without words are not looked for. Null and empty texts have nothing; equal rows are one document, rows with
     one doc_id and different texts are told apart by text_key. Items are taken in blocks, each in one pass over the
     documents, without a shuffle but that of the results. Empty tables give no rows. Other columns are not read.
     """

@@ -270,6 +270,34 @@ def test_leaks(spark, frame, empty, docs):
     assert leaks.without_leaks(frame, benchmark.limit(0)).count() == len(docs)
 
 
+def test_long_short_and_stuttering_items():
+    """All are found: long items at the limit of edits, items of under eight words, items of one word said again."""
+    rng = random.Random(6)
+    word = lambda: f"i{rng.randrange(10**9)}"
+    sizes = (400, 7, 5, 3, 1)
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate(sizes)] + [(5, "ho " * 9), (6, "!")]
+    texts, wanted = [], set()
+    for k in range(40):
+        ws = items[0][1].split()
+        for kind in range(80):
+            at = rng.randrange(len(ws))
+            ws[at : at + 1] = ([word()], [ws[at], word()], [])[kind % 3]
+        texts.append([word() for _ in range(5)] + ws + [word() for _ in range(5)])
+        wanted.add((k, 0))
+    for item, text in items[1:6]:
+        ws = text.split()
+        if item in (1, 2):
+            ws[3] = "other"
+        wanted.add((len(texts), item))
+        texts.append(["x", *ws, "y"])
+        wanted.add((len(texts), item))
+        texts.append(ws)
+        near = [*ws[:-1], "z"] if item == 3 else []
+        texts.append(near)
+    got = {(t, item): edits for t, item, _, _, edits in leaks.Matcher(items).find(texts)}
+    assert got.keys() == wanted
+
+
 def test_pipeline(spark, docs, tmp_path):
     items = made_benchmark(docs)
     own = [*docs, *[{**d, "lang": "en", "source": "s"} for d in planted(docs, items, random.Random(4))]]
