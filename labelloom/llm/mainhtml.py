@@ -2,7 +2,7 @@
 
 Each page scores its containers. Per host, the generalised tag-class path of each page's best container is a vote;
 the path with most votes wins, and all pages of the host are read again along it. A page without that path uses its
-own best container.
+own best container. On each page that is widened to what stands around it, unless that is boilerplate.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ TOKEN = re.compile(
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video select textarea".split())
+#: End of the attributes of a self-closed element; behind a value without quotes the slash is part of the value.
+SELF_CLOSED = re.compile(r"""(?<!\S)/$|["']/$|^/$|(?<!\S)[^\s=/]+/$""")
 #: Elements that are never part of the main text.
 OUTSIDE = RAW | frozenset("head nav header footer aside form button dialog menu".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,6 +84,7 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[str] = []
+        self.holders: list[tuple[Container | None, int]] = []  # of each block: innermost container, linked characters
         self.containers: list[Container] = []
         self.parts: list[str] = []
         self.linked = self.links = 0
@@ -120,6 +123,8 @@ class Page:
             names = " ".join(x for m in NAMED.findall(attributes) for x in m[1:] if x) if attributes else ""
             outside = tag in OUTSIDE or (bool(names) and tag not in ("html", "body") and noisy(names))
             if tag in RAW:
+                if tag in ("svg", "math") and SELF_CLOSED.search(attributes):
+                    continue
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, place)
                 place = close.end() if close else end
                 continue
@@ -156,6 +161,7 @@ class Page:
             self.parts = []
             if block:
                 self.blocks.append(block)
+                self.holders.append((self.open[-1] if self.open else None, self.linked))
                 for container in self.open:
                     container.text += len(block)
                     container.linked += self.linked
@@ -183,12 +189,31 @@ class Page:
         return max(self.containers, key=score)
 
     def along(self, path: str) -> list[str] | None:
-        """Blocks of all containers at ``path``, in page order; None if there is no such container."""
+        """Blocks of all containers at ``path`` and of what they are widened to, in page order; None if there is no such
+        container."""
         found = [c for c in self.containers if c.path == path]
         if not found:
             return None
-        numbers = sorted({k for c in found for k in range(c.first, c.last)})
-        return [self.blocks[k] for k in numbers]
+        numbers = {k for c in found for k in range(c.first, c.last)}
+        return [self.blocks[k] for k in sorted(self.widened(numbers))]
+
+    def widened(self, numbers: set[int]) -> set[int]:
+        """``numbers`` of blocks and all others of the outermost container around them that adds no boilerplate.
+
+        What it adds is boilerplate if links are more than half of it, or if it stands beside them in a container of
+        its own directly in the body, as page columns do.
+        """
+        if not numbers:
+            return numbers
+        low, high = min(numbers), max(numbers)
+        around = [c for c in self.containers if c.first <= low and high < c.last]
+        for c in sorted(around, key=lambda c: c.depth):
+            more = [k for k in range(c.first, c.last) if k not in numbers]
+            text, linked = sum(len(self.blocks[k]) for k in more), sum(self.holders[k][1] for k in more)
+            whole = c.path.rpartition("/")[2].partition(".")[0] != "body"
+            if 2 * linked <= text and (whole or all(self.holders[k][0] in around for k in more)):
+                return numbers.union(more)
+        return numbers
 
 
 def generalised(names: str) -> str:
@@ -232,7 +257,8 @@ def consensus(pages: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) of each row of ``pages`` (page_id, url, html): the blocks of the main text, one a line.
+    """(page_id, url, text) of each row of ``pages`` (page_id, url, html): the blocks of the main text, one a line,
+    with title, lead and sections around the winning container (see Page.widened).
 
     Left out everywhere: RAW and OUTSIDE elements and those whose class, id or role names have a NOISE word. Character
     references are decoded, white space inside a block becomes one space, line breaks inside a block are white space.

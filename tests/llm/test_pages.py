@@ -55,6 +55,29 @@ def test_hosts_agree_on_a_path(spark):
     assert {r.page_id: r.text for r in mainhtml.main_text(pages(spark, rows)).collect()}[9] == "the text"
 
 
+def test_title_lead_and_sections_stay(spark):
+    long = "words of the story that go on " * 20
+    body = f"<div class=body><p>{long}</p></div>"
+    links = "<div class=more><p><a href=/a>Another story</a></p><p><a href=/b>And another one</a></p></div>"
+    layouts = {
+        "post": (f"<div class=post><h1>Title</h1><p>Lead</p>{body}</div>", f"Title\nLead\n{long}"),
+        "wrapped": (f"<div class=post><div class=top><h1>Title</h1></div>{body}</div>{links}", f"Title\n{long}"),
+        "main": (
+            f"<main><p>Intro</p><article><p>{long}</p></article><section><p>{long}1</p></section></main>",
+            f"Intro\n{long}\n{long}1",
+        ),
+        "links": (f"<div class=page>{body}{links}</div>", long),
+        "columns": (f"<p>Direct</p>{body}<div class=extra>Column</div>", long),
+        "svg": (f"<div class=post><svg width='1'/><math/><svg a=b /><h1>Title</h1>{body}</div>", f"Title\n{long}"),
+        "value": ("<div><p>Before<svg a=b/>drawn</svg> after</p></div>", "Before after"),
+    }
+    rows = [(k, f"http://{n}/", f"<html><body>{h}</body></html>") for k, (n, (h, _)) in enumerate(layouts.items())]
+    got = {r.url.split("/")[2]: r.text for r in mainhtml.main_text(pages(spark, rows)).collect()}
+    tidy = lambda t: "\n".join(" ".join(x.split()) for x in t.split("\n"))
+    for name, (_, text) in layouts.items():
+        assert got[name] == tidy(text), name
+
+
 def test_archives(spark, tmp_path):
     rng = random.Random(1)
     same = "<p>same</p>"
