@@ -77,6 +77,27 @@ def test_quality(frame, empty, docs):
     assert quality.judged(empty).count() == quality.kept_documents(empty).count() == 0
 
 
+def test_each_line_measure_fires(spark):
+    rng = random.Random(8)
+    line = lambda n, size=4: " ".join(f"{rng.randrange(10**9):09d}"[:size] + "x" for _ in range(n))
+    texts = ["\n".join(line(9) for _ in range(8)) for _ in range(50)]
+    passage = line(12)
+    planted = {
+        "dup_lines_of_lines": "\n".join(f"{line(9)}\nread more" for _ in range(8)),
+        "repeat_share": "\n".join([line(40), passage, line(37), passage]),
+        "stutter_share": line(30) + " so" * 7 + line(9) + " no" * 7 + line(9) + " do" * 7,
+        "symbol_share": " ".join(f"{w} #" for w in line(60).split()),
+        "word_length": line(60, 9).replace(" ", "yyyyyy "),
+    }
+    rows = [(k, t, "en", "s") for k, t in enumerate([*texts, *planted.values()])]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judged(frame, quality.LINE_MEASURES).collect()}
+    assert all(got[k].kept for k in range(50))
+    for k, name in enumerate(planted, 50):
+        assert name in got[k].failed and not got[k].base_failed, (name, got[k])
+    assert quality.kept_documents(frame, quality.LINE_MEASURES).count() == 50
+
+
 def test_sketches_merge(spark):
     values = [random.Random(3).randrange(100_000) for _ in range(3000)]
     rows = spark.createDataFrame([(v, v % 3) for v in values], "v long, g int")
