@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import jaccard, leaks, lines, linkgraph, mainhtml, quality, repeats, sentencepieces, sql, suffixes, warc
+from labelloom.llm import (
+    dialogues,
+    jaccard,
+    leaks,
+    lines,
+    linkgraph,
+    mainhtml,
+    personal,
+    quality,
+    repeats,
+    sentencepieces,
+    spellings,
+    sql,
+    suffixes,
+    warc,
+)
 from labelloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -97,3 +112,19 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql.url_filter_sql())
 def op9_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judged(table(spark, sf_dir, "pages"), linkgraph.rule_table(spark, RULES))
+
+
+@query(sql.SPELLINGS)
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spellings.spelling_groups(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query(sql.TRIE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogues.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.reported(personal.find_personal(table(spark, sf_dir, "documents")))

@@ -191,3 +191,123 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS text_sha256
 FROM judged GROUP BY doc_id"""
+
+
+#: CRC-32 of a list of bytes, from the table that its polynomial gives.
+CRC_TABLE = """
+crc_table AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS crcs
+    FROM range(256) AS r (i)
+)"""
+
+
+def crc32(text: str) -> str:
+    """The CRC-32 of an SQL text's UTF-8 bytes; ``crcs`` of CRC_TABLE has to be in scope."""
+    code = f"hex(encode({text}))"
+    read = f"list_transform(range(0, length({code}), 2), lambda k: concat('0x', substr({code}, k + 1, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {read}), {step}), 4294967295)"
+
+
+#: Pairs of near words by the patterns and words that leaving out one letter gives.
+SPELLINGS = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[a-z\\x{{00C0}}-\\x{{00FF}}]{{7,}}')) AS run
+    FROM documents
+),
+hashed AS (
+    SELECT run, times, {crc32("id || ':' || run")} AS h
+    FROM (SELECT id, run, count(*) AS times FROM runs GROUP BY ALL), crc_table
+),
+results AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, times
+    FROM hashed
+),
+words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+),
+cut AS (
+    SELECT word, n, k, substr(word, 1, k) AS head, substr(word, k + 2) AS tail
+    FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)
+),
+replaced AS (
+    SELECT a.word, b.word AS near, b.n AS near_n
+    FROM cut AS a JOIN cut AS b ON a.k = b.k AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+),
+deleted AS (
+    SELECT DISTINCT cut.word AS longer, cut.n AS longer_n, words.word AS shorter, words.n AS shorter_n
+    FROM cut JOIN words ON words.word = head || tail
+),
+near AS (
+    SELECT * FROM replaced
+    UNION ALL SELECT longer, shorter, shorter_n FROM deleted
+    UNION ALL SELECT shorter, longer, longer_n FROM deleted
+),
+judged AS (
+    SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS best, max(near_n) AS best_n FROM near GROUP BY word
+),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+    FROM words LEFT JOIN judged USING (word)
+),
+chain AS (
+    SELECT word, word AS at FROM words
+    UNION ALL
+    SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL
+)
+SELECT forms.word, forms.form, chain.at AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN chain ON chain.word = forms.word JOIN forms AS ends ON ends.word = chain.at AND ends.form IS NULL
+"""
+
+#: Each node by the digests of its turns; totals by pairs of a node and each of its ancestors.
+TRIE = f"""
+WITH {CRC_TABLE},
+turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS j
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT c, c - c % 20 AS base, {crc32("c::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT c FROM turns), crc_table
+),
+parts AS (
+    SELECT convs.c, 0 AS part, j, role, text FROM convs JOIN turns ON turns.c = base AND j <= h
+    UNION ALL
+    SELECT c, 1, j, role, text FROM convs JOIN turns USING (c) WHERE j > h
+),
+rebuilt AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, j) AS d, md5(role) || md5(text) AS said,
+           len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+    FROM parts
+    UNION ALL
+    SELECT c, 0, '', 0 FROM convs
+),
+paths AS (
+    SELECT c, d, words, md5(string_agg(said, '') OVER (PARTITION BY c ORDER BY d)) AS node FROM rebuilt
+),
+nodes AS (SELECT d, node, min(c) AS c, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY d, node),
+placed AS (
+    SELECT nodes.*, above.c AS parent
+    FROM nodes LEFT JOIN paths ON paths.c = nodes.c AND paths.d = nodes.d - 1
+    LEFT JOIN nodes AS above ON above.node = paths.node AND above.d = paths.d
+),
+counted AS (
+    SELECT placed.*, coalesce(n_children, 0) AS n_children
+    FROM placed LEFT JOIN (SELECT parent AS c, d - 1 AS d, count(*) AS n_children FROM placed GROUP BY ALL) USING (c, d)
+),
+totals AS (
+    SELECT paths.node, paths.d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * counted.words)::BIGINT AS saved_tokens
+    FROM counted JOIN paths ON paths.c = counted.c AND paths.d <= counted.d
+    GROUP BY paths.node, paths.d
+),
+ends AS (
+    SELECT node, d, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+    FROM (SELECT c, max(d) AS d FROM paths GROUP BY c) JOIN paths USING (c, d) GROUP BY node, d
+)
+SELECT c AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted JOIN totals USING (node, d) LEFT JOIN ends USING (node, d)
+"""
