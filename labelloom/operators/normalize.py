@@ -54,25 +54,28 @@ def usable_rows(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return rows.where(not_blank(F.col("text")) | F.col("label").isNull())
 
 
-def normalize(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def normalize(df: DataFrame, order_by: Sequence[str] = (), *, digest: bool = False) -> DataFrame:
     """Project, drop blank texts, keep the first row of every (text, label).
 
     ``order_by`` defines "first"; remaining ties go to the smallest metadata values, so
     the result does not depend on partitioning. Rows with an unreadable label stay, with
-    a NULL label, until ``validate`` or ``quarantine`` has seen them.
+    a NULL label, until ``validate`` or ``quarantine`` has seen them. The result scans a staged table;
+    ``digest`` keeps the digest of the texts it was staged with.
     """
     extra = [c for c in order_by if c not in METADATA_COLUMNS]
-    return keep_first(usable_rows(df, order_by), ["text", "label"], order_by).drop(*extra)
+    return keep_first(usable_rows(df, order_by), ["text", "label"], order_by, digest=digest).drop(*extra)
 
 
-def normalize_splits(frames: Mapping[str, DataFrame], order_by: Sequence[str] = ()) -> DataFrame:
+def normalize_splits(
+    frames: Mapping[str, DataFrame], order_by: Sequence[str] = (), *, digest: bool = False
+) -> DataFrame:
     """``normalize`` within each of several splits, as one table with a ``split`` column."""
     extra = [c for c in order_by if c not in METADATA_COLUMNS]
     tagged = [
         usable_rows(df, order_by).withColumn("split", F.lit(split)) for split, df in frames.items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    return keep_first(rows, ["split", "text", "label"], order_by).drop(*extra)
+    return keep_first(rows, ["split", "text", "label"], order_by, digest=digest).drop(*extra)
 
 
 @dataclass(frozen=True)

@@ -40,7 +40,7 @@ from labelloom.operators.normalize import (
     tag_split,
     validate,
 )
-from labelloom.operators.ranking import DIGEST, with_digest
+from labelloom.operators.ranking import DIGEST
 from labelloom.operators.sampling import balanced_sample, balanced_targets, presplit_sample
 from labelloom.operators.splits import split_three_way, split_two_way
 from labelloom.session import path_exists, scratch, stage
@@ -139,7 +139,7 @@ def local_rows(
 ) -> tuple[DataFrame, dict[str, Any]]:
     """One local source: licence filter, normalise, provenance, cap."""
     filtered, enabled = filter_permitted(df, config.licenses)
-    rows = stage(with_digest(normalize(filtered, config.order_by)), "local")
+    rows = normalize(filtered, config.order_by, digest=True)
     facts = profile(rows)
     validate(facts, require_binary=False)
     named = default_provenance(rows, facts, {"source_dataset": source_name})
@@ -164,9 +164,9 @@ def local_rows(
 def dedupe_sources(frames: Sequence[DataFrame]) -> tuple[DataFrame, dict[str, int]]:
     """Drop conflicting texts, keep each other text from its first source; with counters."""
     combined = union_sources(frames)
-    grouped = stage(with_digest(group_texts(combined, [ORDINAL])), "grouped")
+    grouped = group_texts(combined, [ORDINAL])
     counters = dedup_counters(grouped).first().asDict()
-    return survivors(grouped, keep=[DIGEST]).drop(ORDINAL), counters
+    return survivors(grouped, digest=True).drop(ORDINAL), counters
 
 
 def build_multi_source(spark: SparkSession, config: BuildConfig) -> dict[str, Any]:
@@ -317,7 +317,7 @@ def prepare_two_way(
     """One source to train and val, with all of its normalised columns."""
     with scratch(spark):
         filtered, enabled = filter_permitted(df, licenses)
-        rows = stage(with_digest(normalize(filtered, order_by)), "prepared")
+        rows = normalize(filtered, order_by, digest=True)
         validate(profile(rows))
         assigned, by_split = split_two_way(rows, val_fraction, seed)
         write_split_table(assigned.drop(DIGEST), output)
@@ -376,8 +376,7 @@ def _publish(spark: SparkSession, config: PublishConfig) -> dict[str, Any]:
     quota = {0: config.human_rows, 1: generated_rows}
     streamed = collect_quota(spark, source, quota, config.seed, literals, label_first=True)
 
-    combined = drop_duplicate_texts(union_sources([streamed, local]), [ORDINAL]).drop(ORDINAL)
-    staged = stage(with_digest(combined), "publish")
+    staged = drop_duplicate_texts(union_sources([streamed, local]), [ORDINAL], digest=True).drop(ORDINAL)
     assigned, by_split = split_three_way(staged, 0.1, 0.1, config.seed)
     renamed = assigned.replace({"val": "validation"}, subset=["split"])
     write_corpus(renamed, config.output, "parquet")

@@ -127,14 +127,14 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 def unique_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """The de-duplicated corpus, staged with its digest as every build does."""
     rows = normalize(corpus(spark, sf), ["doc_id"])
-    return stage(ranking.with_digest(dedup.drop_duplicate_texts(rows)))
+    return dedup.drop_duplicate_texts(rows, digest=True)
 
 
 # --- normalisation ---------------------------------------------------------------------
 
 
 def normalize_corpus(spark, sf):
-    rows = stage(normalize(dirty(spark, sf), ["doc_id"]))
+    rows = normalize(dirty(spark, sf), ["doc_id"])
     validate(profile(rows))
     return rows
 
@@ -262,7 +262,7 @@ def balanced_sample_query(spark, sf):
 
 
 def balanced_sample_backfill(spark, sf):
-    rows = stage(ranking.with_digest(normalize(labelled(spark, sf), ["doc_id"])))
+    rows = normalize(labelled(spark, sf), ["doc_id"], digest=True)
     return balanced_sample(rows, rows.count() * 4 // 5, SEED).drop(ranking.DIGEST)
 
 
@@ -641,7 +641,7 @@ def publish_build(spark, sf):
 
 
 def _split_labelled(spark, sf) -> dict[str, DataFrame]:
-    rows = stage(ranking.with_digest(normalize(labelled(spark, sf))))
+    rows = normalize(labelled(spark, sf), digest=True)
     assigned, _ = split_three_way(rows, 0.2, 0.2, SEED)
     return {name: assigned.where(F.col("split") == name) for name in builds.SPLITS}
 

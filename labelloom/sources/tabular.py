@@ -219,7 +219,7 @@ def load_local_split(
 
 def _checked(frames: Mapping[str, DataFrame], order_by: Sequence[str]):
     """Staged once with the digest that sampling needs, then checked split by split."""
-    staged = stage(with_digest(normalize_splits(frames, order_by)), "normalized")
+    staged = normalize_splits(frames, order_by, digest=True)
     facts = profile_splits(staged)
     empty = Profile(0, 0, {0: 0, 1: 0}, {})
     for split in frames:

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from labelloom.operators.licenses import (
 from labelloom.operators.normalize import (
     default_provenance,
     normalize,
+    normalize_splits,
     profile,
     project_map_rows,
     quarantine,
@@ -167,6 +171,7 @@ def test_conflicts_go_with_all_their_copies(spark):
 def test_copies_of_frequent_texts_need_no_common_task(spark, monkeypatch):
     import labelloom.operators.dedup as dedup
 
+    monkeypatch.setattr(dedup, "BROADCAST_GROUPS", 0)
     monkeypatch.setattr(dedup, "HOT_COPIES", 1)
     monkeypatch.setattr(dedup, "HOT_TEXTS", 4)
     data = [("hot ok", 0)] * 30 + [("hot bad", i % 2) for i in range(30)] + [("x", 0), ("x", 1), ("y", 1)]
@@ -196,6 +201,74 @@ def test_keep_first_does_not_depend_on_partitioning(spark):
     assert one == many and len(one) == 40
 
 
+def plain_first(data, keys, order):
+    """data: dicts. The least row per key by ``order``, then by the other values, null first."""
+    names = [*order, *(c for c in data[0] if c not in (*keys, *order))]
+    least = {}
+    for row in data:
+        key = tuple(row[k] for k in keys)
+        rank = [(row[c] is not None, row[c] if row[c] is not None else 0) for c in names]
+        if key not in least or rank < least[key][0]:
+            least[key] = rank, row
+    return sorted((tuple(row.values()) for _, row in least.values()), key=repr)
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_first_rows_equal_a_plain_search_on_both_sides_of_the_bound(spark, monkeypatch, bound):
+    import labelloom.operators.dedup as dedup
+
+    monkeypatch.setattr(dedup, "BROADCAST_GROUPS", bound)
+    rng = random.Random(11)
+    data = [
+        {
+            "text": rng.choice([None, "", "a", "é", f"t{k % 50}", "hot", "hot", "hot"]),
+            "label": rng.choice([0, 1, None]),
+            "n": rng.choice([None, 1, 2, 3]),
+            "source": rng.choice([None, "x", "y", ""]),
+        }
+        for k in range(600)
+    ]
+    df = spark.createDataFrame([tuple(d.values()) for d in data], "text string, label int, n int, source string").repartition(5)
+    for order in ([], ["n"], ["source", "n"]):
+        got = sorted((tuple(r) for r in keep_first(df, ["text", "label"], order).collect()), key=repr)
+        assert got == plain_first(data, ["text", "label"], order)
+    labelled = [d for d in data if d["label"] is not None]
+    kinds = {}
+    for d in labelled:
+        kinds.setdefault(d["text"], set()).add(d["label"])
+    clean = [d for d in labelled if len(kinds[d["text"]]) == 1]
+    got = drop_duplicate_texts(df.where("label is not null"), ["n"])
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_first(clean, ["text"], ["n"])
+    kept = drop_conflicts(df.where("label is not null"))
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted((tuple(d.values()) for d in clean), key=repr)
+    assert keep_first(df.where("false"), ["text", "label"]).collect() == []
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_texts_are_neither_sorted_nor_an_exchange_key(spark, monkeypatch, bound):
+    """Of all plans that run for a normalisation, no aggregation sorts, and no exchange or sort has the text as a key."""
+    import labelloom.operators.dedup as dedup
+
+    monkeypatch.setattr(dedup, "BROADCAST_GROUPS", bound)
+    plans = []
+    staged = dedup.stage
+
+    def seen(df, name="stage", path=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name, path)
+
+    monkeypatch.setattr(dedup, "stage", seen)
+    df = spark.createDataFrame([("a", 0, "x"), ("a", 0, "y"), ("b", 1, "x"), ("b", 0, "x")], "text string, label int, source string")
+    for result in (normalize(df, ["source"]), normalize_splits({"train": df, "test": df}), drop_duplicate_texts(df), drop_conflicts(df)):
+        result.collect()
+        plans.append(result._jdf.queryExecution().executedPlan().toString())
+    lines = [line for plan in plans for line in plan.splitlines()]
+    assert any("HashAggregate" in line for line in lines)
+    assert not any("SortAggregate" in line for line in lines)
+    moved = [line for line in lines if re.search(r"Exchange hashpartitioning|Exchange rangepartitioning|Sort \[|Window", line)]
+    assert moved and not any(re.search(r"\btext#", line) for line in moved)
+
+
 def test_leakage_counts_texts_in_several_splits(spark):
     df = spark.createDataFrame(
         [("a", "train"), ("a", "test"), ("b", "train"), ("b", "train")], "text string, split string"
