@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 
@@ -125,8 +126,8 @@ def test_results_do_not_depend_on_cuts_or_partitions(spark, monkeypatch):
 def test_the_scores_are_read_once_for_cuts_and_totals(spark):
     df = metrics.running_confusion(spark.range(100).selectExpr("cast(id % 2 as int) label", "id / 100 score"))
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Range" not in plan and "score-counts" in plan  # the grouped table is staged
+    assert all("score-counts" in file for file in df.inputFiles()) and df.inputFiles()  # the grouped table is staged
+    assert "Range (" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_mid_ranks_and_curve(spark):
@@ -166,3 +167,40 @@ def test_percentiles_equal_sorting(spark, n):
         up = min(n - 1, int((n - 1) * q + 0.5))
         got = percentiles.nearest_rank_percentile(df, "v", q, rounding="half_up").first()[0]
         assert got == sorted(values)[up]
+
+
+def test_percentiles_of_any_spread_and_many_groups(spark, monkeypatch):
+    rng = random.Random(4)
+    spread = [rng.choice([-1, 1]) * 2.0 ** rng.uniform(-1074, 1023) for _ in range(300)]
+    special = [0.0, -0.0, 5e-324, -5e-324, math.inf, -math.inf, math.nan, 1.0, math.nextafter(1.0, 2.0), math.nextafter(1.0, 0.0)]
+    close = [1e9 + k * 2.0**-20 for k in rng.sample(range(10**6), 200)]
+    groups = {"spread": spread + special, "close": close, None: [3.0], "ties": [7.0] * 50 + [8.0]}
+    groups |= {f"g{k}": [rng.gauss(0, 10) for _ in range(rng.randrange(1, 9))] for k in range(200)}
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("ties", None), ("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    order = lambda v: (math.isnan(v), v)
+    for bound, divisions in ((1_000_000, 4096), (0, 7)):
+        monkeypatch.setattr(percentiles, "BROADCAST_SEARCHES", bound)
+        monkeypatch.setattr(percentiles, "DIVISIONS", divisions)
+        for q in (0.0, 0.37, 0.95, 1.0) if bound else (0.37,):
+            got = {r.g: r.percentile for r in percentiles.nearest_rank_percentile(df, "v", q, by=["g"]).collect()}
+            assert got.keys() == groups.keys()
+            for g, values in groups.items():
+                want = sorted(values, key=order)[round((len(values) - 1) * q)]
+                assert got[g] == want or math.isnan(got[g]) and math.isnan(want)
+
+
+def test_percentiles_neither_sort_nor_use_windows(spark, monkeypatch):
+    plans, staged = [], percentiles.stage
+
+    def seen(df, name="stage", path=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name, path)
+
+    monkeypatch.setattr(percentiles, "stage", seen)
+    df = spark.range(5000).selectExpr("id % 3 g", "cast(id * 0.37 as double) v")
+    result = percentiles.median(df, "v", by=["g"])
+    result.collect()
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 2 and not any("Sort" in p or "Window" in p for p in plans)
+    assert percentiles.median(df.where("false"), "v").first()[0] is None
