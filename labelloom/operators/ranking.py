@@ -3,24 +3,25 @@
 Taking "the first k rows of each label in a seeded random order" with a window would
 sort a whole label in one task. Here every row gets a uniform order key (an MD5), and
 the key value at rank k is found by counting: a histogram over leading hex digits
-locates the bucket that holds rank k, the next pass looks only into that bucket. What
-reaches the driver is a histogram of bounded size. With the cut values known, choosing
-the rows is a comparison per row: no shuffle, no join, no window.
+locates the bucket that holds rank k, the next pass looks only into that bucket. The histograms
+stay on the executors; a count per key and one row per search reach the driver. With the cut values
+known, choosing the rows is a comparison per row: no shuffle, no join, no window. Only where keys are many
+the cuts are a table that is sent to the rows.
 """
 
 from __future__ import annotations
 
-import os
-from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.functions.text import text_digest
-from labelloom.session import ROW_ID, stage_with_row_id
+from labelloom.operators.rank_search import BUCKET, HELD, HIGH, LIST, LOW, N, RANK, bucket_list, holding
+from labelloom.session import ROW_ID, drop, new_path, stage, stage_with_row_id
 
 DIGEST = "_digest"
 ORDER = "_order"
@@ -28,7 +29,10 @@ FIRST_DIGITS = 2  # every task emits all buckets of every key here, so few of th
 DIGITS = 3
 BUCKETS = 16**DIGITS
 WHOLE = 1_000  # longer than any order key
-MAX_KEYS = 256
+FEW_ROWS = 16 * BUCKETS
+#: So many cuts are predicates; more are a table.
+PREDICATES = 64
+SEARCH, INSIDE, CUT, PLACE, PLACE_CUT = "_search", "_inside", "_cut", "_place", "_place_cut"
 
 Key = tuple
 Targets = Callable[[dict[Key, int]], Mapping[Key, Sequence[int]]]
@@ -73,47 +77,26 @@ class Cut:
         return self.value is not None and self.take < self.ties
 
 
-@dataclass
-class _Search:
-    key: Key
-    rank: int
-    prefix: str
-    before: int  # rows of the key below the prefix
-    rows: int  # rows of the key with the prefix
+def _key_filter(keys: Sequence[str], key: Key) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(keys, key)), F.lit(True))
 
 
-def _key_filter(keys: Sequence[str], key: Key) -> Column:
-    return reduce(lambda a, b: a & b, (F.col(c) == F.lit(v) for c, v in zip(keys, key)), F.lit(True))
+def _same(left: str, right: str, names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in names), F.lit(True))
+
 
+def _table(df: DataFrame, keys: Sequence[str], rows: Sequence[tuple], more: str) -> DataFrame:
+    """Rows from the driver whose first fields are keys of ``df``."""
+    kinds = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    return df.sparkSession.createDataFrame(rows, T.StructType([*kinds, *T._parse_datatype_string(more).fields]))
 
-def _counts_by_prefix(
-    df: DataFrame, keys: Sequence[str], order: Column, length: int, bounds: bool
-) -> dict[Key, list[tuple[str, int, str, str]]]:
-    grouped = df.select(*keys, order.alias(ORDER)).groupBy(
-        *keys, F.substring(ORDER, 1, length).alias("_bucket")
+
+def _buckets(rows: DataFrame, keys: Sequence[str], length: int) -> DataFrame:
+    """Per key the list of its buckets: rows by the first ``length`` characters of their order value."""
+    counted = rows.groupBy(*keys, F.substring(ORDER, 1, length).alias(BUCKET)).agg(
+        F.count(F.lit(1)).alias(N), F.min(F.col(ORDER)).alias(LOW), F.max(F.col(ORDER)).alias(HIGH)
     )
-    measures = [F.count(F.lit(1)).alias("_n")]
-    if bounds:
-        measures += [F.min(ORDER).alias("_low"), F.max(ORDER).alias("_high")]
-    rows = grouped.agg(*measures).limit(MAX_KEYS * BUCKETS + 1).collect()
-    if len(rows) > MAX_KEYS * BUCKETS:
-        raise ValueError(f"ranking is for few keys (labels, splits), got more than {MAX_KEYS}")
-    table = defaultdict(list)
-    for r in rows:
-        key = tuple(r[c] for c in keys)
-        low, high = (r["_low"], r["_high"]) if bounds else (r["_bucket"], None)
-        table[key].append((r["_bucket"], r["_n"], low, high))
-    for buckets in table.values():
-        buckets.sort()
-    return table
-
-
-def _locate(buckets, rank: int, before: int):
-    for bucket in buckets:
-        if before + bucket[1] >= rank:
-            return bucket, before
-        before += bucket[1]
-    raise AssertionError("rank beyond the counted rows; the input changed between passes")
+    return counted.groupBy(*keys).agg(bucket_list())
 
 
 def find_cuts(
@@ -123,12 +106,40 @@ def find_cuts(
 
     ``targets`` is called with the counts, so quotas that depend on them cost no extra
     pass. Passes over ``df`` read only the keys and the order column: one to count, one
-    that looks into the buckets found, and a third only beyond some million rows per key.
+    that looks into the buckets found, and a third only beyond some million rows per key. The driver gets a count per key
+    and the bucket of each search; what is counted stays in staged tables.
     """
-    first = _counts_by_prefix(df, keys, order, FIRST_DIGITS, bounds=False)
-    counts = {key: sum(b[1] for b in buckets) for key, buckets in first.items()}
+    ordered = df.select(*keys, order.alias(ORDER))
+    prefix = F.substring(ORDER, 1, FIRST_DIGITS)
+    path = new_path(df.sparkSession, "order-counts")
+    try:
+        first = stage(ordered.groupBy(*keys, prefix.alias(BUCKET)).agg(F.count(F.lit(1)).alias(N)), path=path)
+        counts, cuts, searches, found = _first_level(df, keys, first, targets)
+    finally:
+        drop(df.sparkSession, path)
+    while found:
+        # Few rows left: tell them all apart at once rather than by another level.
+        length = len(found[0][BUCKET])
+        deeper = WHOLE if sum(r[N] for r in found) <= FEW_ROWS else length + DIGITS
+        open_ = [(*searches[r[SEARCH]][0], r[SEARCH], r[RANK], r[BUCKET]) for r in found]
+        asked = _table(df, keys, open_, f"{SEARCH} long, {RANK} long, {INSIDE} string")
+        here = ordered.withColumn(INSIDE, F.substring(ORDER, 1, length)).alias("r")
+        inside = here.join(F.broadcast(asked).alias("s"), _same("r", "s", [*keys, INSIDE])).select(SEARCH, RANK, ORDER)
+        held = _buckets(inside, [SEARCH, RANK], deeper).select(SEARCH, holding()).select(SEARCH, f"{HELD}.*")
+        found = []
+        for r in held.collect():
+            if r[LOW] == r[HIGH]:
+                cuts[searches[r[SEARCH]]] = Cut(r[LOW], r[RANK], r[N])
+            else:
+                found.append(r)
+    return counts, cuts
+
+
+def _first_level(df: DataFrame, keys: Sequence[str], first: DataFrame, targets: Targets):
+    """Counts, the cuts that need no search, the searches, and the first bucket of each."""
+    counts = {tuple(r[: len(keys)]): r[N] for r in first.groupBy(*keys).agg(F.sum(N).alias(N)).collect()}
     cuts: dict[tuple[Key, int], Cut] = {}
-    searches: list[_Search] = []
+    searches: list[tuple[Key, int]] = []
     for key, ranks in targets(counts).items():
         for rank in ranks:
             total = counts.get(key, 0)
@@ -137,49 +148,60 @@ def find_cuts(
             elif rank <= 0:
                 cuts[key, rank] = Cut(None, 0, 0)
             else:
-                bucket, before = _locate(first[key], rank, 0)
-                searches.append(_Search(key, rank, bucket[0], before, bucket[1]))
-
-    while searches:
-        # Few rows left: tell them all apart at once rather than by another level.
-        few = sum(s.rows for s in searches) <= 16 * BUCKETS
-        length = WHOLE if few else max(len(s.prefix) for s in searches) + DIGITS
-        prefixes = defaultdict(set)
-        for s in searches:
-            prefixes[len(s.prefix)].add(s.prefix)
-        # By prefix only: one evaluation of the key per row. Other keys' rows with the
-        # same prefix are few, and their buckets are not looked at.
-        wanted = reduce(
-            lambda a, b: a | b,
-            (F.substring(order, 1, n).isin(*found) for n, found in prefixes.items()),
-        )
-        level = _counts_by_prefix(df.where(wanted), keys, order, length, bounds=True)
-        unresolved = []
-        for s in searches:
-            inside = [b for b in level[s.key] if b[0].startswith(s.prefix)]
-            (_, n, low, high), before = _locate(inside, s.rank, s.before)
-            if low == high:
-                cuts[s.key, s.rank] = Cut(low, s.rank - before, n)
-            else:
-                common = os.path.commonprefix([low, high])
-                unresolved.append(_Search(s.key, s.rank, common, before, n))
-        searches = unresolved
-    return counts, cuts
+                searches.append((key, rank))
+    if not searches:
+        return counts, cuts, searches, []
+    asked = _table(df, keys, [(*key, i, rank) for i, (key, rank) in enumerate(searches)], f"{SEARCH} long, {RANK} long")
+    none = F.lit(None).cast("string")
+    lists = first.withColumns({LOW: none, HIGH: none}).groupBy(*keys).agg(bucket_list())
+    met = lists.alias("l").join(F.broadcast(asked).alias("s"), _same("l", "s", keys)).select(SEARCH, RANK, LIST)
+    return counts, cuts, searches, met.select(SEARCH, holding()).select(SEARCH, f"{HELD}.*").collect()
 
 
 @dataclass(frozen=True)
 class Ranked:
-    """A table together with exact "rank within key is at most r" predicates."""
+    """A table together with exact "rank within key is at most r" predicates.
+
+    ``cuts`` holds for each (key, rank) the order value of the last row within, and the last place among the rows of that
+    value, if the cut falls among them; (None, None) for all rows of the key, ("", None) for none.
+    """
 
     df: DataFrame
+    keys: tuple[str, ...]
     counts: dict[Key, int]
-    within: dict[tuple[Key, int], Column]
+    cuts: dict[tuple[Key, int], tuple[str | None, str | None]] = field(repr=False)
+
+    def within(self, key: Key, rank: int) -> Column:
+        """The predicate of one (key, rank)."""
+        value, place = self.cuts[key, rank]
+        if value is None:
+            inside = F.lit(True)
+        elif place is None:
+            inside = F.col(ORDER) <= value
+        else:
+            inside = (F.col(ORDER) < value) | ((F.col(ORDER) == value) & (_place(self.df) <= place))
+        return _key_filter(self.keys, key) & inside
 
     def take(self) -> DataFrame:
         """Rows within the (single) target of their key."""
-        if not self.within:
+        if not self.cuts:
             return self.df.where(F.lit(False))
-        return self.df.where(reduce(lambda a, b: a | b, self.within.values()))
+        if len(self.cuts) <= PREDICATES:
+            return self.df.where(reduce(lambda a, b: a | b, (self.within(*c) for c in self.cuts)))
+        rows = [(*key, value, place) for (key, _), (value, place) in self.cuts.items()]
+        cuts = F.broadcast(_table(self.df, self.keys, rows, f"{CUT} string, {PLACE_CUT} string")).alias("c")
+        tied = any(place is not None for _, place in self.cuts.values())
+        placed = self.df.withColumn(PLACE, _place(self.df) if tied else F.lit(""))
+        joined = placed.alias("r").join(cuts, _same("r", "c", self.keys))
+        up_to_place = F.col(PLACE_CUT).isNull() | (F.col(PLACE) <= F.col(PLACE_CUT))
+        inside = F.col(CUT).isNull() | (F.col(ORDER) < F.col(CUT)) | ((F.col(ORDER) == F.col(CUT)) & up_to_place)
+        return joined.where(inside).select("r.*").drop(PLACE)
+
+
+def _place(df: DataFrame) -> Column:
+    """A uniform order of rows that share an order value: by content, then by their place in the staged table."""
+    content = F.to_json(F.struct(*[c for c in df.columns if c not in (ROW_ID, ORDER)]))
+    return F.concat(F.md5(content), F.md5(F.col(ROW_ID)))
 
 
 def rank_rows(df: DataFrame, keys: Sequence[str], order: Column, targets: Targets) -> Ranked:
@@ -188,28 +210,22 @@ def rank_rows(df: DataFrame, keys: Sequence[str], order: Column, targets: Target
     ``order`` is a hex string per row; the returned table carries it as ``_order``, computed
     once however many predicates use it. Rows that share an order value are told apart only
     if a cut falls among them; then the table is staged, and a hash over all columns plus
-    the row's place in the staged table decides, by the same counting.
+    the row's place in the staged table decides, by the same counting, for all such cuts together.
     """
-    counts, cuts = find_cuts(df, keys, order, targets)
+    counts, found = find_cuts(df, keys, order, targets)
     df = df.withColumn(ORDER, order)
-    if any(cut.splits_ties for cut in cuts.values()) and ROW_ID not in df.columns:
-        df = stage_with_row_id(df)
-    order = F.col(ORDER)
-
-    within = {}
-    for (key, rank), cut in cuts.items():
-        of_key = _key_filter(keys, key)
-        if cut.value is None:
-            inside = F.lit(bool(cut.take))
-        elif not cut.splits_ties:
-            inside = order <= cut.value
-        else:
-            content = F.to_json(F.struct(*[c for c in df.columns if c not in (ROW_ID, ORDER)]))
-            place = F.concat(F.md5(content), F.md5(F.col(ROW_ID)))
-            tied = df.where(of_key & (order == cut.value))
-            _, inner = find_cuts(tied, keys, place, lambda _, k=key, t=cut.take: {k: [t]})
-            inside = (order < cut.value) | (
-                (order == cut.value) & (place <= inner[key, cut.take].value)
-            )
-        within[key, rank] = of_key & inside
-    return Ranked(df, counts, within)
+    cuts = {at: (cut.value if cut.value is not None else None if cut.take else "", None) for at, cut in found.items()}
+    tied = {at: cut for at, cut in found.items() if cut.splits_ties}
+    if tied:
+        if ROW_ID not in df.columns:
+            df = stage_with_row_id(df)
+        wanted: dict[Key, set[int]] = {}
+        for (key, _), cut in tied.items():
+            wanted.setdefault((*key, cut.value), set()).add(cut.take)
+        values = F.broadcast(_table(df, [*keys, ORDER], list(wanted), "")).alias("t")
+        rows = df.alias("r").join(values, _same("r", "t", [*keys, ORDER]), "left_semi")
+        places = rows.select(*keys, F.col(ORDER).alias(CUT), _place(df).alias(PLACE_CUT))
+        _, inner = find_cuts(places, [*keys, CUT], F.col(PLACE_CUT), lambda _: {k: sorted(r) for k, r in wanted.items()})
+        for at, cut in tied.items():
+            cuts[at] = (cut.value, inner[(*at[0], cut.value), cut.take].value)
+    return Ranked(df, tuple(keys), counts, cuts)

@@ -53,7 +53,7 @@ def _assign(
     for position in range(len(next(iter(plan.values()), []))):
         for label, stretches in sorted(plan.items()):
             name, end = stretches[position]
-            split = split.when(ranked.within[(label,), end], F.lit(name))
+            split = split.when(ranked.within((label,), end), F.lit(name))
     column = F.lit("train") if split is F else split.otherwise(F.lit("train"))
 
     by_split: dict[str, dict[int, int]] = {}

@@ -48,7 +48,7 @@ def test_ranks_equal_a_full_sort(spark):
     }
     for (label,), ranks in wanted.items():
         for rank in ranks:
-            got = ranked.df.where(ranked.within[(label,), rank]).select("text").collect()
+            got = ranked.df.where(ranked.within((label,), rank)).select("text").collect()
             assert {r.text for r in got} == set(ordered[label][:rank])
 
 
@@ -90,16 +90,36 @@ def test_sampling_and_splitting_orders_are_independent(spark):
     assert 50 < low_half < 150  # the sample's lowest keys would all be in the test split
 
 
-def test_many_keys_are_refused(spark):
-    df = spark.range(2000).select(F.col("id").alias("k"), F.lit("t").alias("text"))
-    with pytest.raises(ValueError, match="few keys"):
-        import labelloom.operators.ranking as ranking
+def test_ten_thousand_keys(spark):
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 10_000 == 0, None).otherwise(F.col("id") % 10_000).alias("k"), F.concat(F.lit("t"), F.col("id")).alias("text")
+    )
+    ranked = rank_rows(df, ["k"], order_key(df, 42, "sample"), lambda counts: {k: [2 + (k[0] or 0) % 7] for k in counts})
+    assert len(ranked.counts) == 10_000 and set(ranked.counts.values()) == {6}
+    got = defaultdict(set)
+    for r in ranked.take().select("k", "text").collect():
+        got[r.k].add(r.text)
+    for k in range(10_000):
+        texts = sorted((f"t{i}" for i in range(k, 60_000, 10_000)), key=key)
+        assert got[k or None] == set(texts[: 2 + k % 7])
+
+
+def test_many_keys_with_cuts_among_copies(spark):
+    df = spark.range(3000).select((F.col("id") % 100).alias("k"), F.when(F.col("id") % 3 == 0, F.lit("copy")).otherwise(F.lit("other")).alias("text"), "id")
+    ranked = rank_rows(df, ["k"], order_key(df, 1, "x"), lambda counts: {k: [k[0] % 31] for k in counts})
+    assert {r.k: r["count"] for r in ranked.take().groupBy("k").count().collect()} == {k: k % 31 for k in range(100) if k % 31}
 
-        limit, ranking.BUCKETS = ranking.BUCKETS, 4
-        try:
-            find_cuts(df, ["k"], order_key(df, 1, "x"), lambda c: {})
-        finally:
-            ranking.BUCKETS = limit
+
+def test_histograms_stay_on_the_executors(spark, monkeypatch):
+    import labelloom.operators.ranking as ranking
+
+    df = corpus(spark, 5000, 700)
+    rows, taken = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: rows.append(taken(self)) or rows[-1])
+    monkeypatch.setattr(ranking, "FEW_ROWS", 0)  # level by level
+    _, cuts = find_cuts(df, ["label"], order_key(df, 42, "sample"), lambda _: {(0,): [1, 777], (1,): [350]})
+    assert {c: cut.ties for c, cut in cuts.items()} == {((0,), 1): 1, ((0,), 777): 1, ((1,), 350): 1}
+    assert len(rows) >= 3 and max(map(len, rows)) == 3
 
 
 def test_balanced_cap(spark):
