@@ -31,9 +31,9 @@ def check_scored(df: DataFrame) -> None:
         )
 
 
-def checked(df: DataFrame) -> DataFrame:
+def checked(df: DataFrame, score: str = "score") -> DataFrame:
     """``df`` with the checks of ``check_scored`` in its label column: they run in whatever pass reads it."""
-    fine = F.coalesce(F.col("label").isin(0, 1), F.lit(False)) & F.col("score").isNotNull()
+    fine = F.coalesce(F.col("label").isin(0, 1), F.lit(False)) & F.col(score).isNotNull()
     wrong = F.raise_error(F.lit("a row lacks its label or score, or its label is not 0 or 1"))
     label = F.when(fine, F.col("label")).otherwise(wrong.cast(df.schema["label"].dataType))
     return df.withColumn("label", label)
@@ -231,7 +231,7 @@ def bce_loss(df: DataFrame, logit: str = "logit", by: Sequence[str] = ()) -> Dat
     """Mean binary cross-entropy from logits, in the form that cannot overflow."""
     x, y = F.col(logit), F.col("label")
     loss = F.greatest(x, F.lit(0.0)) - x * y + F.log1p(F.exp(-F.abs(x)))
-    return df.groupBy(*by).agg(F.avg(loss).alias("bce_loss"))
+    return checked(df, logit).groupBy(*by).agg(F.avg(loss).alias("bce_loss"))
 
 
 def weighted_average(

@@ -497,6 +497,19 @@ def mixed_format_folder(spark, sf):
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("label").cast("int").alias("label"))
 
 
+def mixed_type_sources(spark, sf):
+    """Files that disagree on types: labels as words in CSV and as numbers in Parquet, sources with leading zeros as
+    text here and as numbers there. Spellings are kept."""
+    path = new_path(spark, "mixed-types")
+    rows = corpus(spark, sf).select("doc_id", "text", "label", F.lpad((F.col("doc_id") % 50).cast("string"), 3, "0").alias("source"))
+    parts = [rows.where(F.col("doc_id") % 3 == k) for k in range(3)]
+    word = F.when(F.col("label") == 1, "llm").otherwise("Human").alias("label")
+    parts[0].select("doc_id", "text", word, "source").write.mode("append").options(**sinks.CSV_WRITE).csv(path)
+    parts[1].select("doc_id", "text", "label", F.col("source").cast("int").alias("source")).write.mode("append").parquet(path)
+    parts[2].select("doc_id", "text", "label", "source").write.mode("append").parquet(path)
+    return normalize(tabular.read_source(spark, path).withColumn("n", F.col("doc_id").cast("long")).drop("doc_id"), ["n"])
+
+
 def published_exact_split(spark, sf):
     """A split is read by its exact name, not from folders whose names begin like it."""
     path = _mirror(spark, sf)
@@ -735,6 +748,34 @@ def stream_quota_sample(spark, sf):
     return normalize(collect_quota(spark, source, quota, SEED, literals))
 
 
+BATCHES = 6
+
+
+def stream_quota_batches(spark, sf):
+    """A quota filled by several micro-batches of one file each. The stream ends early, more files come, and a second run
+    goes on from the checkpoint: earlier batches win, inside a batch the seeded order decides."""
+    folder, output = new_path(spark, "stream-files"), new_path(spark, "stream-quota")
+    docs = corpus(spark, sf).select("doc_id", "text", "label")
+    quota = balanced_quota(docs.count() * 3 // 5)
+    source = StreamSource(f"{folder}/*", max_files_per_batch=1)
+    literals = {"source_split": "train"}
+    for batch in range(BATCHES):
+        part = docs.where(F.floor(F.col("doc_id") / 2) % BATCHES == batch).drop("doc_id")
+        part.coalesce(1).write.parquet(f"{folder}/{batch}")
+        if batch == BATCHES // 3:
+            try:
+                collect_quota(spark, source, quota, SEED, literals, output=output)
+            except RuntimeError:
+                pass  # too few rows so far
+    return collect_quota(spark, source, quota, SEED, literals, output=output)
+
+
+def stream_uncapped(spark, sf):
+    """Without a quota every row of the stream is collected; copies leave afterwards."""
+    source = StreamSource(f"{sf}/documents*.parquet", prepare=_label_stream)
+    return normalize(collect_quota(spark, source, balanced_quota(None), SEED, {"source_split": "train"}))
+
+
 def stream_dedup(spark, sf):
     """Every labelled row collected from the stream, then de-duplicated in one batch pass."""
     source = StreamSource(f"{sf}/documents*.parquet", prepare=_label_stream)
@@ -832,6 +873,7 @@ QUERIES: dict[str, Query] = {
     "csv_mixed_headers": csv_mixed_headers,
     "parquet_mixed_schema": parquet_mixed_schema,
     "mixed_format_folder": mixed_format_folder,
+    "mixed_type_sources": mixed_type_sources,
     "published_exact_split": published_exact_split,
     "license_numeric_source": license_numeric_source,
     "split_csv_roundtrip": split_csv_roundtrip,
@@ -852,6 +894,8 @@ QUERIES: dict[str, Query] = {
     "sweep": sweep,
     "python_model_score": python_model_score,
     "python_model_report": python_model_report,
+    "stream_quota_batches": stream_quota_batches,
+    "stream_uncapped": stream_uncapped,
     "stream_quota_sample": stream_quota_sample,
     "stream_dedup": stream_dedup,
     "stream_score": stream_score,

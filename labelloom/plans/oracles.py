@@ -362,6 +362,9 @@ ORACLES: dict[str, str] = {
     "parquet_mixed_schema": f"""WITH {CORPUS} SELECT doc_id, text, CASE WHEN label = 1 THEN source END AS source
         FROM corpus""",
     "mixed_format_folder": f"WITH {CORPUS} SELECT doc_id, text, label FROM corpus",
+    "mixed_type_sources": f"""WITH {CORPUS}, said AS (SELECT doc_id, text, label, CASE WHEN doc_id % 3 = 1
+            THEN CAST(doc_id % 50 AS VARCHAR) ELSE lpad(CAST(doc_id % 50 AS VARCHAR), 3, '0') END AS source FROM corpus)
+        SELECT text, label, arg_min(source, doc_id) AS source FROM said GROUP BY text, label""",
     "published_exact_split": """SELECT DISTINCT text, CAST((doc_id // 10) % 2 AS INTEGER) AS label FROM documents
         WHERE doc_id % 10 < 8""",
     "license_numeric_source": """SELECT doc_id, CAST(doc_id % 20 AS VARCHAR) AS source_detail,
@@ -425,6 +428,12 @@ ORACLES: dict[str, str] = {
     "python_model_report": f"""WITH {CORPUS}, scored AS (SELECT label, {LENGTH_MODEL} AS score FROM corpus),
         {_report(threshold=0.5)}
         SELECT *, 'length-v1' AS model_version, (SELECT count(*) FROM corpus) AS rows FROM report""",
+    "stream_quota_batches": f"""WITH {CORPUS}, quota AS (SELECT count(*) * 3 // 5 AS m FROM corpus),
+        ranked AS (SELECT text, label, row_number() OVER (PARTITION BY label
+            ORDER BY (doc_id // 2) % 6, {_key('stream')}) AS rn FROM corpus)
+        SELECT text, label, 'train' AS source_split FROM ranked, quota
+        WHERE rn <= CASE WHEN label = 0 THEN m // 2 ELSE m - m // 2 END""",
+    "stream_uncapped": f"WITH {CORPUS} SELECT DISTINCT text, label, 'train' AS source_split FROM corpus",
     "stream_quota_sample": f"""WITH {CORPUS}, quota AS (SELECT count(*) * 3 // 5 AS m FROM corpus),
         ranked AS (SELECT text, label, row_number() OVER (PARTITION BY label ORDER BY {_key('stream')}) AS rn
             FROM corpus)

@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,7 +63,18 @@ def read_csv(spark: SparkSession, path: str, *, line_breaks: bool = True) -> Dat
             except ValueError as error:
                 raise ValueError(f"{files[0]}: {error}") from error
         frames.append(df)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return united(frames)
+
+
+def united(frames: Sequence[DataFrame]) -> DataFrame:
+    """All frames by column name. A column whose types differ is text in all of them, spelled as it was."""
+    types: dict[str, set[str]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            types.setdefault(f.name, set()).add(f.dataType.simpleString())
+    mixed = {c for c, kinds in types.items() if len(kinds) > 1}
+    same = [df.select(*[(exact(c).cast("string") if c in mixed else exact(c)).alias(c) for c in df.columns]) for df in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
 
 
 def _headers(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]]:
@@ -77,9 +90,19 @@ def _headers(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files with the columns of all of them, by name."""
+    """Parquet files with the columns of all of them, by name. Files that disagree on a type are read apart and united."""
     reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    return reader.option("pathGlobFilter", _name_filter(spark, path, "parquet")).parquet(path)
+    try:
+        return reader.option("pathGlobFilter", _name_filter(spark, path, "parquet")).parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    by_schema: dict[str, list[str]] = {}
+    files = list_files(spark, path, ".parquet")
+    with ThreadPoolExecutor(16) as pool:
+        for file, schema in zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files), strict=True):
+            by_schema.setdefault(schema.simpleString(), []).append(file)
+    return united([spark.read.parquet(*group) for _, group in sorted(by_schema.items())])
 
 
 def _name_filter(spark: SparkSession, path: str, suffix: str) -> str:
@@ -118,12 +141,12 @@ def csv_source(spark: SparkSession, path: str, preferred: Sequence[str] = ()) ->
 
 
 def read_source(spark: SparkSession, path: str, *, line_breaks: bool = True) -> DataFrame:
-    """All CSV and Parquet files of a path, united by column name."""
+    """All CSV and Parquet files of a path, united by column name. A column of different types is text."""
     frames = [
         read_csv(spark, path, line_breaks=line_breaks) if kind == "csv" else read_parquet(spark, path)
         for kind in source_formats(spark, path)
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return united(frames)
 
 
 def ingest(spark: SparkSession, path: str, *, line_breaks: bool = True) -> DataFrame:

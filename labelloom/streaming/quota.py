@@ -37,7 +37,10 @@ class StreamSource:
         return self.prepare(rows) if self.prepare else rows
 
 
-def balanced_quota(sample_rows: int) -> dict[int, int]:
+def balanced_quota(sample_rows: int | None) -> dict[int, int] | None:
+    """Half of the rows for each label; None, for no cap, stays None: every row is wanted."""
+    if sample_rows is None:
+        return None
     if sample_rows < 2:
         raise ValueError("a balanced stream sample needs at least 2 rows")
     return {0: sample_rows // 2, 1: sample_rows - sample_rows // 2}
@@ -66,9 +69,10 @@ class QuotaSink:
     are read at the first batch of a run, and again only if a batch repeats.
     """
 
-    def __init__(self, spark: SparkSession, path: str, quota: Mapping[int, int], seed: int):
-        self.spark, self.path, self.quota, self.seed = spark, path, dict(quota), seed
-        self.full = not any(quota.values())
+    def __init__(self, spark: SparkSession, path: str, quota: Mapping[int, int] | None, seed: int):
+        self.spark, self.path, self.seed = spark, path, seed
+        self.quota = None if quota is None else dict(quota)
+        self.full = quota is not None and not any(quota.values())
         self.error: str | None = None
         self._last_batch: int | None = None
         self._counts: dict[int, int] = {}
@@ -78,7 +82,7 @@ class QuotaSink:
 
     def taken(self, before: int | None = None) -> dict[int, int]:
         """Rows per label in the sink, of the batches before ``before`` if given."""
-        counts = dict.fromkeys(self.quota, 0)
+        counts = dict.fromkeys(self.quota or (), 0)
         if not path_exists(self.spark, self.path):
             return counts
         rows = self.spark.read.parquet(self.path)
@@ -98,13 +102,16 @@ class QuotaSink:
             drop(self.spark, staged)
 
     def _take(self, rows: DataFrame, columns: list[str], batch_id: int) -> None:
+        if not rows.where(F.col("label").isNull()).isEmpty():
+            self.error = "the stream holds a label that is not binary"
+            return
+        if self.quota is None:
+            rows.select(*columns).write.mode("overwrite").parquet(self._batch_path(batch_id))
+            return
         if self._last_batch is None or batch_id <= self._last_batch:
             self._counts = self.taken(before=batch_id)
         already = self._counts
         open_quota = {label: self.quota[label] - already[label] for label in self.quota}
-        if not rows.where(F.col("label").isNull()).isEmpty():
-            self.error = "the stream holds a label that is not binary"
-            return
 
         def targets(counts):
             return {(label,): [n] for label, n in open_quota.items() if (label,) in counts}
@@ -122,7 +129,7 @@ class QuotaSink:
 def collect_quota(
     spark: SparkSession,
     source: StreamSource,
-    quota: Mapping[int, int],
+    quota: Mapping[int, int] | None,
     seed: int,
     literals: Mapping[str, str],
     *,
@@ -132,7 +139,8 @@ def collect_quota(
     """Exactly ``quota[label]`` rows per label from the stream, in arrival order of batches.
 
     Inside a batch a seeded order decides. Copies count against the quota, as they arrive.
-    Raises if the stream ends first.
+    Raises if the stream ends first. Without a quota (None) all rows of the stream are collected. A run that ended early goes
+    on from its last batch if it is given the same ``output``.
     """
     output = output or new_path(spark, "quota")
     rows = stream_rows(source.open(spark), literals, label_first=label_first)
@@ -150,6 +158,10 @@ def collect_quota(
                 break
     if sink.error:
         raise ValueError(sink.error)
+    if quota is None:
+        if not path_exists(spark, f"{output}/rows"):
+            return spark.createDataFrame([], rows.schema)
+        return spark.read.schema(rows.schema).parquet(f"{output}/rows")
     taken = sink.taken()
     if taken != dict(quota):
         raise RuntimeError(f"the stream ended with {taken} rows, wanted {dict(quota)}")

@@ -149,6 +149,9 @@ def test_scored_rows_are_checked(spark):
 def test_losses(spark):
     df = spark.createDataFrame([(1, 800.0), (0, -800.0), (1, 0.0)], "label int, logit double")
     assert metrics.bce_loss(df).first()[0] == pytest.approx(0.6931471805599453 / 3)
+    for bad in [(7, 0.5), (None, 0.5), (1, None)]:
+        with pytest.raises(Exception, match="not 0 or 1"):
+            metrics.bce_loss(spark.createDataFrame([(1, 0.0), bad], "label int, logit double")).first()
     parts = spark.createDataFrame([(1.0, 3), (2.0, 1)], "v double, w int")
     assert metrics.weighted_average(parts, "v", "w").first()[0] == 1.25
     assert metrics.weighted_average(parts.where("false"), "v", "w").first()[0] is None

@@ -124,3 +124,18 @@ def test_reports_keep_null_fields(spark, folder):
     assert spark.read.text(f"{folder}/r").first()[0] == '{"roc_auc":null,"n":1}'
     table = sinks.ensure_table(spark, f"{folder}/t", lambda: spark.range(3))
     assert sinks.ensure_table(spark, f"{folder}/t", lambda: 1 / 0).count() == table.count() == 3
+
+
+def test_columns_whose_types_differ_are_text(spark, folder):
+    def put(rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    put([("a", 1, 7)], "text string, label int, source int")
+    put([("b", "human", "007")], "text string, label string, source string")
+    put([("c", True, 2.5)], "text string, label boolean, source double")
+    back = tabular.read_source(spark, f"{folder}/in")
+    assert sorted(tuple(r) for r in back.select("text", "label", "source").collect()) == [
+        ("a", "1", "7"), ("b", "human", "007"), ("c", "true", "2.5"),
+    ]
+    with pytest.raises(Exception, match="NOT_FOUND|does not exist"):
+        tabular.read_parquet(spark, f"{folder}/absent")

@@ -32,6 +32,31 @@ def test_copies_count_and_leave_afterwards(spark, folder):
     assert Counter(r.label for r in scoring.dedup_collected(got).collect()) == {0: 1, 1: 250}
 
 
+def test_without_a_quota_every_row_is_collected(spark, folder):
+    write_files(spark, f"{folder}/in", [("same", 0)] * 30 + [(f"t{i}", 1) for i in range(30)], 5)
+    source = StreamSource(f"{folder}/in", 1)
+    got = collect_quota(spark, source, balanced_quota(None), 42, LITERALS)
+    assert Counter(r.label for r in got.collect()) == {0: 30, 1: 30}
+    write_files(spark, f"{folder}/blank", [(" ", 0)], 1)
+    assert collect_quota(spark, StreamSource(f"{folder}/blank"), None, 42, LITERALS).count() == 0
+    write_files(spark, f"{folder}/bad", [("x", "maybe")], 1, "text string, label string")
+    with pytest.raises(ValueError, match="not binary"):
+        collect_quota(spark, StreamSource(f"{folder}/bad"), None, 42, LITERALS)
+
+
+def test_a_second_run_goes_on_where_the_first_ended(spark, folder):
+    source, output = StreamSource(f"{folder}/in/*", 1), f"{folder}/out"
+    for batch in range(5):
+        write_files(spark, f"{folder}/in/{batch}", [(f"t{batch} {i}", i % 2) for i in range(40)], 1)
+        if batch == 1:
+            with pytest.raises(RuntimeError, match="ended with"):
+                collect_quota(spark, source, {0: 50, 1: 70}, 42, LITERALS, output=output)
+    got = collect_quota(spark, source, {0: 50, 1: 70}, 42, LITERALS, output=output).collect()
+    assert Counter((r.text.split()[0], r.label) for r in got) == {
+        ("t0", 0): 20, ("t0", 1): 20, ("t1", 0): 20, ("t1", 1): 20, ("t2", 0): 10, ("t2", 1): 20, ("t3", 1): 10,
+    }
+
+
 def test_short_stream_raises_with_counts(spark, folder):
     write_files(spark, f"{folder}/in", [("a", 0), ("b", 1), ("c", 1)], 1)
     with pytest.raises(RuntimeError, match="0: 1"):
