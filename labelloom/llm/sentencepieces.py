@@ -1,4 +1,9 @@
-"""SentencePiece encoding and decoding for merge-type vocabularies."""
+"""SentencePiece encoding and decoding for merge-type vocabularies.
+
+Texts are cut into segments that no piece can span. The segments of an Arrow batch that were not met before are merged
+together: each has an agenda, the row of ranks of its adjacent symbol pairs, and in each round every segment merges its best
+pair, the leftmost among equals. Longer segments have a heap as agenda.
+"""
 
 from __future__ import annotations
 
@@ -9,18 +14,20 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Segments whose ids a Python worker remembers, twice this number at most, each up to so many characters.
+#: Segments of SHORT characters at most whose ids a Python worker remembers, twice this number at most.
 REMEMBERED_SEGMENTS = 300_000
-LONGEST_REMEMBERED = 64
 #: Characters up to which the agenda is searched instead of kept as a heap.
 SHORT = 64
-NEVER = float("inf")
+#: Segments that are merged together.
+TOGETHER = 4096
+NEVER = np.iinfo(np.int32).max
 
 codecs.register_error("labelloom_each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -47,7 +54,7 @@ class Merger(dict):
                 self.texts.append(piece.replace(SPACE, " ").encode())
                 if not sp.is_unused(i):
                     self.pieces[piece] = (-sp.get_score(i), i)
-        self.scores = {p: s for p, (s, _) in self.pieces.items() if len(p) > 1}
+        self._number_symbols()
         self.neighbours = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
         joined = {c for pair in self.neighbours for c in pair}
         alone = "".join(c for c in "\n\r\t" if c not in joined)
@@ -56,38 +63,96 @@ class Merger(dict):
         self.cut = re.compile(r"(?s).+" if crossing else f"{one}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
 
     def __missing__(self, segment: str) -> tuple[int, ...]:
-        if (ids := self.older.get(segment)) is None:
-            parts, start = [], 0
-            for k in range(1, len(segment)):
-                if segment[k - 1 : k + 1] not in self.neighbours:  # no piece has these two side by side
-                    parts.append(segment[start:k])
-                    start = k
-            if parts:
-                parts.append(segment[start:])
-                ids = tuple(chain.from_iterable(map(self.__getitem__, parts)))
-            else:
-                ids = self.ids_of(self.merge_short(segment) if len(segment) <= SHORT else self.merge(segment))
-                self.fresh.append((segment, ids))
-        if len(segment) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED_SEGMENTS:
+        if (ids := self.older.get(segment)) is not None:
+            return ids
+        if len(segment) <= SHORT:
+            self.learn({segment})
+            return dict.__getitem__(self, segment)
+        ids = self.ids_of(self.merge(segment))
+        self.fresh.append((segment, ids))
+        return ids
+
+    def _number_symbols(self) -> None:
+        """Numbers of characters and pieces, and of each pair of them that is a piece its rank by score and its number."""
+        symbols = {c: k for k, c in enumerate(sorted({c for p in self.pieces for c in p} | set(self.pieces)))}
+        scores = sorted({s for s, _ in self.pieces.values()})
+        ranks = {s: k for k, s in enumerate(scores)}
+        self.base = len(symbols) + 1
+        pairs = {}
+        for piece, (score, _) in self.pieces.items():
+            for k in range(1, len(piece)):
+                left, right = symbols.get(piece[:k]), symbols.get(piece[k:])
+                if left is not None and right is not None:
+                    pairs[left * self.base + right] = (ranks[score], symbols[piece])
+        keys = np.array(sorted(pairs), np.int64)
+        self.pair_keys = np.append(keys, np.iinfo(np.int64).max)
+        self.pair_ranks = np.array([*(pairs[k][0] for k in keys.tolist()), NEVER], np.int32)
+        self.pair_symbols = np.array([*(pairs[k][1] for k in keys.tolist()), 0], np.int32)
+        self.of_char = np.full(0x110000, -1, np.int32)
+        self.id_of = np.full(self.base, -1, np.int32)  # -1: a character that is no piece by itself
+        for symbol, number in symbols.items():
+            if len(symbol) == 1:
+                self.of_char[ord(symbol)] = number
+            if symbol in self.pieces:
+                self.id_of[number] = self.pieces[symbol][1]
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place of each pair among the pieces, the last place for those that are none."""
+        keys = left.astype(np.int64) * self.base + right
+        keys[(left < 0) | (right < 0)] = -1
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, at, len(self.pair_keys) - 1).astype(np.int32)
+
+    def merge_together(self, segments: list[str]) -> list[tuple[int, ...]]:
+        """The ids of segments of SHORT characters at most."""
+        count = np.fromiter(map(len, segments), np.int64, len(segments))
+        width = max(2, int(count.max()))
+        symbols = np.full((len(segments), width), -1, np.int32)
+        codes = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        symbols[np.arange(width) < count[:, None]] = self.of_char[codes]
+        places = self._pairs(symbols[:, :-1], symbols[:, 1:])
+        ids: list = [None] * len(segments)
+        rows, columns = np.arange(len(segments)), np.arange(width)
+        while len(rows):
+            ranks = self.pair_ranks[places]
+            best = ranks.argmin(axis=1)
+            line = np.arange(len(rows))
+            done = ranks[line, best] == NEVER
+            numbers = np.where(symbols[done] < 0, -1, self.id_of[symbols[done]])
+            whole = ((numbers >= 0) | (columns >= count[rows[done], None])).all(axis=1)
+            ended = zip(rows[done].tolist(), count[rows[done]].tolist(), whole.tolist(), numbers.tolist(), strict=True)
+            for row, size, pieces_only, found in ended:
+                ids[row] = tuple(found[:size]) if pieces_only else self.ids_of(self.merge(segments[row]))
+            rows, symbols, places, best = rows[~done], symbols[~done], places[~done], best[~done]
+            line = np.arange(len(rows))
+            symbols[line, best] = self.pair_symbols[places[line, best]]
+            count[rows] -= 1
+            after = np.minimum(columns + (columns > best[:, None]), width - 1)
+            symbols = np.take_along_axis(symbols, after, axis=1)
+            symbols[:, -1] = -1
+            places = np.take_along_axis(places, np.minimum(after[:, :-1], width - 2), axis=1)
+            places[:, -1] = len(self.pair_keys) - 1
+            for at in (best, np.maximum(best - 1, 0)):
+                at = np.minimum(at, width - 2)
+                places[line, at] = self._pairs(symbols[line, at], symbols[line, at + 1])
+        return ids
+
+    def learn(self, segments: set[str]) -> None:
+        """Merge the segments not met before together, by length, and remember them."""
+        fresh = sorted((s for s in segments if len(s) <= SHORT and s not in self and s not in self.older), key=len)
+        for start in range(0, len(fresh), TOGETHER):
+            part = fresh[start : start + TOGETHER]
+            if len(self) + len(part) > REMEMBERED_SEGMENTS:
                 self.older = dict(self)
                 self.clear()
-            self[segment] = ids
-        return ids
+            found = list(zip(part, self.merge_together(part), strict=True))
+            self.update(found)
+            self.fresh += found
 
-    def merge_short(self, segment: str) -> list[str]:
-        """The agenda is the row of scores of adjacent pairs itself: short enough to look for the best each time."""
-        score, symbols = self.scores.get, list(segment)
-        agenda = [score(pair, NEVER) for pair in map(str.__add__, symbols, symbols[1:])]
-        while agenda and (best := min(agenda)) != NEVER:
-            at = agenda.index(best)
-            symbols[at] += symbols.pop(at + 1)
-            del agenda[at]
-            if at < len(agenda):
-                agenda[at] = score(symbols[at] + symbols[at + 1], NEVER)
-            if at:
-                agenda[at - 1] = score(symbols[at - 1] + symbols[at], NEVER)
-        return symbols
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        cut = [self.cut.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        self.learn(set(chain.from_iterable(cut)))
+        return [list(chain.from_iterable(map(self.__getitem__, segments))) for segments in cut]
 
     def merge(self, segment: str) -> list[str]:
         """The agenda is a heap of each adjacent pair that is a piece, by score and then by place."""
@@ -151,8 +216,7 @@ class Merger(dict):
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        segments = self.cut.findall(SPACE + text.replace(" ", SPACE))
-        return list(chain.from_iterable(map(self.__getitem__, segments)))
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.texts.__getitem__, ids))
@@ -168,8 +232,8 @@ def encode_decode(df: DataFrame, model_file: str, id_column: str = "doc_id", tex
     """(id, ids, decoded, agrees) for each row of ``df``: the ids of its whole text, and the text they decode to.
 
     The model has to be of the merge type with an identity normaliser and a dummy prefix. The decoded text is the
-    library's. ``agrees`` says whether the sentencepiece library, run on the new segments and the ids of the same Arrow
-    batch, gives the same ids, and whether decoding here gives its text.
+    library's. In each Arrow batch the library also encodes all new segments and a whole text in 256, and all ids are decoded
+    both here and there; the job fails where the two disagree, so ``agrees`` is true in every row.
 
     A null or empty text has no ids and decodes to the empty text. Rows are independent: repeated rows give repeated
     results, a null id stays null, an empty table gives no rows, other columns are not read. Memory is bounded by one
@@ -184,10 +248,12 @@ def encode_decode(df: DataFrame, model_file: str, id_column: str = "doc_id", tex
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = part.column(1).to_pylist()
-                ids = [own.encode(t) for t in texts]
+                ids = own.encode_batch(texts)
                 decoded = own.library.decode(ids, num_threads=1)
-                same = own.agrees()
-                agrees = [same and own.decode(i) == d for i, d in zip(ids, decoded, strict=True)]
+                whole = not texts or own.library.encode(texts[0]) == ids[0]
+                agrees = [own.decode(i) == d for i, d in zip(ids, decoded, strict=True)]
+                if not (whole and own.agrees() and all(agrees)):
+                    raise RuntimeError("the sentencepiece library gives other ids or another text")
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
