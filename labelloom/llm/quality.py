@@ -28,18 +28,14 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 COUNTS = (*BASE, "n_stuttered")
 COUNTED = (*COUNTS, "n_lines")
 
-#: measure, lower fence, upper fence, least distance of a fence from the median. All are counts per 10,000.
+#: measure, what is counted, of how many, lower fence, upper fence, least distance of a fence from the median. All are counts
+#: per 10,000. Lines are those that are not blank.
 MEASURES = (
-    ("word_length", True, True, 20_000),
-    ("symbol_share", False, True, 1_000),
-    ("dup_line_share", False, True, 3_000),
-    ("stutter_share", False, True, 2_000),
-)
-#: With duplicate lines per line that is not blank, which words hide, and a fence for repeated windows beside their cutoff.
-LINE_MEASURES = (
-    *(m for m in MEASURES if m[0] != "dup_line_share"),
-    ("dup_lines_of_lines", False, True, 3_000),
-    ("repeat_share", False, True, 1_000),
+    ("word_length", "word_chars", "n_words", True, True, 20_000),
+    ("symbol_share", "n_symbols", "n_words", False, True, 1_000),
+    ("dup_line_share", "n_dup_lines", "n_lines", False, True, 3_000),
+    ("stutter_share", "n_stuttered", "n_words", False, True, 2_000),
+    ("repeat_share", "n_repeat_words", "n_words", False, True, 1_000),
 )
 #: A fence lies so many times the spread (upper minus lower tenth) beyond its tenth.
 REACH = 3
@@ -99,19 +95,8 @@ def with_base_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} long" for c in COUNTED))
 
 
-def _measures(measures: tuple) -> list[Column]:
-    counts = {
-        "word_length": "word_chars",
-        "symbol_share": "n_symbols",
-        "dup_line_share": "n_dup_lines",
-        "stutter_share": "n_stuttered",
-        "dup_lines_of_lines": "n_dup_lines",
-        "repeat_share": "n_repeat_words",
-    }
-    of = {"dup_lines_of_lines": "n_lines"}
-    return [
-        F.expr(f"{counts[m[0]]} * 10000 div greatest({of.get(m[0], 'n_words')}, 1)").alias(m[0]) for m in measures
-    ]
+def _measures() -> list[Column]:
+    return [F.expr(f"{count} * 10000 div greatest({of}, 1)").alias(name) for name, count, of, *_ in MEASURES]
 
 
 def bucket(value: Column) -> Column:
@@ -120,12 +105,12 @@ def bucket(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
 
 
-def sketches(counted: DataFrame, measures: tuple = MEASURES) -> DataFrame:
+def sketches(counted: DataFrame) -> DataFrame:
     """(lang, source, measure, bucket, n): the sketch of each group and measure, of the documents with words."""
     cells = counted.where("n_words > 0").select(
         "lang",
         "source",
-        F.explode(F.array(*[F.struct(F.lit(m[0]).alias("measure"), F.col(m[0]).alias("v")) for m in measures])).alias("c"),
+        F.explode(F.array(*[F.struct(F.lit(m[0]).alias("measure"), F.col(m[0]).alias("v")) for m in MEASURES])).alias("c"),
     )
     return cells.groupBy("lang", "source", "c.measure", bucket(F.col("c.v")).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n")
@@ -149,9 +134,9 @@ def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def thresholds(counted: DataFrame, measures: tuple = MEASURES) -> DataFrame:
+def thresholds(counted: DataFrame) -> DataFrame:
     """(lang, source, measure, floor, ceiling) of each group; null where a side has no fence."""
-    sketch = stage(sketches(counted, measures), "sketches")
+    sketch = stage(sketches(counted), "sketches")
     own = quantiles(sketch, "lang", "source")
     of_lang = quantiles(merge(sketch, "lang"), "lang").select("lang", "measure", *_named("l"))
     of_all = quantiles(merge(sketch)).select("measure", *_named("a"))
@@ -171,7 +156,7 @@ def thresholds(counted: DataFrame, measures: tuple = MEASURES) -> DataFrame:
     picked = joined.select("o.lang", "o.source", "o.measure", *[pick(n).alias(n) for n in ("low", "mid", "high")])
     spread = (F.col("high") - F.col("low")) * REACH
     floor, ceiling = F.lit(None).cast("long"), F.lit(None).cast("long")
-    for name, lower, upper, least in measures:
+    for name, _, _, lower, upper, least in MEASURES:
         if lower:
             below = F.least(F.col("low") - spread, F.col("mid") - least)
             floor = F.when(F.col("measure") == name, below).otherwise(floor)
@@ -185,25 +170,25 @@ def _named(prefix: str) -> list[Column]:
     return [F.col(c).alias(f"{prefix}_{c}") for c in ("total", "low", "mid", "high")]
 
 
-def judged(docs: DataFrame, measures: tuple = MEASURES) -> DataFrame:
+def judged(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, lang, source, text_key, COUNTS, base_failed, failed (names of the measures beyond their
     fence) and kept.
 
     base_failed: under MIN_WORDS words, or more than MAX_REPEAT_PERCENT percent of the words lie in 8-word windows
-    found twice or more. ``measures``: MEASURES or LINE_MEASURES. kept: not base_failed, and no measure lies beyond the fence of the document's language and
+    found twice or more. kept: not base_failed, and no measure lies beyond the fence of the document's language and
     source. Null or empty texts have no words and fail. Null languages and sources form groups of their own. Repeated
     rows count each and are judged alike; ties with a fence are kept. An empty table gives no rows. Other columns are
     not read.
     """
-    counted = stage(with_base_counts(docs).select("*", *_measures(measures)), "counted")
-    wide = thresholds(counted, measures).groupBy("lang", "source").agg(
-        *[F.max(F.when(F.col("measure") == m[0], F.col(s))).alias(f"{m[0]}_{s}") for m in measures for s in ("floor", "ceiling")]
+    counted = stage(with_base_counts(docs).select("*", *_measures()), "counted")
+    wide = thresholds(counted).groupBy("lang", "source").agg(
+        *[F.max(F.when(F.col("measure") == m[0], F.col(s))).alias(f"{m[0]}_{s}") for m in MEASURES for s in ("floor", "ceiling")]
     )
     fences = stage(wide, "fences")
     both = counted.alias("c").join(fences.alias("t"), F.expr("c.lang <=> t.lang and c.source <=> t.source"), "left")
     broken = [
         F.when((F.col(m[0]) < F.col(f"{m[0]}_floor")) | (F.col(m[0]) > F.col(f"{m[0]}_ceiling")), F.lit(m[0]))
-        for m in measures
+        for m in MEASURES
     ]
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
@@ -214,10 +199,10 @@ def judged(docs: DataFrame, measures: tuple = MEASURES) -> DataFrame:
     return rows.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
 
 
-def kept_documents(docs: DataFrame, measures: tuple = MEASURES) -> DataFrame:
+def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, with all their columns. The verdict belongs to the text, language and
     source of a row, so rows that share a doc_id are told apart."""
-    verdicts = judged(docs.select("doc_id", "text", "lang", "source"), measures)
+    verdicts = judged(docs.select("doc_id", "text", "lang", "source"))
     gone = verdicts.where("not kept").select("text_key", F.col("lang").alias("l"), F.col("source").alias("s")).distinct()
     row = docs.select(F.struct("*").alias("row"))
     same = (
