@@ -19,8 +19,6 @@ from pyspark.sql.window import Window
 from labelloom.llm.common import small
 from labelloom.session import stage
 
-#: Lines with fewer distinct words are left alone unless the caller asks for less; with 1, all lines with words are joined.
-MIN_TOKENS = 5
 NEAR, OF = 3, 4
 BUCKETS = 1 << 16
 #: A token of so few lines and one more is settled where it is; more lines are compared with the oldest first.
@@ -79,8 +77,8 @@ def ordered_tokens(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(codes, number))
 
 
-def prefix_rows(lines: DataFrame, ranks: Column, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(token, l1, d, size, place, bits): the first quarter of the tokens of each line that is long enough.
+def prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
+    """(token, l1, d, size, place, bits): the first quarter of the tokens of each line with words, one token at least.
 
     Each token of the line turns over one of the 64 bits, so two lines differ in as many tokens as bits at least.
     """
@@ -93,7 +91,7 @@ def prefix_rows(lines: DataFrame, ranks: Column, min_tokens: int = MIN_TOKENS) -
         return bits.bitwiseXOR(F.call_function("shiftleft", one, token.bitwiseAND(F.lit(63)).cast("int")))
 
     bits = F.aggregate("tokens", F.lit(0).cast("long"), turned).alias("bits")
-    head = tokens.where(size >= min_tokens).select(
+    head = tokens.where(size > 0).select(
         "l1", "d", size.alias("size"), bits, F.slice("tokens", F.lit(1), count).alias("head")
     )
     return head.select("l1", "d", "size", "bits", F.posexplode("head").alias("place", "token"))
@@ -126,7 +124,7 @@ def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame
     return pairs, later
 
 
-def beaten_lines(docs: DataFrame, firsts: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """(l1): lines that have an earlier near match. ``firsts``: (l1, l2, first, copies) of each distinct line."""
     lines = text_lines(docs)
     count = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
@@ -135,7 +133,7 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame, min_tokens: int = MIN_TOKEN
     of_token = Window.partitionBy("token")
     before = of_token.orderBy("size").rowsBetween(-FEW, -1)
     side = F.struct("d", "l1", "size", "place", "bits")
-    rows = prefix_rows(once, rarity(lines), min_tokens).withColumns(
+    rows = prefix_rows(once, rarity(lines)).withColumns(
         {
             "n": F.count(F.lit(1)).over(of_token),
             "oldest": F.col("d") == F.min("d").over(of_token),
@@ -171,13 +169,13 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame, min_tokens: int = MIN_TOKEN
     return stage(beaten.unionByName(more).distinct(), "beaten")
 
 
-def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, removed): number and hash of the lines to remove of each document that has any."""
     lines = text_lines(docs).drop("line")
     firsts = stage(
         lines.groupBy("l1", "l2").agg(F.min(position()).alias("first"), F.count(F.lit(1)).alias("copies")), "lines"
     )
-    beaten = beaten_lines(docs, firsts, min_tokens).withColumn("beaten", F.lit(True))
+    beaten = beaten_lines(docs, firsts).withColumn("beaten", F.lit(True))
     judged = firsts.join(beaten, "l1", "left").where("beaten or copies > 1")
     judged = stage(judged.select("l1", "l2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "judged")
     gone = lines.join(small(judged), ["l1", "l2"]).where(F.col("beaten") | (position() > F.col("first")))
@@ -186,18 +184,18 @@ def removed_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with its text cut, and n_lines, n_removed.
 
-    A line (between line feeds) with ``min_tokens`` distinct words or more is removed if a line at an earlier place, in
+    A line (between line feeds) with words is removed if a line at an earlier place, in
     the order of (doc_id, line number), has a similarity of 3/4 or more to it, removed or not; ties count as similar.
-    Copies after the first go with that. Shorter lines stay. The other lines are joined again by line feeds; a text
+    Copies after the first go with that. Blank lines stay. The other lines are joined again by line feeds; a text
     that loses all lines is empty. A null text stays null and has no lines. A null doc_id comes last. Lines at the same
     place (rows that repeat a doc_id) don't remove each other. All columns of ``docs`` are kept, whatever their names;
     an empty table gives no rows.
     """
     row = docs.select(F.struct("*").alias("row"))
-    marked = removed_lines(docs.select("doc_id", "text"), min_tokens)
+    marked = removed_lines(docs.select("doc_id", "text"))
     few = marked.agg(F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0] <= BROADCAST_LINES
     marked = marked.withColumnRenamed("doc_id", "id")
     joined = row.join(small(marked) if few else marked, F.col("row.doc_id").eqNullSafe(F.col("id")), "left")
@@ -206,7 +204,7 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     def stays(line: Column, number: Column) -> Column:
         words = spaced(line)
         found = F.array_contains("removed", F.struct(number.alias("number"), F.xxhash64(words).alias("l1")))
-        return ~(found & (F.size(tokens_of(words)) >= min_tokens))
+        return ~(found & (F.size(tokens_of(words)) > 0))
 
     kept = F.when(F.col("removed").isNull(), lines).otherwise(F.filter(lines, stays))
     cut = joined.select("row", lines.alias("lines"), kept.alias("kept"))
@@ -221,7 +219,7 @@ def dedup_lines(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     )
 
 
-def kept_texts(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def kept_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with cut texts and all their columns, without the rows that lost all their words."""
     emptied = (F.col("n_removed") > 0) & ~F.rlike(F.col("row.text"), F.lit(r"[^\x20\x09-\x0D]"))
-    return dedup_lines(docs, min_tokens).where(~emptied).select("row.*")
+    return dedup_lines(docs).where(~emptied).select("row.*")
