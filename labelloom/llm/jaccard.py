@@ -218,13 +218,15 @@ def linked_sets(rows: DataFrame, classes: DataFrame, prefixes: DataFrame) -> Dat
     tokens = prefixes.select(
         F.posexplode("prefix").alias("position", "token"), "g", F.col("size").cast("int").alias("size")
     ).select("token", "g", "size", "position")
-    often = tokens.groupBy("token").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a <> b").select("token")
+    # one shuffle of narrow rows: a shingle stays where more than one group has it in its prefix
+    of_token = Window.partitionBy("token")
+    often = tokens.withColumns({"least": F.min("g").over(of_token), "most": F.max("g").over(of_token)}).where("least <> most")
     members = classes.select("g", F.col("s1").alias("node"))
     groups = members.groupBy("g").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
     groups = stage(groups, "groups")
     # sets of one group share its whole prefix: one shingle is enough for them to meet, whoever else has it
     several = tokens.where("position = 0").join(groups.where("n > 1").select("g"), "g", "left_semi")
-    shared = tokens.join(often, "token", "left_semi").unionByName(several).distinct()
+    shared = often.drop("least", "most").unionByName(several).distinct()
     shared = stage(shared.withColumn("low", F.col("g")).withColumn("high", F.col("g")), "shared")
     active = shared.select("g").distinct()
     nodes = stage(
