@@ -69,12 +69,14 @@ again AS (
 base AS (
   SELECT doc_id, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(regexp_replace(array_to_string(ws, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
+    len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
     len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) AS stuttered
   FROM d JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)),
 measured AS (
-  SELECT doc_id, lang, source, n_words, unnest(['word_length', 'symbol_share', 'dup_line_share', 'stutter_share']) AS m,
-    unnest([word_chars, n_symbols, n_dup_lines, stuttered]) * 10000 // greatest(n_words, 1) AS v FROM base),
+  SELECT doc_id, lang, source, n_words,
+    unnest(['word_length', 'symbol_share', 'dup_line_share', 'stutter_share', 'repeat_share']) AS m,
+    unnest([word_chars, n_symbols, n_dup_lines, stuttered, n_repeat_words]) * 10000
+      // greatest(unnest([n_words, n_words, n_lines, n_words, n_words]), 1) AS v FROM base),
 buckets AS (
   SELECT *, (v >> greatest(length(bin(v)) - 8, 0)) << greatest(length(bin(v)) - 8, 0) AS b FROM measured
   WHERE n_words > 0),
@@ -96,10 +98,10 @@ fences AS (
   SELECT lang, source, m,
     CASE WHEN m = 'word_length' THEN least(q.low - 3 * (q.high - q.low), q.mid - 20000) END AS floor,
     greatest(q.high + 3 * (q.high - q.low), q.mid + CASE m WHEN 'word_length' THEN 20000 WHEN 'symbol_share' THEN 1000
-      WHEN 'dup_line_share' THEN 3000 ELSE 2000 END) AS ceiling FROM chosen),
+      WHEN 'dup_line_share' THEN 3000 WHEN 'repeat_share' THEN 1000 ELSE 2000 END) AS ceiling FROM chosen),
 broken AS (
-  SELECT x.doc_id, string_agg(x.m, ',' ORDER BY list_position(['word_length', 'symbol_share', 'dup_line_share'], x.m)
-    NULLS LAST) AS failed
+  SELECT x.doc_id, string_agg(x.m, ',' ORDER BY list_position(['word_length', 'symbol_share', 'dup_line_share',
+    'stutter_share', 'repeat_share'], x.m)) AS failed
   FROM measured x JOIN fences f ON x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source
     AND x.m = f.m WHERE x.v < f.floor OR x.v > f.ceiling GROUP BY x.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -173,7 +175,7 @@ firsts AS (
   SELECT line, min((doc_id, k)) AS first, list_sort(list_distinct(regexp_extract_all(line, '[^ 	-
 ]+'))) AS ws
   FROM lines GROUP BY line),
-long AS (SELECT * FROM firsts WHERE len(ws) >= 5),
+long AS (SELECT * FROM firsts WHERE len(ws) >= 1),
 tokens AS (SELECT line, first, len(ws) AS n, unnest(ws) AS w FROM long),
 ranked AS (
   SELECT line, first, n, w, row_number() OVER (PARTITION BY line ORDER BY c, w) AS r

@@ -23,7 +23,7 @@ def base_counts(text):
     again = {i + k for i in range(len(ws) - 7) if windows[tuple(ws[i : i + 8])] > 1 for k in range(8)}
     stutter = sum(a == b for a, b in zip(ws, ws[1:]))
     symbols = sum(c in "#*$%&|<>" for w in ws for c in w)
-    return len(ws), sum(map(len, ws)), symbols, len(lines) - len(set(lines)), len(again), stutter
+    return len(ws), sum(map(len, ws)), symbols, len(lines) - len(set(lines)), len(again), stutter, len(lines)
 
 
 def bucket(value):
@@ -35,7 +35,8 @@ def quality(docs):
     """Kept or not, for each document."""
     rows = [(d, base_counts(d["text"])) for d in docs]
     measure = {
-        id(d): {n: c[k] * 10000 // max(c[0], 1) for n, k in (("len", 1), ("sym", 2), ("dup", 3), ("stu", 5))} for d, c in rows
+        id(d): {n: c[k] * 10000 // max(c[of], 1) for n, k, of in (("len", 1, 0), ("sym", 2, 0), ("dup", 3, 6), ("stu", 5, 0), ("rep", 4, 0))}
+        for d, c in rows
     }
 
     def quantiles(group, name):
@@ -51,7 +52,7 @@ def quality(docs):
         ]
         failed = c[0] < 20 or 100 * c[4] > 30 * c[0]
         group = next((g for g in groups if len(g) >= 200), groups[-1])
-        for name, lower, least in (("len", True, 20000), ("sym", False, 1000), ("dup", False, 3000), ("stu", False, 2000)):
+        for name, lower, least in (("len", True, 20000), ("sym", False, 1000), ("dup", False, 3000), ("stu", False, 2000), ("rep", False, 1000)):
             if not group or not c[0]:
                 continue
             low, mid, high = quantiles(group, name)
@@ -75,11 +76,11 @@ def deduped_lines(docs):
         for d in docs
         for k, line in enumerate((d["text"] or "").split("\n"))
     ]
-    places = [p for p in places if len(p[1]) >= 5]
+    places = [p for p in places if p[1]]
 
     def stays(at, line):
         mine = tokens(line)
-        if len(mine) < 5:
+        if not mine:
             return True
         return not any(p < at and 7 * len(mine & other) >= 3 * (len(mine) + len(other)) for p, other in places)
 
