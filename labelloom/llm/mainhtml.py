@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from labelloom.session import stage
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*>",
+    re.DOTALL,  # the last form also passes over a tag whose quotes don't close
 )
-NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+NAMED = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 #: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template iframe svg math object canvas audio video select textarea".split())
+RAW = frozenset("script style noscript template iframe svg annotation annotation-xml object canvas audio video select textarea".split())
 #: End of the attributes of a self-closed element; behind a value without quotes the slash is part of the value.
 SELF_CLOSED = re.compile(r"""(?<!\S)/$|["']/$|^/$|(?<!\S)[^\s=/]+/$""")
 #: Elements that are never part of the main text.
@@ -31,7 +32,8 @@ OUTSIDE = RAW | frozenset("head nav header footer aside form button dialog menu"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var".split()
+    "strike strong sub sup time tt u var math semantics mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder "
+    "munderover mstyle mspace".split()
 )
 CONTAINERS = frozenset("article main section div body td".split())
 #: Words of class, id and role names that mark content outside the main text ...
@@ -123,7 +125,7 @@ class Page:
             names = " ".join(x for m in NAMED.findall(attributes) for x in m[1:] if x) if attributes else ""
             outside = tag in OUTSIDE or (bool(names) and tag not in ("html", "body") and noisy(names))
             if tag in RAW:
-                if tag in ("svg", "math") and SELF_CLOSED.search(attributes):
+                if tag == "svg" and SELF_CLOSED.search(attributes):
                     continue
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, place)
                 place = close.end() if close else end
