@@ -32,6 +32,8 @@ INDEX = (
     "page_id long, record_id string, bundle string, frame int, frame_offset long, frame_bytes long, "
     "record_offset long, record_bytes long"
 )
+#: Frames that a task reads; they are unpacked one at a time.
+FRAMES_A_TASK = 64
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -225,9 +227,14 @@ def write_archives(
 def read_archives(index: DataFrame) -> DataFrame:
     """Read the records that ``index`` names (RECORDS), frame by frame; digests of responses are checked.
 
-    Each index row gives one record: a task fetches a frame by its bundle's seek table and cuts it at the offsets.
+    Each index row gives one record: a task fetches a frame by its bundle's seek table and cuts it at the offsets. The index is
+    far smaller than what it names, so frames are dealt by their number and not by its size: FRAMES_A_TASK to a task, or
+    fewer if that leaves cores idle. An empty index gives no records.
     """
-    frames = index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("record_offset")).alias("offsets"))
+    count = index.select("bundle", "frame").distinct().count()
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(count, max(cores, count // FRAMES_A_TASK)))
+    frames = index.repartition(tasks, "bundle", "frame").groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("record_offset")).alias("offsets"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RECORDS.split(", ")]
