@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pyarrow as pa
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 
@@ -209,3 +210,27 @@ def test_digest_is_sha1_in_base32():
     import base64
 
     assert warc.digest_of(b"") == base64.b32encode(hashlib.sha1(b"").digest()).decode() and len(warc.digest_of(b"x")) == 32
+
+
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ('<article data-id="banner-12"><p>{}</p></article>', "{}"),
+        ('<article data-role="search"><p>{}</p></article>', "{}"),
+        ("<article><p>the value <math><mi>x</mi><mo>=</mo><mn>3</mn></math> holds. {}</p></article>", "the value x=3 holds. {}"),
+        ('<article><p>{}</p><a href="x>more</a></article>', "{}\nmore"),
+    ],
+)
+def test_names_formulas_and_open_quotes(spark, inside, text):
+    prose = "Long running prose that has many words in it, none of them a link. " * 8
+    page = f"<html><body><nav><a href='/'>home</a></nav>{inside.format(prose)}</body></html>"
+    df = spark.createDataFrame([(1, "http://a.com/x", page)], "page_id long, url string, html string")
+    assert mainhtml.main_text(df).first().text == text.format(prose.strip())
+
+
+def test_archives_are_read_by_several_tasks(spark):
+    rows = [(k, f"http://a.com/{k}", f"<p>{k} " + f"{k * 7919 % 1000:04d} " * 500) for k in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    read = warc.read_archives(warc.write_archives(df, frame_bytes=20_000))
+    tasks = {r.task for r in read.select(F.spark_partition_id().alias("task")).collect()}
+    assert len(tasks) > 1 and read.count() == 200
