@@ -7,7 +7,8 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
+from operator import add
 
 import pyarrow as pa
 import sentencepiece
@@ -47,27 +48,36 @@ class Merger(dict):
                 self.texts.append(piece.replace(SPACE, " ").encode())
                 if not sp.is_unused(i):
                     self.pieces[piece] = (-sp.get_score(i), i)
+        self.ids = {p: i for p, (_, i) in self.pieces.items()}
         self.scores = {p: s for p, (s, _) in self.pieces.items() if len(p) > 1}
         self.neighbours = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
         joined = {c for pair in self.neighbours for c in pair}
         alone = "".join(c for c in "\n\r\t" if c not in joined)
         crossing = any(pair[1] == SPACE != pair[0] for pair in self.neighbours)
         one = f"[{alone}]|" if alone else ""
-        self.cut = re.compile(r"(?s).+" if crossing else f"{one}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+        starts = re.escape("".join(sorted(self.starters())))
+        rest = f"[^{SPACE}{alone}{starts}]+"
+        word = f"(?:[{starts}]+(?:{rest})?|{rest})" if starts else rest
+        self.cut = re.compile(r"(?s).+" if crossing else f"{one}{SPACE}*{word}|{SPACE}+")
+
+    def starters(self) -> set[str]:
+        """Characters other than letters that no piece has behind another character than such a one or the space."""
+        found = {c for pair in self.neighbours for c in pair if not c.isalpha() and c not in f"{SPACE}\n\r\t"}
+        while bound := {b for a, b in self.neighbours if b in found and a != SPACE and a not in found}:
+            found -= bound
+        return found
 
     def __missing__(self, segment: str) -> tuple[int, ...]:
         if (ids := self.older.get(segment)) is None:
-            parts, start = [], 0
-            for k in range(1, len(segment)):
-                if segment[k - 1 : k + 1] not in self.neighbours:  # no piece has these two side by side
-                    parts.append(segment[start:k])
-                    start = k
-            if parts:
-                parts.append(segment[start:])
-                ids = tuple(chain.from_iterable(map(self.__getitem__, parts)))
-            else:
-                ids = self.ids_of(self.merge_short(segment) if len(segment) <= SHORT else self.merge(segment))
+            pairs = list(map(add, segment, segment[1:]))
+            if self.neighbours.issuperset(pairs):
+                short = len(segment) <= SHORT
+                ids = self.ids_of(self.merge_short(segment, pairs) if short else self.merge(segment))
                 self.fresh.append((segment, ids))
+            else:  # cut where no piece has the two characters side by side
+                cuts = [k for k, pair in enumerate(pairs, 1) if pair not in self.neighbours]
+                parts = map(segment.__getitem__, map(slice, [0, *cuts], [*cuts, None]))
+                ids = tuple(chain.from_iterable(map(self.__getitem__, parts)))
         if len(segment) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED_SEGMENTS:
                 self.older = dict(self)
@@ -75,18 +85,18 @@ class Merger(dict):
             self[segment] = ids
         return ids
 
-    def merge_short(self, segment: str) -> list[str]:
+    def merge_short(self, segment: str, pairs: list[str]) -> list[str]:
         """The agenda is the row of scores of adjacent pairs itself: short enough to look for the best each time."""
         score, symbols = self.scores.get, list(segment)
-        agenda = [score(pair, NEVER) for pair in map(str.__add__, symbols, symbols[1:])]
+        agenda = list(map(score, pairs, repeat(NEVER)))
         while agenda and (best := min(agenda)) != NEVER:
             at = agenda.index(best)
-            symbols[at] += symbols.pop(at + 1)
+            symbols[at] = merged = symbols[at] + symbols.pop(at + 1)
             del agenda[at]
             if at < len(agenda):
-                agenda[at] = score(symbols[at] + symbols[at + 1], NEVER)
+                agenda[at] = score(merged + symbols[at + 1], NEVER)
             if at:
-                agenda[at - 1] = score(symbols[at - 1] + symbols[at], NEVER)
+                agenda[at - 1] = score(symbols[at - 1] + merged, NEVER)
         return symbols
 
     def merge(self, segment: str) -> list[str]:
@@ -120,15 +130,15 @@ class Merger(dict):
         return [symbol for symbol in symbols if symbol is not None]
 
     def ids_of(self, symbols: list[str]) -> tuple[int, ...]:
-        pieces, ids = self.pieces, []
-        for symbol in symbols:
-            if found := pieces.get(symbol):
-                ids.append(found[1])
-            elif self.bytes:
-                ids.extend(self.bytes[b] for b in symbol.encode())
-            else:
-                ids.append(self.library.unk_id())
-        return tuple(ids)
+        try:
+            return tuple(map(self.ids.__getitem__, symbols))
+        except KeyError:  # some are no pieces
+            return tuple(chain.from_iterable(map(self.ids_of_symbol, symbols)))
+
+    def ids_of_symbol(self, symbol: str) -> list[int]:
+        if symbol in self.ids:
+            return [self.ids[symbol]]
+        return [self.bytes[b] for b in symbol.encode()] if self.bytes else [self.library.unk_id()]
 
     def agrees(self) -> bool:
         """Whether the library gives the same ids for the segments merged since the last call.
