@@ -6,12 +6,13 @@ one group; groups meet on prefix shingles, group pairs are filtered by size and
 and what is left is expanded to members and verified on the whole sets.
 
 Groups are not paired all with all. First each group is compared with one other per prefix shingle, drawn anew for each
-shingle, which already connects families of near copies. Then only pairs whose components still differ are compared,
+shingle, which already connects families of near copies; this goes on while it settles much. Then only pairs whose components still differ are compared,
 so no link between components is lost.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql.window import Window
 
 from labelloom.llm.common import components, mixed, signed, small, text_bytes, text_key, window_hashes, word_codes
 from labelloom.llm.repeats import Once
-from labelloom.session import stage
+from labelloom.session import drop, new_path, stage
 
 SHINGLE = 5
 #: Similarity as a fraction.
@@ -34,7 +35,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 #: Partners of a group that a draw compares it with at most, the first or those drawn by two shingles or more. The last
 #: step has no such bound.
 PARTNERS = 4
-DRAWS = 3
+#: Draws go on as long as each leaves at most one in so many of the shared shingles.
+SETTLED = 2
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -123,7 +125,7 @@ def can_be_near(a: str, b: str) -> Column:
     return F.expr(f"{sizes} and {OF + NEAR} * ({most}) >= {NEAR} * ({a}.size + {b}.size)")
 
 
-def packed_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def packed_texts(rows: DataFrame, nodes: DataFrame, path: str) -> DataFrame:
     """(node, packed) for the sets of ``nodes`` (node, first): the compressed text of a document that has the set."""
     wanted = small(nodes.select(F.col("node"), F.col("first").alias("doc_id")))
 
@@ -141,7 +143,7 @@ def packed_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             )
 
     joined = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id)).select("text", "node")
-    return stage(joined.mapInArrow(run, "node long, packed binary"), "packed")
+    return stage(joined.mapInArrow(run, "node long, packed binary"), path=path)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -162,7 +164,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = texts.select(F.col("node").alias("x"), F.col("packed").alias("a"))
     right = texts.select(F.col("node").alias("y"), F.col("packed").alias("b"))
-    return pairs.join(left, "x").join(right, "y").select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
+    asked = small(stage(pairs.select("y").distinct(), "asked"))  # other texts don't cross a shuffle
+    return left.join(small(pairs), "x").join(right.join(asked, "y", "left_semi"), "y").select("x", "y", "a", "b").mapInArrow(
+        run, "x long, y long"
+    )
 
 
 def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -177,15 +182,9 @@ def drawn_pairs(shared: DataFrame, groups: DataFrame, draw: int) -> DataFrame:
 
     ``shared`` (token, g, size, position, low, high): the last two are the least and largest component of the group.
     """
-    lot = F.xxhash64("token", "g", F.lit(draw))
-    drawn = shared.groupBy("token").agg(F.min(lot).alias("lot"))
-    leaders = (
-        shared.withColumn("lot", lot)
-        .join(drawn, ["token", "lot"])
-        .select("token", *[F.col(c).alias(f"lead_{c}") for c in ("g", "size", "position", "low", "high")])
-    )
-    a, b = shared.alias("a"), leaders.select("token", F.struct(*[F.col(f"lead_{c}").alias(c) for c in ("g", "size", "position", "low", "high")]).alias("b"))
-    met = a.join(b, "token").where(
+    other = F.struct(F.xxhash64("token", "g", F.lit(draw)).alias("lot"), "g", "size", "position", "low", "high")
+    leaders = shared.groupBy("token").agg(F.min(other).alias("b"))
+    met = shared.alias("a").join(leaders, "token").where(
         F.expr("a.g <> b.g and (a.low <> b.low or a.high <> b.high or a.low <> a.high)") & can_be_near("a", "b")
     )
     counted = met.groupBy(F.col("a.g").alias("g"), F.col("b.g").alias("h")).agg(F.count(F.lit(1)).alias("n"))
@@ -213,36 +212,47 @@ def still_apart(shared: DataFrame, members: DataFrame, labels: DataFrame) -> Dat
     return stage(current.join(apart.select("token"), "token", "left_semi"), "shared")
 
 
-def linked_sets(rows: DataFrame, classes: DataFrame, prefixes: DataFrame) -> DataFrame | None:
-    """(node, label) of the sets that have a near one."""
+def shared_shingles(classes: DataFrame, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(token, g, size, position) of the prefix shingles by which groups, or sets of one group, meet; the groups."""
     tokens = prefixes.select(
         F.posexplode("prefix").alias("position", "token"), "g", F.col("size").cast("int").alias("size")
     ).select("token", "g", "size", "position")
     # one shuffle of narrow rows: a shingle stays where more than one group has it in its prefix
     of_token = Window.partitionBy("token")
-    often = tokens.withColumns({"least": F.min("g").over(of_token), "most": F.max("g").over(of_token)}).where("least <> most")
+    met = tokens.withColumns({"least": F.min("g").over(of_token), "most": F.max("g").over(of_token)}).where("least <> most")
+    often = stage(met.drop("least", "most").distinct(), "shared")
     members = classes.select("g", F.col("s1").alias("node"))
     groups = members.groupBy("g").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
     groups = stage(groups, "groups")
     # sets of one group share its whole prefix: one shingle is enough for them to meet, whoever else has it
-    several = tokens.where("position = 0").join(groups.where("n > 1").select("g"), "g", "left_semi")
-    shared = often.drop("least", "most").unionByName(several).distinct()
-    shared = stage(shared.withColumn("low", F.col("g")).withColumn("high", F.col("g")), "shared")
+    several = tokens.where("position = 0").join(groups.where("n > 1").select("g"), "g", "left_semi").distinct()
+    several = several.join(often.where("position = 0").select("g"), "g", "left_anti")
+    return often.unionByName(stage(several.select(often.columns), "shared")), groups
+
+
+def linked_sets(rows: DataFrame, classes: DataFrame, shared: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """(node, label) of the sets that have a near one."""
+    shared = shared.withColumn("low", F.col("g")).withColumn("high", F.col("g"))
     active = shared.select("g").distinct()
     nodes = stage(
         classes.join(active, "g", "left_semi").select("g", F.col("s1").alias("node"), "first"), "nodes"
     )
     members = nodes.select("g", "node")
-    texts = packed_texts(rows, nodes)
+    packed = new_path(rows.sparkSession, "packed")
+    texts = packed_texts(rows, nodes, packed)
     inside = members.join(groups.where("n > 1"), "g").where("node <> rep")
     tried = inside.select(F.col("rep").alias("x"), F.col("node").alias("y"))
     links, labels = None, None
-    for draw in range(DRAWS + 1):
+    drawing, before = True, None
+    for draw in itertools.count():
         if draw:
+            before = shared.count() if before is None else left
             shared = still_apart(shared, members, labels)
-            if shared.isEmpty():
+            left = shared.count()
+            if not left:
                 break
-        if draw < DRAWS:
+            drawing = SETTLED * left <= before
+        if drawing:
             pairs = drawn_pairs(shared, groups, draw)
             one = groups.select(F.col("g").alias("h"), F.col("rep").alias("other"))
             expanded = pairs.join(labelled(members, labels), "g").join(labelled(one.select(F.col("h").alias("g"), F.col("other").alias("node")), labels).select(F.col("g").alias("h"), F.col("node").alias("other"), F.col("label").alias("other_label")), "h")
@@ -261,6 +271,9 @@ def linked_sets(rows: DataFrame, classes: DataFrame, prefixes: DataFrame) -> Dat
         tried = met if not draw else tried.unionByName(met)
         links = found if links is None else links.unionByName(found)
         labels = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        if not drawing:
+            break
+    drop(rows.sparkSession, packed)
     return labels
 
 
@@ -268,15 +281,19 @@ def labelled_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, size, label, s1, s2, first): each document's component (null without words) and set."""
     rows = docs.select("doc_id", text_bytes().alias("text"), text_key("text").alias("text_key"))
     ranks = bucket_counts(rows).astype(np.int32)
-    every = stage(described(rows, ranks), "sets")
+    path = new_path(docs.sparkSession, "prefixes")
+    whole = stage(described(rows, ranks), path=path)
+    every = stage(whole.drop("prefix"), "sets")
     classes = stage(
         every.where("size > 0").groupBy("s1", "s2", "g", "size").agg(F.min("doc_id").alias("first")), "classes"
     )
-    labels = linked_sets(rows, classes, every.where("prefix is not null").select("g", "size", "prefix"))
+    shared, groups = shared_shingles(classes, whole.where("prefix is not null").select("g", "size", "prefix"))
+    drop(docs.sparkSession, path)
+    labels = linked_sets(rows, classes, shared, groups)
     named = labelled(classes.select(F.col("s1").alias("node"), "s2", "first"), labels)
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))
     of_set = named.join(least, "label").select(F.col("node").alias("s1"), "s2", "label", "component_id")
-    return every.drop("prefix", "g").join(of_set, ["s1", "s2"], "left")
+    return every.drop("g").join(of_set, ["s1", "s2"], "left")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
