@@ -85,9 +85,13 @@ class Merger(dict):
             self[segment] = ids
         return ids
 
-    def merge_short(self, segment: str, pairs: list[str]) -> list[str]:
-        """The agenda is the row of scores of adjacent pairs itself: short enough to look for the best each time."""
+    def merge_short(self, segment: str, pairs: list[str] | None = None) -> list[str]:
+        """The agenda is the row of scores of adjacent pairs itself: short enough to look for the best each time.
+
+        ``pairs`` are the segment's adjacent characters, where the caller has made them already.
+        """
         score, symbols = self.scores.get, list(segment)
+        pairs = list(map(add, segment, segment[1:])) if pairs is None else pairs
         agenda = list(map(score, pairs, repeat(NEVER)))
         while agenda and (best := min(agenda)) != NEVER:
             at = agenda.index(best)
