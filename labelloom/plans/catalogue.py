@@ -749,19 +749,23 @@ def stream_quota_sample(spark, sf):
 
 
 BATCHES = 6
+#: About so many rows in a file of a batch; a batch has as many files as that takes.
+ROWS_PER_FILE = 20_000
 
 
 def stream_quota_batches(spark, sf):
-    """A quota filled by several micro-batches of one file each. The stream ends early, more files come, and a second run
-    goes on from the checkpoint: earlier batches win, inside a batch the seeded order decides."""
+    """A quota filled by several micro-batches, each of the files of one folder. The stream ends early, more files come, and a
+    second run goes on from the checkpoint: earlier batches win, inside a batch the seeded order decides."""
     folder, output = new_path(spark, "stream-files"), new_path(spark, "stream-quota")
     docs = corpus(spark, sf).select("doc_id", "text", "label")
-    quota = balanced_quota(docs.count() * 3 // 5)
-    source = StreamSource(f"{folder}/*", max_files_per_batch=1)
+    rows = docs.count()
+    quota = balanced_quota(rows * 3 // 5)
+    files = max(1, rows // (BATCHES * ROWS_PER_FILE))  # far fewer than rows, so each gets some and no folder has fewer
+    source = StreamSource(f"{folder}/*", max_files_per_batch=files)
     literals = {"source_split": "train"}
     for batch in range(BATCHES):
         part = docs.where(F.floor(F.col("doc_id") / 2) % BATCHES == batch).drop("doc_id")
-        part.coalesce(1).write.parquet(f"{folder}/{batch}")
+        part.repartition(files).write.parquet(f"{folder}/{batch}")
         if batch == BATCHES // 3:
             try:
                 collect_quota(spark, source, quota, SEED, literals, output=output)

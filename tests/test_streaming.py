@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from labelloom.plans import models
+from labelloom.plans import catalogue, models
 from labelloom.streaming import scoring
 from labelloom.streaming.quota import QuotaSink, StreamSource, balanced_quota, collect_quota
 from test_models import length_model
@@ -114,3 +114,18 @@ def test_requests_are_answered_or_rejected_once(spark, folder):
     assert run() == expected
     assert run() == expected  # a restart from the checkpoint adds nothing
     assert spark.read.parquet(f"{folder}/out").count() == 4
+
+
+def test_a_batch_may_be_several_files(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+
+    def rows():
+        return Counter(map(tuple, catalogue.stream_quota_batches(spark, folder).collect()))
+
+    one_file = rows()
+    opened, source = [], catalogue.StreamSource
+    monkeypatch.setattr(catalogue, "StreamSource", lambda *a, **b: opened.append(source(*a, **b)) or opened[-1])
+    monkeypatch.setattr(catalogue, "ROWS_PER_FILE", 10)
+    assert rows() == one_file
+    files = opened[0].max_files_per_batch
+    assert files > 1 and spark.read.parquet(opened[0].path).select("_metadata.file_path").distinct().count() == catalogue.BATCHES * files
