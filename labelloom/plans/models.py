@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.functions.grams import CharGrams
 from labelloom.operators.history import best_epoch, leaderboard
 from labelloom.operators.metrics import bce_loss, check_scored, classification_report
 from labelloom.session import stage
@@ -63,21 +64,27 @@ class TrainedModel:
 
 
 def feature_pipeline(config: ModelConfig) -> Pipeline:
-    """Whole text to a hashed count vector; tokenising and hashing run in the JVM."""
-    pattern = r"(?s)." if config.tokens == "chars" else r"(?U)\w+"
+    """Whole text to a hashed count vector; characters by ``CharGrams``, words in the JVM."""
+    if config.tokens == "chars":
+        grams = CharGrams(inputCol="text", outputCol="features", n=config.ngram, numFeatures=config.features)
+        return Pipeline(stages=[grams])
     tokenizer = RegexTokenizer(
-        inputCol="text", outputCol="tokens", pattern=pattern, gaps=False, toLowercase=True
+        inputCol="text", outputCol="tokens", pattern=r"(?U)\w+", gaps=False, toLowercase=True
     )
     ngram = NGram(n=config.ngram, inputCol="tokens", outputCol="ngrams")
     hashing = HashingTF(numFeatures=config.features, inputCol="ngrams", outputCol="features")
     return Pipeline(stages=[tokenizer, ngram, hashing])
 
 
+def _vectors(df: DataFrame, features: PipelineModel) -> DataFrame:
+    rows = features.transform(df.select("text", F.col("label").cast("double").alias("label")))
+    return stage(rows.select("label", "features"), "features")
+
+
 def featurize(df: DataFrame, config: ModelConfig) -> tuple[PipelineModel, DataFrame]:
     """Features of a corpus, staged: every optimiser pass re-reads the vectors, not the texts."""
     pipeline = feature_pipeline(config).fit(df)
-    vectors = pipeline.transform(df.select("text", F.col("label").cast("double").alias("label")))
-    return pipeline, stage(vectors.select("label", "features"), "features")
+    return pipeline, _vectors(df, pipeline)
 
 
 def _with_probability(df: DataFrame) -> DataFrame:
@@ -107,12 +114,13 @@ def train(
     Returns the model and the history, one row per budget.
     """
     features, train_vectors = featurize(train_df, config)
-    val_vectors = stage(
-        features.transform(
-            val_df.select("text", F.col("label").cast("double").alias("label"))
-        ).select("label", "features"),
-        "features",
-    )
+    return fit(features, train_vectors, _vectors(val_df, features), config)
+
+
+def fit(
+    features: PipelineModel, train_vectors: DataFrame, val_vectors: DataFrame, config: ModelConfig
+) -> tuple[TrainedModel, DataFrame]:
+    """``train`` on vectors that are staged already."""
     fitted, records = {}, []
     for epoch, budget in enumerate(config.iterations, start=1):
         estimator = LogisticRegression(maxIter=budget, regParam=config.regularization)
