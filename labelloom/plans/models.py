@@ -271,10 +271,17 @@ def sweep_grid(mode: str = "full", base: Iterable[ModelConfig] = ALL_MODELS) ->
 def sweep(
     train_df: DataFrame, val_df: DataFrame, test_df: DataFrame, grid: Iterable[ModelConfig]
 ) -> DataFrame:
-    """Train and evaluate every trial; one row per trial, ready for ``leaderboard``."""
-    reports = []
+    """Train and evaluate every trial; one row per trial, ready for ``leaderboard``.
+
+    Trials whose features are alike train and validate on the same staged vectors. Each is evaluated on the texts.
+    """
+    reports, vectors = [], {}
     for config in grid:
-        model, _ = train(train_df, val_df, config)
+        alike = (config.tokens, config.ngram, config.features)
+        if alike not in vectors:
+            features, train_vectors = featurize(train_df, config)
+            vectors[alike] = (features, train_vectors, _vectors(val_df, features))
+        model, _ = fit(*vectors[alike], config)
         report = evaluate(test_df, model)
         reports.append(
             report.select(F.lit(config.name).alias("family"), F.col("model_version").alias("run"), "*")

@@ -74,3 +74,15 @@ def test_sweep_and_both_families(corpus):
     with pytest.raises(ValueError, match="mode"):
         models.sweep_grid("other")
     assert set(models.train_all(corpus, corpus, grid)) == {"char_ngram", "word_ngram"}
+
+
+def test_trials_with_like_features_share_them(corpus, monkeypatch):
+    made, featurize = [], models.featurize
+    monkeypatch.setattr(models, "featurize", lambda df, config: made.append(config) or featurize(df, config))
+    grid = [replace(QUICK, iterations=(2,), regularization=r, version=f"v{r}") for r in (0.1, 0.001)]
+    grid.append(replace(grid[0], features=1 << 9, version="v"))
+    shared = [r.asDict() for r in models.sweep(corpus, corpus, corpus, grid).collect()]
+    assert [c.version for c in made] == ["v0.1", "v"]
+    for config, run in zip(grid, shared):
+        alone = models.evaluate(corpus, models.train(corpus, corpus, config)[0]).first().asDict()
+        assert {k: v for k, v in alone.items() if "second" not in k} == {k: run[k] for k in alone if "second" not in k}
