@@ -10,12 +10,14 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from labelloom.functions.grams import CharGrams
 from labelloom.operators.history import best_epoch, leaderboard
@@ -24,6 +26,8 @@ from labelloom.session import stage
 from labelloom.sources.sinks import write_report
 
 DEFAULT_THRESHOLD = 0.5
+#: Texts that a Python model gets at once, if it names no number.
+PYTHON_ROWS = 1_000
 
 
 @dataclass(frozen=True)
@@ -155,20 +159,22 @@ Scorer = Callable[[pd.Series], Sequence[float]]
 def score_with_python(
     df: DataFrame, load: Callable[[], Scorer], version: str, batch_size: int | None = None
 ) -> DataFrame:
-    """Score with a Python model: loaded once per task, called on Arrow batches.
+    """Score with a Python model: loaded once per task, called on parts of Arrow batches.
 
-    Only the text column travels to Python. ``load`` must be picklable and returns a function from texts to
-    probabilities; it is called with an Arrow batch, or with at most ``batch_size`` texts.
+    Only the text column travels to Python. ``load`` must be picklable and returns a function from a series of texts to
+    probabilities; it is called with at most ``batch_size`` texts, 1,000 by default. Only these are Python strings at a
+    time, so a worker holds them, an Arrow batch (which Spark bounds in rows and bytes) and the model.
     """
+    step = batch_size or PYTHON_ROWS
 
-    def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = load()
         for texts in batches:
-            step = batch_size or max(1, len(texts))
-            parts = [np.asarray(scorer(texts.iloc[k : k + step]), "float64") for k in range(0, len(texts), step)]
-            yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
+            starts = range(0, len(texts), step)
+            parts = [np.asarray(scorer(texts.slice(k, step).to_pandas()), "float64") for k in starts]
+            yield pa.array(np.concatenate(parts) if parts else np.empty(0))
 
-    probability = F.pandas_udf(score_batches, "double")
+    probability = arrow_udf(score_batches, "double")
     return df.select(
         "*", probability(F.col("text")).alias("prob_ai"), F.lit(version).alias("model_version")
     )

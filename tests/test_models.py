@@ -65,6 +65,12 @@ def test_python_models_run_in_batches(spark, corpus):
     assert {r.model_version for r in rows} == {"len-v1"}
 
 
+def test_python_models_get_few_texts_at_once(spark):
+    df = spark.range(2500, numPartitions=1).selectExpr("cast(id AS string) AS text")
+    rows = models.score_with_python(df, lambda: lambda texts: [len(texts)] * len(texts), "v").collect()
+    assert sorted({r.prob_ai for r in rows}) == [500, 1000]
+
+
 def test_sweep_and_both_families(corpus):
     grid = [replace(c, features=1 << 10, iterations=(3,)) for c in models.sweep_grid("smoke")]
     runs = models.sweep(corpus, corpus, corpus, grid)
