@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Spark then removes the shuffle files of an execution at its end, and not when the driver happens to collect garbage.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROW_ID = "_row_id"
 
 
@@ -119,14 +121,26 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what runs inside go when it ends."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP_CONF) if before is None else spark.conf.set(CLEANUP_CONF, before)
+
+
 def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a scan of it.
 
     Unlike a cached frame the table survives the loss of executors, and unlike
-    ``checkpoint()`` later passes read only the columns they touch.
+    ``checkpoint()`` later passes read only the columns they touch. Once it is written, nothing reads its shuffles again.
     """
     path = path or new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,8 @@
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelloom import session
 
@@ -50,3 +52,20 @@ def test_settings_grow_with_the_data():
     large = session.cluster_settings(100 << 40, 4000)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(large["spark.sql.shuffle.partitions"]) > 200_000
+
+
+def test_stage_drops_its_shuffles(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (found.apply(k).getName() for k in range(found.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(session.CLEANUP_CONF, None)
+    staged = session.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):  # Spark removes them in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(session.CLEANUP_CONF, None) == setting
+    assert staged.agg(F.sum("count")).first()[0] == 1000
