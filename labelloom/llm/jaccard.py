@@ -6,8 +6,8 @@ one group; groups meet on prefix shingles, group pairs are filtered by size and
 and what is left is expanded to members and verified on the whole sets.
 
 Groups are not paired all with all. First each group is compared with one other per prefix shingle, drawn anew for each
-shingle, which already connects families of near copies; this goes on while it settles much. Then only pairs whose components still differ are compared,
-so no link between components is lost.
+shingle among those of like size, which already connects families of near copies; this goes on while it settles much.
+Then only pairs whose components still differ are compared, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -29,14 +29,19 @@ from labelloom.session import drop, new_path, stage
 SHINGLE = 5
 #: Similarity as a fraction.
 NEAR, OF = 3, 4
-#: Buckets of the frequency sketch; their counts are the only thing sent to all tasks.
-BUCKETS = 1 << 16
+#: Buckets of the frequency sketch; their counts are the only thing sent to all tasks. The more there are, the smaller
+#: the passages whose shingles stand out and stay out of the prefixes.
+BUCKETS = 1 << 20
+#: Buckets whose counts go together.
+BLOCK = 1 << 12
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Partners of a group that a draw compares it with at most, the first or those drawn by two shingles or more. The last
 #: step has no such bound.
 PARTNERS = 4
-#: Draws go on as long as each leaves at most one in so many of the shared shingles.
-SETTLED = 2
+#: Draws go on as long as each settles at least one in so many of the shared shingles.
+SETTLED = 5
+#: A draw compares groups whose sizes are in one band, so wide on a logarithmic scale.
+BAND = 0.14
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -50,7 +55,7 @@ def shingles(text: bytes) -> np.ndarray:
 
 
 def bucket_of(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(48)).astype(np.int64)
+    return (tokens >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
 def prefix_length(size: int) -> int:
@@ -67,21 +72,34 @@ def digest(values: np.ndarray, size: int) -> tuple[int, int]:
 
 
 def bucket_counts(rows: DataFrame) -> np.ndarray:
-    """How many (text, shingle) pairs fall into each bucket; BUCKETS numbers reach the driver."""
+    """How many (text, shingle) pairs fall into each bucket; BUCKETS numbers reach the driver, packed in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.uint32)
         for batch in batches:
-            for text in batch.column(0):
-                counts += np.bincount(bucket_of(shingles(text.as_py())), minlength=BUCKETS)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+            found = [bucket_of(shingles(text.as_py())) for text in batch.column(0)]
+            if found:
+                np.add(counts, np.bincount(np.concatenate(found), minlength=BUCKETS), out=counts, casting="unsafe")
+        pack = zstandard.ZstdCompressor(level=1).compress
+        blocks = counts.reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int64()), pa.array([pack(blocks[k].tobytes()) for k in used], pa.binary())],
+            names=["block", "counts"],
+        )
+
+    def added(table: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor().decompress
+        total = np.zeros(BLOCK, np.int64)
+        for counts in table.column("counts"):
+            total += np.frombuffer(unpack(counts.as_py()), np.uint32)
+        return table.slice(0, 1).select(["block"]).append_column("counts", pa.array([total.tobytes()], pa.binary()))
 
-    counted = rows.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    found = counted.collect()
-    counts = np.zeros(BUCKETS, np.int64)
-    counts[[r.bucket for r in found]] = [r.n for r in found]
-    return counts
+    counted = rows.select("text").mapInArrow(run, "block long, counts binary")
+    counts = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64)
+    for row in counted.groupBy("block").applyInArrow(added, "block long, counts binary").collect():
+        counts[row.block] = np.frombuffer(row.counts, np.int64)
+    return counts.ravel()
 
 
 def described(rows: DataFrame, ranks: np.ndarray) -> DataFrame:
@@ -178,13 +196,15 @@ def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def drawn_pairs(shared: DataFrame, groups: DataFrame, draw: int) -> DataFrame:
-    """(g, h): each group with some of those that share a prefix shingle with it, one drawn per shingle.
+    """(g, h): each group with some of those that share a prefix shingle with it, one drawn per shingle and band of sizes.
 
-    ``shared`` (token, g, size, position, low, high): the last two are the least and largest component of the group.
+    The bands lie elsewhere in every draw, so groups of similar size meet in most draws. ``shared`` (token, g, size, position, low, high): the last two are the least and largest component of the group.
     """
     other = F.struct(F.xxhash64("token", "g", F.lit(draw)).alias("lot"), "g", "size", "position", "low", "high")
-    leaders = shared.groupBy("token").agg(F.min(other).alias("b"))
-    met = shared.alias("a").join(leaders, "token").where(
+    band = F.floor(F.log(F.col("size")) / BAND + draw * 0.618).cast("int")
+    banded = shared.withColumn("band", band)
+    leaders = banded.groupBy("token", "band").agg(F.min(other).alias("b"))
+    met = banded.alias("a").join(leaders, ["token", "band"]).where(
         F.expr("a.g <> b.g and (a.low <> b.low or a.high <> b.high or a.low <> a.high)") & can_be_near("a", "b")
     )
     counted = met.groupBy(F.col("a.g").alias("g"), F.col("b.g").alias("h")).agg(F.count(F.lit(1)).alias("n"))
@@ -251,7 +271,7 @@ def linked_sets(rows: DataFrame, classes: DataFrame, shared: DataFrame, groups:
             left = shared.count()
             if not left:
                 break
-            drawing = SETTLED * left <= before
+            drawing = SETTLED * (before - left) >= before
         if drawing:
             pairs = drawn_pairs(shared, groups, draw)
             one = groups.select(F.col("g").alias("h"), F.col("rep").alias("other"))

@@ -349,3 +349,16 @@ def test_pipeline(spark, docs, tmp_path):
         [(d["doc_id"], brute.sha(",".join(map(str, library.encode(d["text"]))))) for d in clean],
     )
     assert 10 < len(got) < len(own) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_draws_meet_groups_of_like_size(spark):
+    """A very common shingle: in each draw, groups of any size find partners, however many of another size there are."""
+    sizes = [40 + k % 3 for k in range(50)] + [4000 + k % 3 for k in range(2000)]
+    rows = [(7, g, size, 0, g, g) for g, size in enumerate(sizes)]
+    shared = spark.createDataFrame(rows, "token long, g long, size int, position int, low long, high long")
+    groups = spark.createDataFrame([(g, g, 1) for g in range(len(sizes))], "g long, rep long, n long")
+    met = [set(jaccard.drawn_pairs(shared, groups, draw).collect()) for draw in range(3)]
+    for pairs in met:
+        assert len([g for g, _ in pairs if g < 50]) >= 40 and len([g for g, _ in pairs if g >= 50]) >= 1900
+        assert len(pairs) <= len(sizes)
+    assert met[0] != met[1] != met[2]
