@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labelloom.llm.common import small
-from labelloom.session import stage
+from labelloom.session import drop, new_path, stage
 
 NEAR, OF = 3, 4
 BUCKETS = 1 << 16
@@ -27,6 +27,8 @@ FEW = 32
 HOT_SHARE = 10_000
 #: Removed lines (a number and a hash each) that are broadcast at most.
 BROADCAST_LINES = 1_000_000
+#: Numbers of 64 bits in the wide bitmap of a line, which rules out most pairs of long lines before their words meet.
+WIDE = 8
 OTHER_SPACES = r"[\x09\x0B-\x0D]"
 LAST = (1 << 63) - 1
 
@@ -104,6 +106,31 @@ def can_be_near(a: str, b: str) -> Column:
     return F.expr(f"{sizes} and {differ} and {OF + NEAR} * ({most}) >= {NEAR} * ({a}.size + {b}.size)")
 
 
+def wide_bits(words: Column) -> Column:
+    """Each word turns over one of 64 * WIDE bits, so two lines differ in as many words as bits at least."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def part(k: int) -> Column:
+        def turned(bits: Column, word: Column) -> Column:
+            code = F.xxhash64(word)
+            bit = F.call_function("shiftleft", one, code.bitwiseAND(F.lit(63)).cast("int"))
+            mine = F.shiftrightunsigned(code, 6).bitwiseAND(F.lit(WIDE - 1)) == k
+            return F.when(mine, bits.bitwiseXOR(bit)).otherwise(bits)
+
+        return F.aggregate(words, zero, turned)
+
+    return F.struct(F.size(words).alias("size"), *[part(k).alias(f"b{k}") for k in range(WIDE)])
+
+
+def not_too_different(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """The ``pairs`` whose bitmaps leave it open whether they are near."""
+    bits = small(words.select("l1", "bits"))
+    both = pairs.join(bits.select(F.col("l1").alias("x"), F.col("bits").alias("a")), "x")
+    both = both.join(bits.select(F.col("l1").alias("y"), F.col("bits").alias("b")), "y")
+    differ = " + ".join(f"bit_count(a.b{k} ^ b.b{k})" for k in range(WIDE))
+    return both.where(f"{OF + NEAR} * ({differ}) <= a.size + b.size").select("x", "y")
+
+
 def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """The distinct pairs (x, y) of ``met`` not in ``tried``, and (l1) of the later line of those that are near."""
     pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
@@ -115,12 +142,16 @@ def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame
     known = stage(known, "line-firsts")
     place = F.struct(F.col("first.d").alias("d"), F.col("first.n").alias("n"))
     texts = text_lines(docs).join(small(known), "l1").where(position() == place)
-    words = stage(texts.select("l1", "first", tokens_of(F.col("line")).alias("words")).dropDuplicates(["l1"]), "line-words")
+    words = texts.select("l1", "first", tokens_of(F.col("line")).alias("words")).dropDuplicates(["l1"])
+    path = new_path(docs.sparkSession, "line-words")
+    words = stage(words.withColumn("bits", wide_bits(F.col("words"))), path=path)
     sides = [words.select(F.col("l1").alias(k), F.struct("first", "words").alias(n)) for k, n in (("x", "a"), ("y", "b"))]
-    joined = pairs.join(sides[0], "x").join(sides[1], "y")
+    joined = stage(not_too_different(pairs, words), "line-pairs").join(sides[0], "x").join(sides[1], "y")
     both = F.size(F.array_intersect("a.words", "b.words"))
     near = joined.where((OF + NEAR) * both >= NEAR * (F.size("a.words") + F.size("b.words")))
     later = near.where("a.first <> b.first").select(F.expr("if(a.first < b.first, y, x)").alias("l1"))
+    later = stage(later.distinct(), "beaten")
+    drop(docs.sparkSession, path)
     return pairs, later
 
 
@@ -143,11 +174,13 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     rows = rows.where("n > 1").select("token", side.alias("a"), "oldest", "n", F.expr(f"explode_outer(if(n <= {FEW} + 1, others, null))").alias("b"))
     rows = rows.where((F.col("n") > FEW + 1) | (F.expr("a.l1 <> b.l1") & can_be_near("a", "b")))
     other = [F.col("b.l1").alias("other"), F.col("b.d").alias("other_d")]
-    rows = stage(rows.select("token", "a.*", "oldest", *other), "line-tokens")
+    path = new_path(docs.sparkSession, "line-tokens")
+    rows = stage(rows.select("token", "a.*", "oldest", *other), path=path)
     # of the copies of a line, the first counts: it may be earlier than a line that all others are later than
     shared = rows.where("other is null").groupBy("token", "l1").agg(
         F.min("d").alias("d"), *[F.first(c).alias(c) for c in ("size", "place", "bits")], F.max("oldest").alias("oldest")
     )
+    shared = stage(shared, "line-tokens")
     met = shared.select("token", side.alias("a")).join(shared.where("oldest").select("token", side.alias("b")), "token")
     met = met.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
     met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
@@ -155,10 +188,10 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     pairs = rows.where("other is not null").select("l1", "d", "other", "other_d")
     turned = pairs.select(F.col("other").alias("l1"), F.col("other_d").alias("d"), F.col("l1").alias("other"), F.col("d").alias("other_d"))
     pairs = stage(pairs.unionByName(turned).where("d >= other_d").distinct(), "line-pairs")
+    drop(docs.sparkSession, path)
     oldest = pairs.groupBy("l1").agg(F.min(F.struct("other_d", "other")).alias("o"))
     met = met.unionByName(oldest.select(F.col("l1").alias("x"), F.col("o.other").alias("y")))
     tried, beaten = matches(met, docs, firsts, None)
-    beaten = stage(beaten.distinct(), "beaten")
 
     left = shared.join(small(beaten), "l1", "left_anti").select("token", side.alias("a"))
     met = left.join(shared.select("token", side.alias("b")), "token")

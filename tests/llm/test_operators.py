@@ -362,3 +362,19 @@ def test_draws_meet_groups_of_like_size(spark):
         assert len([g for g, _ in pairs if g < 50]) >= 40 and len([g for g, _ in pairs if g >= 50]) >= 1900
         assert len(pairs) <= len(sizes)
     assert met[0] != met[1] != met[2]
+
+
+def test_wide_bitmaps_rule_out_long_lines(spark):
+    """Most pairs of long lines are ruled out before their words meet; near pairs and those at the limit stay."""
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    texts = [rng.sample(vocabulary, 200) for _ in range(20)]
+    texts += [t[:cut] + [f"n{k}" for k in range(200 - cut)] for t, cut in zip(texts, (199, 190, 180, 172, 171, 150, 100))]
+    words = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "l1 long, words array<string>")
+    words = words.withColumn("bits", lines.wide_bits(F.col("words")))
+    every = [(x, y) for x in range(len(texts)) for y in range(x)]
+    pairs = spark.createDataFrame(every, "x long, y long")
+    got = {(r.x, r.y) for r in lines.not_too_different(pairs, words).collect()}
+    sets = [set(t) for t in texts]
+    near = {(x, y) for x, y in every if 7 * len(sets[x] & sets[y]) >= 3 * (len(sets[x]) + len(sets[y]))}
+    assert len(near) == 4 and near <= got and len(got) <= 10
