@@ -42,7 +42,7 @@ from labelloom.plans.builds import (
 from labelloom.session import new_path, stage
 from labelloom.sources import sinks, tabular
 from labelloom.streaming import scoring
-from labelloom.streaming.quota import StreamSource, balanced_quota, collect_quota
+from labelloom.streaming.quota import StreamSource, balanced_quota, collect_quota, stream_rows
 
 SEED = 42
 PERCENTILE = 0.95
@@ -782,9 +782,10 @@ def stream_uncapped(spark, sf):
 
 def stream_dedup(spark, sf):
     """Every labelled row collected from the stream, then de-duplicated in one batch pass."""
-    source = StreamSource(f"{sf}/documents*.parquet", prepare=_label_stream)
-    totals = {r["label"]: r["count"] for r in corpus(spark, sf).groupBy("label").count().collect()}
-    collected = collect_quota(spark, source, totals, SEED, {"source_split": "train"}, label_first=True)
+    source, literals = StreamSource(f"{sf}/documents*.parquet", prepare=_label_stream), {"source_split": "train"}
+    wanted = stream_rows(_label_stream(table(spark, sf, "documents")), literals, label_first=True)  # blank texts don't arrive
+    totals = {r["label"]: r["count"] for r in wanted.groupBy("label").count().collect()}
+    collected = collect_quota(spark, source, totals, SEED, literals, label_first=True)
     return scoring.dedup_collected(collected)
 
 

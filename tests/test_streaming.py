@@ -57,6 +57,16 @@ def test_a_second_run_goes_on_where_the_first_ended(spark, folder):
     }
 
 
+def test_blank_texts_are_not_waited_for(spark, folder):
+    schema = "doc_id long, text string, source string, lang string"
+    texts = ["a", "b", "a", None, " \t", "", "c", "\u00a0"]
+    write_files(spark, f"{folder}/documents.parquet", [(i, t, "s", "en") for i, t in enumerate(texts)], 2, schema)
+    got = catalogue.stream_dedup(spark, folder).collect()
+    assert sorted(map(tuple, got)) == [("a", 0, "train"), ("b", 1, "train"), ("c", 0, "train")]
+    write_files(spark, f"{folder}/blank/documents.parquet", [(1, None, "s", "en"), (2, " ", "s", "en")], 1, schema)
+    assert catalogue.stream_dedup(spark, f"{folder}/blank").count() == 0
+
+
 def test_short_stream_raises_with_counts(spark, folder):
     write_files(spark, f"{folder}/in", [("a", 0), ("b", 1), ("c", 1)], 1)
     with pytest.raises(RuntimeError, match="0: 1"):
