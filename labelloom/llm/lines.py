@@ -1,17 +1,22 @@
 """Near-duplicate lines: an exact set-similarity join of line tokens, native in Spark SQL.
 
-The tokens of a line are its distinct words, ordered by rarity. Two lines with a Jaccard similarity of 3/4 or more share
-a token among the first quarter of both. Lines meet on those tokens, pairs are filtered by length and by the place of
-the shared token, and what is left is verified on the words themselves. Later matches are removed.
-
-Rarity comes from a sketch of fixed size: how often the hash bucket of a token occurs. A line needs one earlier match to
-go. Lines that share a token with few others are compared with each of them; where there are many, each line is first
+The tokens of a line are its distinct words, ordered by hash; two neighbours are a gram. A word that only one of two
+lines has takes two grams of this line and one of the other at most, so lines with a Jaccard similarity of 3/4 or more
+share a gram among the rarest half of both. Lines meet on those grams, pairs are filtered by length, and what is left is
+verified on the words themselves. Later matches are removed. Single words are too few: how many lines share one grows
+with the input, and the pairs with its square.
+
+Rarity comes from a sketch of fixed size: how often the hash bucket of a token occurs. Only grams of several lines go on;
+until then a row is a gram and the hash of its line. A line needs one earlier match to
+go. Lines that share a gram with few others are compared with each of them; where there are many, each line is first
 compared with the oldest, and only lines that are still there with all earlier ones. A bitmap of 64 bits per line rules
 out most pairs before their words are read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,7 +26,8 @@ from labelloom.session import drop, new_path, stage
 
 NEAR, OF = 3, 4
 BUCKETS = 1 << 16
-#: A token of so few lines and one more is settled where it is; more lines are compared with the oldest first.
+RAREST = 255
+#: A gram of so few lines and one more is settled where it is; more lines are compared with the oldest first.
 FEW = 32
 #: A line with more than this share of all lines is taken once into the join; there are fewer than so many such lines.
 HOT_SHARE = 10_000
@@ -58,52 +64,64 @@ def position() -> Column:
 
 
 def rarity(lines: DataFrame) -> Column:
-    """An array with the rank of each token bucket, rare first. BUCKETS counts at most reach the driver."""
+    """An array with the rarity of each token bucket (0 to 255, in eighths of a power of two). BUCKETS counts at most reach the driver."""
     words = lines.select(F.explode(F.split("line", " ")).alias("word"))
     counted = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket"))
     found = counted.agg(F.count(F.lit(1)).alias("n")).select(F.expr(f"n * {BUCKETS} + bucket").alias("code")).collect()
-    ranks = [0] * BUCKETS
-    for rank, code in enumerate(sorted(r.code for r in found), 1):
-        ranks[code % BUCKETS] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    codes = [r.code for r in found]
+    total, rare = sum(code // BUCKETS for code in codes), [RAREST] * BUCKETS
+    for code in codes:
+        rare[code % BUCKETS] = min(RAREST, round(8 * math.log2(total / (code // BUCKETS))))
+    return F.split(F.lit(",".join(map(str, rare))), ",").cast("array<bigint>")
+
 
+def token_codes(line: Column) -> Column:
+    """A hash of each distinct word of a line."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
 
-def ordered_tokens(line: Column, ranks: Column) -> Column:
-    """Token numbers in the global order: rank of the bucket, then the rest of the hash (63 bits in all)."""
-    codes = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w)))
 
-    def number(code: Column) -> Column:
-        rank = F.get(ranks, code.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-        return F.shiftleft(rank, 46).bitwiseOR(F.shiftrightunsigned(code, 18))
+def measures(lines: DataFrame) -> DataFrame:
+    """``lines`` with size and bits. Each token of a line turns over one of the 64 bits, so two lines differ in as many
+    tokens as bits at least."""
+    one = F.lit(1).cast("long")
+
+    def turned(bits: Column, token: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, token.bitwiseAND(F.lit(63)).cast("int")))
 
-    return F.sort_array(F.transform(codes, number))
+    coded = lines.withColumn("tokens", token_codes(F.col("line")))
+    bits = F.aggregate("tokens", F.lit(0).cast("long"), turned)
+    return coded.withColumns({"size": F.size("tokens"), "bits": bits}).drop("tokens")
 
 
-def prefix_rows(lines: DataFrame, ranks: Column) -> DataFrame:
-    """(token, l1, d, size, place, bits): the first quarter of the tokens of each line with words, one token at least.
+def gram_rows(lines: DataFrame, rare: Column) -> DataFrame:
+    """(l1, gram): the rarest grams of each line with words; a single word is a gram with itself.
 
-    Each token of the line turns over one of the 64 bits, so two lines differ in as many tokens as bits at least.
+    Of n words against m, of which 3 (n + m) / 7 are common at least, two grams go for each word that is not common and one
+    for each such word of the other line: (5 n - 2 m) / 7 at most, and m is 3 n / 4 at least. Among one more of the rarest
+    grams of both lines is one that they share. A word's last byte is its rarity, a gram's first bits are that of both.
     """
-    tokens = lines.select("l1", position()["d"].alias("d"), ordered_tokens(F.col("line"), ranks).alias("tokens"))
-    size = F.size("tokens")
-    count = size - F.ceil(size * NEAR / OF).cast("int") + 1
-    one = F.lit(1).cast("long")
 
-    def turned(bits: Column, token: Column) -> Column:
-        return bits.bitwiseXOR(F.call_function("shiftleft", one, token.bitwiseAND(F.lit(63)).cast("int")))
+    def token(code: Column) -> Column:
+        bucket = code.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+        return code.bitwiseAND(F.lit(-256)).bitwiseOR(F.get(rare, bucket))
 
-    bits = F.aggregate("tokens", F.lit(0).cast("long"), turned).alias("bits")
-    head = tokens.where(size > 0).select(
-        "l1", "d", size.alias("size"), bits, F.slice("tokens", F.lit(1), count).alias("head")
-    )
-    return head.select("l1", "d", "size", "bits", F.posexplode("head").alias("place", "token"))
+    def gram(a: Column, b: Column) -> Column:
+        usual = 2 * RAREST - a.bitwiseAND(F.lit(255)) - b.bitwiseAND(F.lit(255))
+        return F.shiftleft(usual, 54).bitwiseOR(F.shiftrightunsigned(F.xxhash64(a, b), 10))
+
+    coded = lines.select("l1", token_codes(F.col("line")).alias("codes")).where(F.size("codes") > 0)
+    tokens = coded.select("l1", F.sort_array(F.transform("codes", token)).alias("tokens"))
+    size, count = F.size("tokens"), F.greatest(F.size("tokens") - 1, F.lit(1))
+    left, right = F.slice("tokens", F.lit(1), count), F.slice("tokens", F.least(size, F.lit(2)), count)
+    grams = F.sort_array(F.zip_with(left, right, gram))
+    most = F.floor((5 * size - 2 * F.ceil(size * NEAR / OF)) / (NEAR + OF)).cast("int") + 1
+    return tokens.select("l1", F.explode(F.slice(grams, F.lit(1), most)).alias("gram"))
 
 
 def can_be_near(a: str, b: str) -> Column:
-    most = f"1 + least({a}.size - {a}.place - 1, {b}.size - {b}.place - 1)"
     sizes = f"{OF} * least({a}.size, {b}.size) >= {NEAR} * greatest({a}.size, {b}.size)"
     differ = f"{OF + NEAR} * bit_count({a}.bits ^ {b}.bits) <= {a}.size + {b}.size"
-    return F.expr(f"{sizes} and {differ} and {OF + NEAR} * ({most}) >= {NEAR} * ({a}.size + {b}.size)")
+    return F.expr(f"{sizes} and {differ}")
 
 
 def wide_bits(words: Column) -> Column:
@@ -144,7 +162,8 @@ def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame
     texts = text_lines(docs).join(small(known), "l1").where(position() == place)
     words = texts.select("l1", "first", tokens_of(F.col("line")).alias("words")).dropDuplicates(["l1"])
     path = new_path(docs.sparkSession, "line-words")
-    words = stage(words.withColumn("bits", wide_bits(F.col("words"))), path=path)
+    words = words.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
+    words = stage(words.withColumn("bits", wide_bits(F.col("codes"))).drop("codes"), path=path)
     sides = [words.select(F.col("l1").alias(k), F.struct("first", "words").alias(n)) for k, n in (("x", "a"), ("y", "b"))]
     joined = stage(not_too_different(pairs, words), "line-pairs").join(sides[0], "x").join(sides[1], "y")
     both = F.size(F.array_intersect("a.words", "b.words"))
@@ -155,46 +174,53 @@ def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame
     return pairs, later
 
 
+def shared_grams(lines: DataFrame) -> DataFrame:
+    """(gram, l1): the rarest grams of each line that are also among those of another line."""
+    of_gram = Window.partitionBy("gram").orderBy("l1")
+    last = F.last("l1").over(of_gram.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = gram_rows(lines, rarity(lines)).withColumns({"before": F.lag("l1").over(of_gram), "last": last})
+    rows = rows.where("if(before is null, last <> l1, before <> l1)")
+    return stage(rows.select("gram", "l1"), "line-grams")
+
+
 def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(l1): lines that have an earlier near match. ``firsts``: (l1, l2, first, copies) of each distinct line."""
+    """(l1): lines that have an earlier near match. ``firsts``: (l1, l2, first, copies, size, bits) of each distinct line."""
     lines = text_lines(docs)
     count = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     hot = firsts.where(F.col("copies") > max(8, count // HOT_SHARE)).select("l1", "l2", "first")
     once = lines.join(small(hot), ["l1", "l2"], "left").where(F.col("first").isNull() | (F.col("first") == position()))
-    of_token = Window.partitionBy("token")
-    before = of_token.orderBy("size").rowsBetween(-FEW, -1)
-    side = F.struct("d", "l1", "size", "place", "bits")
-    rows = prefix_rows(once, rarity(lines)).withColumns(
+    # of the copies of a line, the first counts: it may be earlier than a line that all others are later than
+    known = firsts.groupBy("l1").agg(F.min("first.d").alias("d"), *[F.first(c).alias(c) for c in ("size", "bits")])
+    of_gram = Window.partitionBy("gram")
+    before = of_gram.orderBy("size").rowsBetween(-FEW, -1)
+    side = F.struct("d", "l1", "size", "bits")
+    path = new_path(docs.sparkSession, "line-grams")
+    rows = stage(shared_grams(once).join(known, "l1"), path=path).withColumns(
         {
-            "n": F.count(F.lit(1)).over(of_token),
-            "oldest": F.col("d") == F.min("d").over(of_token),
+            "n": F.count(F.lit(1)).over(of_gram),
+            "oldest": F.col("d") == F.min("d").over(of_gram),
             "others": F.collect_list(side).over(before),
         }
     )
-    rows = rows.where("n > 1").select("token", side.alias("a"), "oldest", "n", F.expr(f"explode_outer(if(n <= {FEW} + 1, others, null))").alias("b"))
+    rows = rows.select("gram", side.alias("a"), "oldest", "n", F.expr(f"explode_outer(if(n <= {FEW} + 1, others, null))").alias("b"))
     rows = rows.where((F.col("n") > FEW + 1) | (F.expr("a.l1 <> b.l1") & can_be_near("a", "b")))
     other = [F.col("b.l1").alias("other"), F.col("b.d").alias("other_d")]
-    path = new_path(docs.sparkSession, "line-tokens")
-    rows = stage(rows.select("token", "a.*", "oldest", *other), path=path)
-    # of the copies of a line, the first counts: it may be earlier than a line that all others are later than
-    shared = rows.where("other is null").groupBy("token", "l1").agg(
-        F.min("d").alias("d"), *[F.first(c).alias(c) for c in ("size", "place", "bits")], F.max("oldest").alias("oldest")
-    )
-    shared = stage(shared, "line-tokens")
-    met = shared.select("token", side.alias("a")).join(shared.where("oldest").select("token", side.alias("b")), "token")
+    rows = stage(rows.select("gram", "a.*", "oldest", *other), "line-pairs")
+    drop(docs.sparkSession, path)
+    shared = rows.where("other is null").drop("other", "other_d")
+    met = shared.select("gram", side.alias("a")).join(shared.where("oldest").select("gram", side.alias("b")), "gram")
     met = met.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
     met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
     # of the pairs settled in place, each line is compared with the oldest first; lines of one text go both ways
     pairs = rows.where("other is not null").select("l1", "d", "other", "other_d")
     turned = pairs.select(F.col("other").alias("l1"), F.col("other_d").alias("d"), F.col("l1").alias("other"), F.col("d").alias("other_d"))
     pairs = stage(pairs.unionByName(turned).where("d >= other_d").distinct(), "line-pairs")
-    drop(docs.sparkSession, path)
     oldest = pairs.groupBy("l1").agg(F.min(F.struct("other_d", "other")).alias("o"))
     met = met.unionByName(oldest.select(F.col("l1").alias("x"), F.col("o.other").alias("y")))
     tried, beaten = matches(met, docs, firsts, None)
 
-    left = shared.join(small(beaten), "l1", "left_anti").select("token", side.alias("a"))
-    met = left.join(shared.select("token", side.alias("b")), "token")
+    left = shared.join(small(beaten), "l1", "left_anti").select("gram", side.alias("a"))
+    met = left.join(shared.select("gram", side.alias("b")), "gram")
     met = met.where(F.expr("b.d <= a.d and a.l1 <> b.l1") & can_be_near("a", "b"))
     met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
     rest = pairs.join(small(beaten), "l1", "left_anti").select(F.col("l1").alias("x"), F.col("other").alias("y"))
@@ -205,9 +231,10 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, removed): number and hash of the lines to remove of each document that has any."""
     lines = text_lines(docs).drop("line")
-    firsts = stage(
-        lines.groupBy("l1", "l2").agg(F.min(position()).alias("first"), F.count(F.lit(1)).alias("copies")), "lines"
+    firsts = measures(text_lines(docs)).groupBy("l1", "l2").agg(
+        F.min(position()).alias("first"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("size", "bits")]
     )
+    firsts = stage(firsts, "lines")
     beaten = beaten_lines(docs, firsts).withColumn("beaten", F.lit(True))
     judged = firsts.join(beaten, "l1", "left").where("beaten or copies > 1")
     judged = stage(judged.select("l1", "l2", "first", F.coalesce("beaten", F.lit(False)).alias("beaten")), "judged")

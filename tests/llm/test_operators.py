@@ -378,3 +378,28 @@ def test_wide_bitmaps_rule_out_long_lines(spark):
     sets = [set(t) for t in texts]
     near = {(x, y) for x, y in every if 7 * len(sets[x] & sets[y]) >= 3 * (len(sets[x]) + len(sets[y]))}
     assert len(near) == 4 and near <= got and len(got) <= 10
+
+
+def test_lines_of_usual_words_do_not_meet(spark):
+    """Unlike lines share most of their words with others, one by one; nearly all that goes on is lines that are near."""
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(400)]
+    texts = [rng.sample(vocabulary, rng.randint(2, 40)) for _ in range(600)]
+    near = [t[: len(t) - len(t) // 4] for t in texts[:30]] + [t + [f"n{k}" for k in range(len(t) // 3)] for t in texts[30:60]]
+    near += [rng.sample(t, len(t)) + ["x", "y"] for t in texts[60:90]]
+    near += [[w if rng.random() > 0.13 else f"z{w}" for w in t] for t in texts[90:150]]
+    rows = list(enumerate(dict.fromkeys(" ".join(t) for t in texts + near)))
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    every, found = lines.text_lines(frame), lines.shared_grams(lines.text_lines(frame))
+    ids = {r.l1: r.doc_id for r in every.collect()}
+    met = {}
+    for r in found.collect():
+        met.setdefault(r.gram, []).append(ids[r.l1])
+    pairs = {(x, y) for group in met.values() for x in group for y in group if x < y}
+    sets = {k: set(t.split(" ")) for k, t in rows}
+    alike = {(x, y) for x in sets for y in sets if x < y and 7 * len(sets[x] & sets[y]) >= 3 * (len(sets[x]) + len(sets[y]))}
+    assert len(alike) > 90 and alike <= pairs and len(pairs) < 20 * len(rows)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame).select("row.*").collect()}
+    docs = [{"doc_id": k, "text": t} for k, t in rows]
+    assert got == {d["doc_id"]: t for d, t in zip(docs, brute.deduped_lines(docs))}
