@@ -35,6 +35,8 @@ HOT_SHARE = 10_000
 BROADCAST_LINES = 1_000_000
 #: Numbers of 64 bits in the wide bitmap of a line, which rules out most pairs of long lines before their words meet.
 WIDE = 8
+#: Numbers of 64 bits that are broadcast to tell which lines are asked for; more lines than bits only make them tell less.
+MARKS = 1 << 17
 OTHER_SPACES = r"[\x09\x0B-\x0D]"
 LAST = (1 << 63) - 1
 
@@ -149,6 +151,13 @@ def not_too_different(pairs: DataFrame, words: DataFrame) -> DataFrame:
     return both.where(f"{OF + NEAR} * ({differ}) <= a.size + b.size").select("x", "y")
 
 
+def marked_lines(lines: DataFrame, known: DataFrame) -> DataFrame:
+    """``lines`` without most of those that are not in ``known``, so that few texts are shuffled: 64 * MARKS bits tell."""
+    word, bit = F.expr(f"shiftrightunsigned(l1, 6) & {MARKS - 1}"), F.expr("shiftleft(1L, cast(l1 & 63 as int))")
+    marks = stage(known.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("marks")), "line-marks")
+    return lines.join(F.broadcast(marks), word == F.col("word")).where(F.col("marks").bitwiseAND(bit) != 0).drop("word", "marks")
+
+
 def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """The distinct pairs (x, y) of ``met`` not in ``tried``, and (l1) of the later line of those that are near."""
     pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
@@ -159,7 +168,7 @@ def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame
     known = firsts.join(small(stage(asked, "line-keys")), "l1", "left_semi").groupBy("l1").agg(F.min("first").alias("first"))
     known = stage(known, "line-firsts")
     place = F.struct(F.col("first.d").alias("d"), F.col("first.n").alias("n"))
-    texts = text_lines(docs).join(small(known), "l1").where(position() == place)
+    texts = marked_lines(text_lines(docs), known).join(small(known), "l1").where(position() == place)
     words = texts.select("l1", "first", tokens_of(F.col("line")).alias("words")).dropDuplicates(["l1"])
     path = new_path(docs.sparkSession, "line-words")
     words = words.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -174,13 +183,13 @@ def matches(met: DataFrame, docs: DataFrame, firsts: DataFrame, tried: DataFrame
     return pairs, later
 
 
-def shared_grams(lines: DataFrame) -> DataFrame:
+def shared_grams(lines: DataFrame, path: str | None = None) -> DataFrame:
     """(gram, l1): the rarest grams of each line that are also among those of another line."""
     of_gram = Window.partitionBy("gram").orderBy("l1")
     last = F.last("l1").over(of_gram.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     rows = gram_rows(lines, rarity(lines)).withColumns({"before": F.lag("l1").over(of_gram), "last": last})
     rows = rows.where("if(before is null, last <> l1, before <> l1)")
-    return stage(rows.select("gram", "l1"), "line-grams")
+    return stage(rows.select("gram", "l1"), "line-grams", path)
 
 
 def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -194,8 +203,10 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     of_gram = Window.partitionBy("gram")
     before = of_gram.orderBy("size").rowsBetween(-FEW, -1)
     side = F.struct("d", "l1", "size", "bits")
-    path = new_path(docs.sparkSession, "line-grams")
-    rows = stage(shared_grams(once).join(known, "l1"), path=path).withColumns(
+    paths = [new_path(docs.sparkSession, "line-grams") for _ in range(3)]
+    rows = stage(shared_grams(once, paths[0]).join(known, "l1"), path=paths[1])
+    drop(docs.sparkSession, paths[0])
+    rows = rows.withColumns(
         {
             "n": F.count(F.lit(1)).over(of_gram),
             "oldest": F.col("d") == F.min("d").over(of_gram),
@@ -205,9 +216,9 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     rows = rows.select("gram", side.alias("a"), "oldest", "n", F.expr(f"explode_outer(if(n <= {FEW} + 1, others, null))").alias("b"))
     rows = rows.where((F.col("n") > FEW + 1) | (F.expr("a.l1 <> b.l1") & can_be_near("a", "b")))
     other = [F.col("b.l1").alias("other"), F.col("b.d").alias("other_d")]
-    rows = stage(rows.select("gram", "a.*", "oldest", *other), "line-pairs")
-    drop(docs.sparkSession, path)
-    shared = rows.where("other is null").drop("other", "other_d")
+    rows = stage(rows.select("gram", "a.*", "oldest", *other), path=paths[2])
+    drop(docs.sparkSession, paths[1])
+    shared = stage(rows.where("other is null").drop("other", "other_d"), "line-grams")
     met = shared.select("gram", side.alias("a")).join(shared.where("oldest").select("gram", side.alias("b")), "gram")
     met = met.where(F.expr("a.l1 <> b.l1") & can_be_near("a", "b"))
     met = met.select(F.col("a.l1").alias("x"), F.col("b.l1").alias("y"))
@@ -215,6 +226,7 @@ def beaten_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     pairs = rows.where("other is not null").select("l1", "d", "other", "other_d")
     turned = pairs.select(F.col("other").alias("l1"), F.col("other_d").alias("d"), F.col("l1").alias("other"), F.col("d").alias("other_d"))
     pairs = stage(pairs.unionByName(turned).where("d >= other_d").distinct(), "line-pairs")
+    drop(docs.sparkSession, paths[2])
     oldest = pairs.groupBy("l1").agg(F.min(F.struct("other_d", "other")).alias("o"))
     met = met.unionByName(oldest.select(F.col("l1").alias("x"), F.col("o.other").alias("y")))
     tried, beaten = matches(met, docs, firsts, None)

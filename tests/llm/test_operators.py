@@ -403,3 +403,12 @@ def test_lines_of_usual_words_do_not_meet(spark):
     got = {r.doc_id: r.text for r in lines.dedup_lines(frame).select("row.*").collect()}
     docs = [{"doc_id": k, "text": t} for k, t in rows]
     assert got == {d["doc_id"]: t for d, t in zip(docs, brute.deduped_lines(docs))}
+
+
+def test_texts_of_lines_that_are_not_asked_for_are_left_out(spark):
+    frame = spark.createDataFrame([(k, f"line {k}\nrow {k}") for k in range(500)], "doc_id long, text string")
+    every = lines.text_lines(frame)
+    known = every.where("doc_id % 50 = 0").select("l1")
+    left = lines.marked_lines(every, known)
+    assert left.columns == every.columns and 20 <= left.count() <= 30
+    assert left.where("doc_id % 50 = 0").count() == 20
